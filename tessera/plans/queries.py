@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.functions.keyed import h60
 from tessera.operators import corpus, dedup, metrics, split
+from tessera.operators import encode as enc_ops
+from tessera.operators import vocab as vocab_ops
 from tessera.operators.rowindex import with_row_index
 from tessera.plans import recipes
 from tessera.session import scratch_path
@@ -468,3 +470,357 @@ SELECT CASE WHEN {h60_sql("'42'", "doc_id")} % {NUM_FILES} = {NUM_FILES - 1}
 FROM d""")
 def q_corpus_wiki(spark, sf_dir):
     return recipes.corpus_wiki(marked_docs(spark, sf_dir), NUM_FILES, seed=SEED)
+
+
+# ================================================================ W: words, vocabulary
+SPECIALS_SQL = " UNION ALL ".join(
+    f"SELECT {i}::INTEGER AS token_id, '{p}' AS piece"
+    for i, p in enumerate(vocab_ops.special_token_list(10)))
+
+WORDS_CTE = f"""
+words AS (
+  SELECT doc_id, (generate_subscripts(w, 1) - 1)::INTEGER AS word_no, unnest(w) AS word
+  FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '{T.WHITE_SPACE_CLASS}+'),
+                                   lambda x: x <> '') AS w FROM documents)),
+counts AS (SELECT word, count(*) AS n FROM words GROUP BY word)"""
+
+# Query vocabulary, derived from ``documents``: every character, its ``##``
+# form, the 2,000 most frequent words and ``##`` + the 500 most frequent.
+VOCAB_CTE = WORDS_CTE + f""",
+chars AS (SELECT DISTINCT unnest(regexp_extract_all(word, '(?s).')) AS c FROM counts),
+topw AS (SELECT word FROM counts ORDER BY n DESC, word LIMIT 2000),
+top5 AS (SELECT word FROM counts ORDER BY n DESC, word LIMIT 500),
+pieces AS (SELECT c AS piece FROM chars UNION SELECT '##' || c FROM chars
+           UNION SELECT word FROM topw UNION SELECT '##' || word FROM top5),
+specials AS ({SPECIALS_SQL}),
+vocab AS (
+  SELECT token_id, piece FROM specials
+  UNION ALL
+  SELECT (row_number() OVER (ORDER BY piece) + 14)::INTEGER AS token_id, piece
+  FROM pieces WHERE piece NOT IN (SELECT piece FROM specials))"""
+
+
+def doc_words(spark, sf_dir) -> DataFrame:
+    return vocab_ops.pretokenize(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+
+
+def data_vocab(spark, sf_dir) -> DataFrame:
+    counts = vocab_ops.word_counts(doc_words(spark, sf_dir))
+    chars = vocab_ops.alphabet(counts, None).select(F.col("char").alias("piece"))
+    top = counts.orderBy(F.desc("n"), "word").limit(2000).select(F.col("word").alias("piece"))
+    top5 = counts.orderBy(F.desc("n"), "word").limit(500).select(F.col("word").alias("piece"))
+    cont = F.concat(F.lit("##"), F.col("piece")).alias("piece")
+    pieces = chars.unionByName(chars.select(cont)).unionByName(top).unionByName(top5.select(cont))
+    return vocab_ops.with_special_tokens(pieces, 10)
+
+
+@register("pretokenize", f"""
+WITH {WORDS_CTE}
+SELECT doc_id, word_no, word FROM words""")
+def q_pretokenize(spark, sf_dir):
+    return doc_words(spark, sf_dir)
+
+
+@register("word_counts", f"""
+WITH {WORDS_CTE}
+SELECT word, n FROM counts""")
+def q_word_counts(spark, sf_dir):
+    return vocab_ops.word_counts(doc_words(spark, sf_dir))
+
+
+@register("alphabet", f"""
+WITH {WORDS_CTE}
+SELECT c AS char, sum(n)::BIGINT AS n
+FROM (SELECT unnest(regexp_extract_all(word, '(?s).')) AS c, n FROM counts)
+GROUP BY c ORDER BY n DESC, c LIMIT 50""")
+def q_alphabet(spark, sf_dir):
+    return vocab_ops.alphabet(vocab_ops.word_counts(doc_words(spark, sf_dir)), 50)
+
+
+@register("special_tokens", f"""
+WITH {VOCAB_CTE}
+SELECT token_id, piece FROM vocab""")
+def q_special_tokens(spark, sf_dir):
+    return data_vocab(spark, sf_dir)
+
+
+@register("pair_counts", f"""
+WITH {WORDS_CTE},
+sym AS (SELECT n, list_transform(regexp_extract_all(word, '(?s).'),
+                                 lambda c, i: CASE WHEN i = 1 THEN c ELSE '##' || c END) AS s
+        FROM counts),
+p AS (SELECT n, s, unnest(range(1, len(s))) AS i FROM sym)
+SELECT s[i] AS "left", s[i + 1] AS "right", sum(n)::BIGINT AS n FROM p GROUP BY 1, 2""")
+def q_pair_counts(spark, sf_dir):
+    counts = vocab_ops.word_counts(doc_words(spark, sf_dir))
+    symbols = vocab_ops.word_symbols(counts, vocab_ops.alphabet(counts, None))
+    return vocab_ops.pair_counts(symbols)
+
+
+# ---------------------------------------------------------------- W6, W7, M*
+def conv_words_cte(max_len: int | None = None) -> str:
+    return f"""
+rows AS (SELECT conv_id, turn, text FROM conversations),
+rw AS (
+  SELECT conv_id, turn, (generate_subscripts(w, 1) - 1)::INTEGER AS word_no, unnest(w) AS word
+  FROM (SELECT conv_id, turn,
+               list_filter(regexp_split_to_array(text, '{T.WHITE_SPACE_CLASS}+'),
+                           lambda x: x <> '') AS w FROM rows)),
+dwords AS (SELECT DISTINCT word FROM rw)"""
+
+
+SEG_CTE = """
+vlen AS (SELECT max(CASE WHEN starts_with(piece, '##') THEN length(piece) - 2
+                         ELSE length(piece) END) AS p FROM vocab),
+ws AS (SELECT word, length(word) AS len FROM dwords WHERE length(word) <= 100),
+st AS (SELECT word, len, unnest(range(0, len)) AS s FROM ws),
+cand AS (SELECT word, len, s, unnest(range(1, least((SELECT p FROM vlen), len - s) + 1)) AS l FROM st),
+hit AS (
+  SELECT c.word, c.len, c.s, c.l, v.token_id FROM cand c JOIN vocab v
+    ON v.piece = CASE WHEN c.s = 0 THEN substr(c.word, c.s + 1, c.l)
+                      ELSE '##' || substr(c.word, c.s + 1, c.l) END),
+best AS (SELECT word, len, s, max(l) AS l, arg_max(token_id, l) AS token_id FROM hit GROUP BY word, len, s),
+walk(word, len, pos, ids) AS (
+  SELECT word, len, 0::BIGINT, []::INTEGER[] FROM ws
+  UNION ALL
+  SELECT w.word, w.len, w.pos + b.l, list_append(w.ids, b.token_id::INTEGER)
+  FROM walk w JOIN best b ON b.word = w.word AND b.s = w.pos WHERE w.pos < w.len),
+seg AS (
+  SELECT d.word, coalesce(f.ids, [1]::INTEGER[]) AS ids
+  FROM dwords d LEFT JOIN (SELECT word, ids FROM walk WHERE pos = len) f ON d.word = f.word)"""
+
+
+def enc_cte(max_len: int | None) -> str:
+    body = "coalesce(per.ids, []::INTEGER[])"
+    if max_len is not None:
+        body = f"coalesce(per.ids[1:{max_len - 2}], []::INTEGER[])"
+    return f"""
+per AS (SELECT conv_id, turn, flatten(list(ids ORDER BY word_no)) AS ids
+        FROM rw JOIN seg USING (word) GROUP BY conv_id, turn),
+enc AS (SELECT r.conv_id, r.turn, [2]::INTEGER[] || {body} || [3]::INTEGER[] AS input_ids
+        FROM rows r LEFT JOIN per ON r.conv_id = per.conv_id AND r.turn = per.turn),
+encm AS (SELECT conv_id, turn, input_ids,
+                list_transform(input_ids, lambda x: 0) AS token_type_ids,
+                list_transform(input_ids, lambda x, i: CASE WHEN i = 1 OR i = len(input_ids)
+                                                           THEN 1 ELSE 0 END) AS special_tokens_mask,
+                list_transform(input_ids, lambda x: 1) AS attention_mask,
+                len(input_ids)::INTEGER AS length
+         FROM enc)"""
+
+
+def full_enc_sql(max_len: int | None) -> str:
+    return ("WITH RECURSIVE " + VOCAB_CTE + "," + conv_words_cte() + "," + SEG_CTE + ","
+            + enc_cte(max_len))
+
+
+def _s(c: str) -> str:
+    return f"array_to_string({c}, ' ') AS {c}"
+
+
+def _render(df: DataFrame, cols) -> DataFrame:
+    """Arrays as space-joined strings, so both engines hash the same text."""
+    for c in cols:
+        df = df.withColumn(c, F.array_join(F.col(c).cast("array<string>"), " "))
+    return df
+
+
+ENC_FIELDS = ("input_ids", "token_type_ids", "special_tokens_mask", "attention_mask")
+
+
+def conv_encoded(spark, sf_dir, max_len: int | None = 64, padding: bool = False) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return enc_ops.encode(rows, data_vocab(spark, sf_dir), max_len, "text", ["conv_id", "turn"],
+                          padding=padding, truncation=max_len is not None)
+
+
+@register("wordpiece_segment", full_enc_sql(64) + """
+SELECT word, array_to_string(ids, ' ') AS ids FROM seg""")
+def q_wordpiece_segment(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    words = vocab_ops.pretokenize(rows, "text", ["conv_id", "turn"])
+    return _render(enc_ops.wordpiece_segment(words, data_vocab(spark, sf_dir)), ["ids"])
+
+
+@register("encode", full_enc_sql(64) + f"""
+SELECT conv_id, turn, {', '.join(_s(c) for c in ENC_FIELDS)}, length FROM encm""")
+def q_encode(spark, sf_dir):
+    return _render(conv_encoded(spark, sf_dir, 64), ENC_FIELDS)
+
+
+@register("line_by_line", full_enc_sql(64) + f"""
+, pad AS (
+  SELECT conv_id, turn, length,
+         input_ids || list_transform(range(64 - len(input_ids)), lambda x: 0) AS input_ids,
+         token_type_ids || list_transform(range(64 - len(input_ids)), lambda x: 0) AS token_type_ids,
+         special_tokens_mask || list_transform(range(64 - len(input_ids)), lambda x: 1) AS special_tokens_mask,
+         attention_mask || list_transform(range(64 - len(input_ids)), lambda x: 0) AS attention_mask
+  FROM encm e JOIN rows r USING (conv_id, turn)
+  WHERE regexp_replace(r.text, '{RE2_STRIP}', '', 'g') <> '')
+SELECT conv_id, turn, {', '.join(_s(c) for c in ENC_FIELDS)}, length FROM pad""")
+def q_line_by_line(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    out = enc_ops.line_by_line(rows, data_vocab(spark, sf_dir), 64, "text", ["conv_id", "turn"],
+                               padding=True)
+    return _render(out, ENC_FIELDS)
+
+
+@register("max_samples", full_enc_sql(64) + f"""
+SELECT conv_id, turn, {_s('input_ids')}, length FROM encm ORDER BY conv_id, turn LIMIT 100""")
+def q_max_samples(spark, sf_dir):
+    enc = conv_encoded(spark, sf_dir, 64).select("conv_id", "turn", "input_ids", "length")
+    return _render(split.max_samples(enc, 100, ["conv_id", "turn"]), ["input_ids"])
+
+
+def _u01_sql(*parts: str) -> str:
+    return f"({h60_sql(*parts)} / 1152921504606846976.0)"
+
+
+@register("pack_blocks", full_enc_sql(None) + """,
+ix AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx FROM encm),
+gx AS (SELECT *, idx // 100 AS group_id, len(input_ids) AS n FROM ix),
+ox AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY group_id ORDER BY idx
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off,
+              (sum(n) OVER (PARTITION BY group_id))::BIGINT AS total FROM gx),
+tok AS (SELECT group_id, total, off + j AS q, input_ids[j + 1] AS t_id, token_type_ids[j + 1] AS t_tt,
+               attention_mask[j + 1] AS t_am, special_tokens_mask[j + 1] AS t_sm
+        FROM (SELECT *, unnest(range(0, n)) AS j FROM ox)),
+kept AS (SELECT *, q // 128 AS block_no FROM tok WHERE total < 128 OR q < (total // 128) * 128)
+SELECT group_id, block_no,
+       array_to_string(list(t_id ORDER BY q), ' ') AS input_ids,
+       array_to_string(list(t_tt ORDER BY q), ' ') AS token_type_ids,
+       array_to_string(list(t_am ORDER BY q), ' ') AS attention_mask,
+       array_to_string(list(t_sm ORDER BY q), ' ') AS special_tokens_mask
+FROM kept GROUP BY group_id, block_no""")
+def q_pack_blocks(spark, sf_dir):
+    enc = conv_encoded(spark, sf_dir, None)
+    return _render(enc_ops.pack_blocks(enc, 128, ["conv_id", "turn"], group_rows=100), ENC_FIELDS)
+
+
+@register("mask_tokens", full_enc_sql(64) + f""",
+m AS (SELECT conv_id, turn, input_ids, (SELECT count(*) FROM vocab) AS nv,
+             list_transform(input_ids, lambda x, i: special_tokens_mask[i] = 0
+                 AND {_u01_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'0'")} < 0.15) AS chosen
+      FROM encm)
+SELECT conv_id, turn,
+  array_to_string(list_transform(input_ids, lambda x, i: CASE
+      WHEN NOT chosen[i] THEN x
+      WHEN {_u01_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'1'")} < 0.8 THEN 4
+      WHEN {_u01_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'1'")} < 0.9
+        THEN ({h60_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'2'")} % nv)::INTEGER
+      ELSE x END), ' ') AS input_ids,
+  array_to_string(list_transform(input_ids, lambda x, i: CASE WHEN chosen[i] THEN x ELSE -100 END), ' ')
+    AS labels
+FROM m""")
+def q_mask_tokens(spark, sf_dir):
+    vocab = data_vocab(spark, sf_dir)
+    n_vocab = vocab.count()
+    enc = conv_encoded(spark, sf_dir, 64)
+    out = enc_ops.mask_tokens(enc, n_vocab, 4, 0.15, SEED, 0, ["conv_id", "turn"])
+    return _render(out.select("conv_id", "turn", "input_ids", "labels"), ["input_ids", "labels"])
+
+
+LB_CTE = f""",
+hx AS (SELECT conv_id, turn, length, {h60_sql("'42'", "conv_id", "turn")} AS h FROM encm),
+rx AS (SELECT *, row_number() OVER (ORDER BY h, conv_id, turn) - 1 AS rank FROM hx),
+nn AS (SELECT greatest(least(count(*) // 128, 50), 1) AS mult FROM hx),
+mx AS (SELECT *, rank // (32 * (SELECT mult FROM nn)) AS mega FROM rx),
+px AS (SELECT *, row_number() OVER (PARTITION BY mega ORDER BY length DESC, rank) - 1 AS pos FROM mx),
+star AS (SELECT mega AS m FROM px WHERE pos = 0 ORDER BY length DESC, mega LIMIT 1),
+sw AS (SELECT *, CASE WHEN pos = 0 AND mega = 0 THEN (SELECT m FROM star)
+                      WHEN pos = 0 AND mega = (SELECT m FROM star) THEN 0 ELSE mega END AS mega2 FROM px),
+lb AS (SELECT conv_id, turn, length, rank, (mega2 * (SELECT mult FROM nn) + pos // 32)::BIGINT AS batch_id,
+              (pos % 32)::INTEGER AS batch_pos FROM sw)"""
+
+
+@register("length_batches", full_enc_sql(64) + LB_CTE + """
+SELECT conv_id, turn, length, rank, batch_id, batch_pos FROM lb""")
+def q_length_batches(spark, sf_dir):
+    enc = conv_encoded(spark, sf_dir, 64).select("conv_id", "turn", "length")
+    return enc_ops.length_batches(enc, 32, None, SEED, ["conv_id", "turn"]).select(
+        "conv_id", "turn", "length", "rank", "batch_id", "batch_pos")
+
+
+@register("pad_batch", full_enc_sql(64) + LB_CTE + """,
+tg AS (SELECT lb.conv_id, lb.turn, lb.batch_id, e.input_ids, e.attention_mask,
+              (ceil(max(lb.length) OVER (PARTITION BY lb.batch_id) / 8.0) * 8)::INTEGER AS target
+       FROM lb JOIN encm e ON lb.conv_id = e.conv_id AND lb.turn = e.turn)
+SELECT conv_id, turn, batch_id,
+  array_to_string(input_ids || list_transform(range(target - len(input_ids)), lambda x: 0), ' ') AS input_ids,
+  array_to_string(attention_mask || list_transform(range(target - len(input_ids)), lambda x: 0), ' ')
+    AS attention_mask
+FROM tg""")
+def q_pad_batch(spark, sf_dir):
+    enc = conv_encoded(spark, sf_dir, 64)
+    lb = enc_ops.length_batches(enc, 32, None, SEED, ["conv_id", "turn"])
+    out = enc_ops.pad_batch(lb, "batch_id", 8)
+    return _render(out.select("conv_id", "turn", "batch_id", "input_ids", "attention_mask"),
+                   ["input_ids", "attention_mask"])
+
+
+# ================================================================ E: evaluation
+PRED_CTE = """
+pred AS (SELECT vec_id, vec_id // 32 AS batch_id, embedding,
+                (list_position(embedding, list_max(embedding)) - 1)::INTEGER AS pred, label
+         FROM embeddings)"""
+
+LOSS_SQL = ("(list_max(list_transform(embedding, lambda x: x::DOUBLE)) + ln(list_sum(list_transform("
+            "embedding, lambda x: exp(x::DOUBLE - list_max(list_transform(embedding, lambda y: y::DOUBLE)))))) "
+            "- embedding[label + 1]::DOUBLE)")
+
+
+def predictions(spark, sf_dir) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", F.floor(F.col("vec_id") / 32).alias("batch_id"), "embedding",
+                      metrics.argmax("embedding").alias("pred"), "label")
+
+
+@register("argmax", f"WITH {PRED_CTE} SELECT vec_id, pred FROM pred")
+def q_argmax(spark, sf_dir):
+    return predictions(spark, sf_dir).select("vec_id", "pred")
+
+
+@register("masked_accuracy", f"""
+WITH {PRED_CTE}
+SELECT avg(CASE WHEN pred = label THEN 1 ELSE 0 END) AS accuracy, count(*) AS n_scored
+FROM pred WHERE label <> -100""")
+def q_masked_accuracy(spark, sf_dir):
+    return metrics.masked_accuracy(predictions(spark, sf_dir))
+
+
+@register("accuracy_by_batch", f"""
+WITH {PRED_CTE},
+b AS (SELECT batch_id, sum(CASE WHEN pred = label THEN 1 ELSE 0 END) AS c, count(*) AS t
+      FROM pred WHERE label <> -100 GROUP BY batch_id)
+SELECT sum(c) / sum(t) AS accuracy, sum(c)::BIGINT AS n_correct, sum(t)::BIGINT AS n_scored,
+       count(*) AS n_batches FROM b""")
+def q_accuracy_by_batch(spark, sf_dir):
+    return metrics.accuracy_by_batch(predictions(spark, sf_dir))
+
+
+@register("perplexity", f"""
+WITH {PRED_CTE},
+l AS (SELECT {LOSS_SQL} AS loss FROM pred WHERE label <> -100)
+SELECT round(avg(loss), 6) AS eval_loss, round(exp(avg(loss)), 6) AS perplexity FROM l""")
+def q_perplexity(spark, sf_dir):
+    p = metrics.scored(predictions(spark, sf_dir))
+    out = metrics.perplexity(p.select(metrics.token_loss("embedding", "label").alias("loss")))
+    return out.select(F.round("eval_loss", 6).alias("eval_loss"), F.round("perplexity", 6).alias("perplexity"))
+
+
+@register("sample_counts", f"""
+WITH {CORPUS_CTE}
+SELECT split, least(500, count(*)) AS samples FROM corpus GROUP BY split""")
+def q_sample_counts(spark, sf_dir):
+    return metrics.sample_counts(corpus_lines(spark, sf_dir), 500)
+
+
+@register("evaluation", f"""
+WITH {PRED_CTE},
+s AS (SELECT *, {LOSS_SQL} AS loss FROM pred WHERE label <> -100)
+SELECT (sum(CASE WHEN pred = label THEN 1 ELSE 0 END) / count(*)) AS accuracy,
+       count(*) AS n_scored, round(avg(loss), 6) AS eval_loss, round(exp(avg(loss)), 6) AS perplexity,
+       least(1000, (SELECT count(*) FROM embeddings)) AS samples
+FROM s""")
+def q_evaluation(spark, sf_dir):
+    return recipes.evaluation(table(spark, sf_dir, "embeddings"), "embedding", "label",
+                              "vec_id", max_samples=1000)
