@@ -36,6 +36,24 @@ def split_sentences(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
 
 
 # ------------------------------------------------------------------ G2
+def cut_spans(docs: DataFrame, draws: DataFrame, min_len: int, text_col: str = "text",
+              id_col: str = "doc_id") -> DataFrame:
+    """Spans from given draws ``(id, span_no, r)``: span ``i`` starts after
+    the earlier draws, exists while at least ``min_len`` characters remain,
+    and is cut to what remains.  ``(id, span_no, start, span_len, span)``."""
+    lens = docs.select(id_col, F.length(text_col).alias("_len"))
+    w = (Window.partitionBy(id_col).orderBy("span_no")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    spans = (draws.join(lens, id_col)
+                  .withColumn("start", F.coalesce(F.sum("r").over(w), F.lit(0)))
+                  .where(F.col("_len") - F.col("start") >= min_len)
+                  .select(id_col, "span_no", "start",
+                          F.least(F.col("r"), F.col("_len") - F.col("start")).alias("span_len")))
+    return (spans.join(docs.select(id_col, text_col), id_col)
+                 .select(id_col, "span_no", "start", "span_len",
+                         F.col(text_col).substr(F.col("start") + 1, F.col("span_len")).alias("span")))
+
+
 def random_spans(df: DataFrame, min_len: int, max_len: int, text_col: str = "text",
                  id_col: str = "doc_id", seed: int = 42) -> DataFrame:
     """Contiguous spans of keyed-random length in ``[min_len, max_len]``.
@@ -51,21 +69,11 @@ def random_spans(df: DataFrame, min_len: int, max_len: int, text_col: str = "tex
     if not 0 < min_len <= max_len:
         raise ValueError("need 0 < min_len <= max_len")
     width = max_len - min_len + 1
-    docs = df.select(id_col, text_col, F.length(text_col).alias("_len")).where(
-        F.col("_len") >= min_len)
-    draws = (docs.select(id_col, "_len",
-                         F.explode(F.sequence(F.lit(0), F.ceil(F.col("_len") / min_len).cast("int") - 1))
-                          .alias("span_no"))
-                 .withColumn("_r", F.lit(min_len) + h60(F.lit(seed), id_col, "span_no") % width))
-    w = (Window.partitionBy(id_col).orderBy("span_no")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    spans = (draws.withColumn("start", F.coalesce(F.sum("_r").over(w), F.lit(0)))
-                  .where(F.col("_len") - F.col("start") >= min_len)
-                  .select(id_col, "span_no", "start",
-                          F.least(F.col("_r"), F.col("_len") - F.col("start")).alias("span_len")))
-    return (spans.join(docs.select(id_col, text_col), id_col)
-                 .select(id_col, "span_no", "start", "span_len",
-                         F.col(text_col).substr(F.col("start") + 1, F.col("span_len")).alias("span")))
+    docs = df.select(id_col, text_col).where(F.length(text_col) >= min_len)
+    draws = (docs.select(id_col, F.explode(F.sequence(
+                 F.lit(0), F.ceil(F.length(text_col) / min_len).cast("int") - 1)).alias("span_no"))
+                 .withColumn("r", F.lit(min_len) + h60(F.lit(seed), id_col, "span_no") % width))
+    return cut_spans(docs, draws, min_len, text_col, id_col)
 
 
 # ------------------------------------------------------------------ filters

@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Callable
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
@@ -137,21 +138,28 @@ def merged_piece(left: str, right: str) -> str:
 
 
 def _apply_merges(symbols: DataFrame, merges: list[tuple[str, str, str]]) -> DataFrame:
-    """Rewrite each word's symbols with the (left, right, new) merges in order,
-    left to right and non-overlapping per merge."""
-    col = F.col("symbols")
-    for left, right, new in merges:
-        empty = F.array().cast("array<string>")
+    """Rewrite each word's symbols with a batch of (left, right, new) merges.
 
-        def step(acc, x, left=left, right=right, new=new):
-            last = F.element_at(acc, -1)
-            hit = (F.size(acc) > 0) & (last == F.lit(left)) & (x == F.lit(right))
-            return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.lit(new)))) \
-                    .otherwise(F.concat(acc, F.array(x)))
+    The merges of one batch share no symbol, so one left-to-right pass that
+    looks the (previous, current) pair up in a literal map applies them all,
+    exactly as applying them one after the other.
+    """
+    if not merges:
+        return symbols
+    sep = "\u0001"
+    table = F.create_map(*[x for l, r, n in merges for x in (F.lit(l + sep + r), F.lit(n))])
+
+    def step(acc, x):
+        new = F.try_element_at(table, F.concat(F.element_at(acc, -1), F.lit(sep), x))
+        hit = (F.size(acc) > 0) & new.isNotNull()
+        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(new))) \
+                .otherwise(F.concat(acc, F.array(x)))
 
-        col = F.when(F.array_contains(col, left) & F.array_contains(col, right),
-                     F.aggregate(col, empty, step)).otherwise(col)
-    return symbols.withColumn("symbols", col)
+    lefts = F.array(*[F.lit(l) for l in {m[0] for m in merges}])
+    touched = F.arrays_overlap(F.col("symbols"), lefts)
+    empty = F.array().cast("array<string>")
+    return symbols.withColumn("symbols", F.when(touched, F.aggregate("symbols", empty, step))
+                              .otherwise(F.col("symbols")))
 
 
 def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet: int | None = 6129,
@@ -179,8 +187,11 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
     alpha = alphabet(counts, limit_alphabet)
     alpha_chars = sorted(r["char"] for r in alpha.select("char").collect())  # <= limit rows
     symbols = word_symbols(counts, alpha).checkpoint(eager=True)
-    cont = sorted(r["s"] for r in symbols.select(F.explode(F.slice(
-        "symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0)))).alias("s")).distinct().collect())
+    cont_rows = symbols.select(F.explode(F.slice(
+        "symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0)))).alias("s")).distinct().collect()
+    # a single-symbol word has no pair and never changes again
+    symbols = symbols.where(F.size("symbols") > 1)
+    cont = sorted(r["s"] for r in cont_rows)
     vocab = list(specials)
     known = set(vocab)
     for p in alpha_chars + cont:
@@ -228,9 +239,15 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
             if new not in known:
                 vocab.append(new)
                 known.add(new)
-        symbols = _apply_merges(symbols, accepted)
+        previous = symbols
+        symbols = _apply_merges(symbols, accepted).where(F.size("symbols") > 1)
         rounds += 1
         if rounds % checkpoint_every == 0:
-            symbols = symbols.checkpoint(eager=True)
+            symbols = symbols.checkpoint(eager=True)      # cut the lineage
+        else:
+            symbols = symbols.persist(StorageLevel.MEMORY_AND_DISK)
+            symbols.count()
+        if previous.storageLevel.useMemory or previous.storageLevel.useDisk:
+            previous.unpersist()
     rows = [(i, p) for i, p in enumerate(vocab[:vocab_size])]
     return spark.createDataFrame(rows, "token_id int, piece string")

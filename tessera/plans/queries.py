@@ -824,3 +824,21 @@ FROM s""")
 def q_evaluation(spark, sf_dir):
     return recipes.evaluation(table(spark, sf_dir, "embeddings"), "embedding", "label",
                               "vec_id", max_samples=1000)
+
+
+# ================================================================ R3, R4, W4 (no SQL oracle)
+@register("learn_wordpiece")
+def q_learn_wordpiece(spark, sf_dir):
+    """Iterative learner: no SQL form; values are checked by a pytest against
+    a one-merge-at-a-time restatement."""
+    counts = vocab_ops.word_counts(doc_words(spark, sf_dir))
+    return vocab_ops.learn_wordpiece(counts, vocab_size=400, limit_alphabet=6129)
+
+
+@register("training_table")
+def q_training_table(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    out = recipes.training_table(conv, data_vocab(spark, sf_dir), True, 64, 400, 32,
+                                 seed=SEED, id_cols=["conv_id", "turn"])
+    return _render(out.select("conv_id", "turn", "batch_id", "batch_pos", *ENC_FIELDS, "labels"),
+                   [*ENC_FIELDS, "labels"])

@@ -89,3 +89,61 @@ def evaluation(df: DataFrame, logits_col: str = "logits", label_col: str = "labe
             .join(n.withColumn("_k", F.lit(1)), "_k")
             .select("accuracy", "n_scored", F.round("eval_loss", 6).alias("eval_loss"),
                     F.round("perplexity", 6).alias("perplexity"), samples.alias("samples")))
+
+
+# ------------------------------------------------------------------ R3
+def vocabulary(train_lines: DataFrame, sample_size: int = 10_000_000, vocab_size: int = 32768,
+               limit_alphabet: int = 6129, num_unused: int = 10, seed: int = 42,
+               line_col: str = "line", key_cols=("doc_id", "line_no"),
+               mode: str = "whitespace", splitter=None, min_frequency: int = 2) -> DataFrame:
+    """Vocabulary: drop empty lines -> uniform sample of ``sample_size`` lines
+    -> words -> counts -> WordPiece learner.  Output ``(token_id, piece)``;
+    write it with ``sinks.write_vocab``."""
+    from tessera.operators import vocab as V
+    lines = corpus.drop_empty_lines(train_lines, line_col)
+    if sample_size > 0:
+        lines = split.shuffle_sample(lines, sample_size, key_cols, seed)
+    words = V.pretokenize(lines, line_col, key_cols, mode, splitter)
+    counts = V.word_counts(words)
+    return V.learn_wordpiece(counts, vocab_size, limit_alphabet, num_unused, min_frequency)
+
+
+# ------------------------------------------------------------------ R4
+def index_rows(df: DataFrame, id_col: str = "row_id") -> DataFrame:
+    """Number the rows of a dataset in scan (file) order, as examples are."""
+    from tessera.operators.rowindex import with_row_index
+    marked = df.withColumn("_scan", F.monotonically_increasing_id())
+    return with_row_index(marked, ["_scan"], id_col).drop("_scan")
+
+
+def training_table(dataset: DataFrame, vocab: DataFrame, line_by_line: bool = True,
+                   max_len: int = 512, max_samples: int | None = None, batch_size: int = 32,
+                   mega_mult: int | None = None, mlm_probability: float = 0.15,
+                   pad_multiple: int | None = 8, group_rows: int = 1000, seed: int = 42,
+                   epoch: int = 0, id_cols=None) -> DataFrame:
+    """Masked-LM training table: text column -> (line-by-line encoding | encode
+    and pack) -> first ``max_samples`` -> length-grouped batches -> masking
+    -> padding per batch.  ``id_cols`` default: rows numbered in scan order.
+    """
+    from tessera.operators import encode as E
+    from tessera.sources.readers import text_column
+    if id_cols is None:
+        rows, ids = index_rows(text_column(dataset)), ["row_id"]
+    else:
+        ids = list(id_cols)
+        name = "text" if "text" in dataset.columns else [c for c in dataset.columns if c not in ids][0]
+        rows = dataset.select(*ids, F.col(name).alias("text"))
+    if line_by_line:
+        enc = E.line_by_line(rows, vocab, max_len, "text", ids)
+    else:
+        enc = E.encode(rows, vocab, None, "text", ids, truncation=False)
+        enc = E.pack_blocks(enc, max_len, ids, group_rows)
+        ids = ["group_id", "block_no"]
+        enc = enc.withColumn("length", F.size("input_ids"))
+    enc = split.max_samples(enc, max_samples, ids)
+    batched = E.length_batches(enc, batch_size, mega_mult, seed, ids)
+    n_vocab = vocab.count()   # one scalar
+    mask_id = int(vocab.where(F.col("piece") == "[MASK]").select("token_id").first()[0])
+    masked = E.mask_tokens(batched, n_vocab, mask_id, mlm_probability, seed, epoch, ids)
+    multiple = pad_multiple if line_by_line else None
+    return E.pad_batch(masked, "batch_id", multiple)

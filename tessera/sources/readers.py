@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import PY_WS_CLASS
+from tessera.sources import fs
 
 # Blank characters other than the newline (a "blank line" holds only these).
 _BLANK_NO_NL = r"[\t\x0b-\r\x1c-\x20\x85\p{Z}]"
@@ -36,7 +35,7 @@ def read_lines(spark: SparkSession, path, line_col: str = "line") -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     _reject_xz(paths)
     reader = spark.read.format("text")
-    if len(paths) == 1 and os.path.isdir(paths[0]):
+    if len(paths) == 1 and fs.is_dir(spark, paths[0]):
         reader = reader.option("pathGlobFilter", "*.*")
     return reader.load(paths).withColumnRenamed("value", line_col)
 
@@ -71,7 +70,7 @@ def read_json_docs(spark: SparkSession, path, mode: str = "PERMISSIVE") -> DataF
 
     Lines without ``text`` (index / metadata lines) and empty texts drop out.
     In ``PERMISSIVE`` mode malformed lines are kept aside in
-    ``_corrupt_record`` (see ``corrupt_json_lines``); ``FAILFAST`` raises.
+    ``_corrupt_record`` (counted by ``json_doc_stats``); ``FAILFAST`` raises.
     """
     raw = (spark.read.schema(JSON_DOC_SCHEMA).option("mode", mode)
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
@@ -79,23 +78,28 @@ def read_json_docs(spark: SparkSession, path, mode: str = "PERMISSIVE") -> DataF
                      & (F.col("text") != "")).select("title", "text")
 
 
-def corrupt_json_lines(spark: SparkSession, path) -> DataFrame:
-    """The malformed lines of a JSON-lines source."""
+def json_doc_stats(spark: SparkSession, path) -> DataFrame:
+    """One row ``(n_lines, n_docs, n_corrupt)`` for a JSON-lines source: all
+    lines, lines kept as documents, malformed lines (reported, not fatal)."""
     raw = (spark.read.schema(JSON_DOC_SCHEMA)
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    return raw.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    doc = F.col("_corrupt_record").isNull() & F.col("text").isNotNull() & (F.col("text") != "")
+    return raw.agg(F.count(F.lit(1)).alias("n_lines"),
+                   F.count(F.when(doc, 1)).alias("n_docs"),
+                   F.count("_corrupt_record").alias("n_corrupt"))
 
 
 # ------------------------------------------------------------------ S4, S5
-def dataset_format(path: str) -> str:
+def dataset_format(spark: SparkSession, path: str) -> str:
     """Format from the suffix; a directory takes its first data file's suffix."""
     p = path
-    if os.path.isdir(path):
-        names = sorted(n for n in os.listdir(path) if not n.startswith((".", "_")))
+    if fs.is_dir(spark, path):
+        names = [n for n in fs.list_names(spark, path) if not n.startswith((".", "_"))]
         if not names:
             raise ValueError(f"{path}: empty directory")
         p = names[0]
-    ext = p.rsplit(".", 1)[-1].lower() if "." in os.path.basename(p) else ""
+    base = p.rstrip("/").rsplit("/", 1)[-1]
+    ext = base.rsplit(".", 1)[-1].lower() if "." in base else ""
     if ext not in DATASET_FORMATS:
         raise ValueError(f"{path}: format must be one of {sorted(DATASET_FORMATS)}")
     return DATASET_FORMATS[ext]
@@ -103,7 +107,7 @@ def dataset_format(path: str) -> str:
 
 def read_dataset(spark: SparkSession, train_path: str, valid_path: str | None = None):
     """``(train, valid)`` DataFrames; valid is read in train's format."""
-    fmt = dataset_format(train_path)
+    fmt = dataset_format(spark, train_path)
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
