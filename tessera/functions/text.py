@@ -8,7 +8,6 @@ Arrow-batched pandas UDF hop.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pandas as pd
@@ -66,40 +65,28 @@ def collapse_ws(col) -> Column:
 
 
 # ---------------------------------------------------------------- T2, T3
-_NON_PRINTABLE = None
-
-
-def _non_printable_re():
-    """Regex of every code point that ``str.isprintable`` rejects.
-
-    Built from the rule at first use on the executor, not from a table.
-    """
-    global _NON_PRINTABLE
-    if _NON_PRINTABLE is None:
-        ranges, start = [], None
-        for cp in range(0x110000):
-            bad = not chr(cp).isprintable()
-            if bad and start is None:
-                start = cp
-            elif not bad and start is not None:
-                ranges.append((start, cp - 1))
-                start = None
-        if start is not None:
-            ranges.append((start, 0x10FFFF))
-        body = "".join(
-            f"\\U{a:08x}" if a == b else f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
-        _NON_PRINTABLE = re.compile(f"[{body}]+")
-    return _NON_PRINTABLE
-
-
 def nfkc_py(s):
     return None if s is None else unicodedata.normalize("NFKC", s)
 
 
 def printable_py(s):
+    """Drop the characters ``str.isprintable`` rejects (categories C*, Z*
+    except U+0020).  Line breaks and tabs, the usual culprits, go first with
+    ``str.replace``; only if something else remains are the string's distinct
+    characters tested."""
     if s is None or s.isprintable():
         return s
-    return _non_printable_re().sub("", s)
+    for c in _USUAL_UNPRINTABLE:
+        if c in s:
+            s = s.replace(c, "")
+    if s.isprintable():
+        return s
+    for c in {c for c in set(s) if not c.isprintable()}:
+        s = s.replace(c, "")
+    return s
+
+
+_USUAL_UNPRINTABLE = ("\n", "\r", "\t")
 
 
 @F.pandas_udf(StringType())

@@ -121,14 +121,18 @@ def word_symbols(counts: DataFrame, alphabet_df: DataFrame) -> DataFrame:
         .alias("symbols"))
 
 
+def pair_rows(symbols: DataFrame, sign: int = 1) -> DataFrame:
+    """One row per adjacent symbol pair of each word, ``(left, right, n)``
+    with the word's count times ``sign`` (not aggregated)."""
+    size = F.greatest(F.size("symbols") - 1, F.lit(0))
+    pairs = symbols.select((F.col("n") * sign).alias("n"), F.explode(F.arrays_zip(
+        F.slice("symbols", 1, size).alias("l"), F.slice("symbols", 2, size).alias("r"))).alias("p"))
+    return pairs.select(F.col("p.l").alias("left"), F.col("p.r").alias("right"), "n")
+
+
 def pair_counts(symbols: DataFrame) -> DataFrame:
     """Adjacent symbol pairs weighted by word count ``(left, right, n)``."""
-    pairs = symbols.select("n", F.explode(F.arrays_zip(
-        F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("l"),
-        F.slice("symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0))).alias("r")))
-        .alias("p"))
-    return pairs.groupBy(F.col("p.l").alias("left"), F.col("p.r").alias("right")) \
-                .agg(F.sum("n").alias("n"))
+    return pair_rows(symbols).groupBy("left", "right").agg(F.sum("n").alias("n"))
 
 
 def merged_piece(left: str, right: str) -> str:
@@ -162,21 +166,71 @@ def _apply_merges(symbols: DataFrame, merges: list[tuple[str, str, str]]) -> Dat
                               .otherwise(F.col("symbols")))
 
 
+def _choose_batch(top, candidates, known, room, min_frequency, batch, exact=True):
+    """Merges to apply this round, taken down the ranked pair list.
+
+    The first pair always; further ones only while provably equal to
+    merging one pair at a time: no symbol shared with an accepted pair, the
+    count strictly above every not-accepted pair touching an accepted symbol
+    (and above the first pair not fetched), the product not yet a symbol, and
+    no self-pair accepted.
+    """
+    cut = top[candidates]["n"] if len(top) > candidates else None
+    top = top[:candidates]
+    accepted, used, blocked_max = [], set(), -1
+    for k, row in enumerate(top):
+        l, r, n = row["left"], row["right"], row["n"]
+        if n < min_frequency:
+            break
+        new = merged_piece(l, r)
+        if k == 0:
+            accepted.append((l, r, new))
+            used.update((l, r))
+            if not batch or l == r or new in known:
+                break
+            continue
+        if l in used or r in used:
+            blocked_max = max(blocked_max, n)
+            continue
+        if len(accepted) >= room or new in known or any(new == a[2] for a in accepted):
+            break
+        if not exact:                 # large batches: symbol-disjoint pairs only
+            accepted.append((l, r, new))
+            used.update((l, r))
+            continue
+        touching = [t["n"] for t in top[k + 1:] if t["left"] in used or t["right"] in used]
+        if n <= max([blocked_max] + touching) or (cut is not None and n <= cut):
+            break
+        accepted.append((l, r, new))
+        used.update((l, r))
+        if l == r:
+            break
+    return accepted
+
+
 def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet: int | None = 6129,
                     num_unused: int = 10, min_frequency: int = 2, batch: bool = True,
-                    candidates: int = 200, checkpoint_every: int = 10) -> DataFrame:
+                    candidates: int = 200, checkpoint_every: int = 2,
+                    exact: bool = True) -> DataFrame:
     """WordPiece vocabulary by iterative pair merging over the distinct words.
 
     Start: special tokens, the alphabet in code-point order, then the ``##``
-    forms of the characters that occur after a word's first character.  Each
-    round counts adjacent pairs (one aggregation), takes the best by (count
-    desc, left, right) and rewrites the words.  With ``batch`` several merges
+    forms of the characters that occur after a word's first character.  The
+    pair counts are aggregated once; each round takes the best pairs by
+    (count desc, left, right), rewrites the words, and corrects the counts
+    with the pairs of the rewritten words only (old pairs subtracted, new
+    pairs added), so a round touches the words that hold a merged symbol,
+    not the whole table.  With ``batch`` several merges
     are accepted in one round when that provably equals one-at-a-time:
     candidates are taken down the ranking while they share no symbol with an
     accepted pair and their count is strictly above every not-accepted pair
     touching an accepted symbol; a self-pair or an already known product
-    ends the batch.  Stops at ``vocab_size`` or when the best count is below
-    ``min_frequency``.  The word table is checkpointed every few rounds.
+    ends the batch.  ``exact=False`` drops the count condition and takes
+    every symbol-disjoint pair among the ``candidates`` best: far fewer
+    rounds for a full-size vocabulary, at the price of merges that a
+    one-at-a-time learner might order differently.  Stops at ``vocab_size`` or when the best count is below
+    ``min_frequency``.  Word and pair tables are persisted per round and
+    checkpointed every ``checkpoint_every`` rounds.
 
     Output ``(token_id, piece)``.
     """
@@ -198,56 +252,47 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
         if p not in known:
             vocab.append(p)
             known.add(p)
+    symbols = symbols.persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = pair_counts(symbols).persist(StorageLevel.MEMORY_AND_DISK)
+    # Release order: the top-pairs job of round k materialises pairs_k and,
+    # by reading it, symbols_(k-1); only then may pairs_(k-1) and
+    # symbols_(k-2) go.
+    stale_pairs: DataFrame | None = None
+    stale_symbols: list[DataFrame] = []
     rounds = 0
     while len(vocab) < vocab_size:
-        pc = pair_counts(symbols)
-        top = pc.orderBy(F.desc("n"), "left", "right").limit(candidates + 1).collect()
+        top = pairs.orderBy(F.desc("n"), "left", "right").limit(candidates + 1).collect()
+        if stale_pairs is not None:
+            stale_pairs.unpersist()
+        while len(stale_symbols) > 1:
+            stale_symbols.pop(0).unpersist()
         if not top or top[0]["n"] < min_frequency:
             break
-        complete = len(top) <= candidates
-        cut = None if complete else top[candidates]["n"]
-        top = top[:candidates]
-        accepted, used = [], set()
-        blocked_max = -1
-        room = vocab_size - len(vocab)
-        for k, row in enumerate(top):
-            l, r, n = row["left"], row["right"], row["n"]
-            if n < min_frequency:
-                break
-            new = merged_piece(l, r)
-            if k == 0:
-                accepted.append((l, r, new))
-                used.update((l, r))
-                if not batch or l == r or new in known:
-                    break
-                continue
-            if l in used or r in used:
-                blocked_max = max(blocked_max, n)
-                continue
-            if len(accepted) >= room or new in known or any(new == a[2] for a in accepted):
-                break
-            # every later pair touching a used symbol must rank strictly lower
-            touching = [t["n"] for t in top[k + 1:] if t["left"] in used or t["right"] in used]
-            bound = max([blocked_max] + touching)
-            if n <= bound or (cut is not None and n <= cut):
-                break
-            accepted.append((l, r, new))
-            used.update((l, r))
-            if l == r:
-                break
+        accepted = _choose_batch(top, candidates, known, vocab_size - len(vocab),
+                                 min_frequency, batch, exact)
         for l, r, new in accepted:
             if new not in known:
                 vocab.append(new)
                 known.add(new)
-        previous = symbols
-        symbols = _apply_merges(symbols, accepted).where(F.size("symbols") > 1)
+        # incremental pair counts: only words holding a merged left symbol change
+        lefts = F.array(*[F.lit(l) for l in sorted({a[0] for a in accepted})])
+        before = symbols.where(F.arrays_overlap("symbols", lefts))
+        after = _apply_merges(before, accepted)
+        delta = pair_rows(after).unionByName(pair_rows(before, -1))
+        new_pairs = (pairs.unionByName(delta).groupBy("left", "right")
+                     .agg(F.sum("n").alias("n")).where(F.col("n") > 0))
+        new_symbols = _apply_merges(symbols, accepted).where(F.size("symbols") > 1)
         rounds += 1
-        if rounds % checkpoint_every == 0:
-            symbols = symbols.checkpoint(eager=True)      # cut the lineage
+        stale_pairs = pairs
+        stale_symbols.append(symbols)
+        if rounds % checkpoint_every == 0:            # cut the lineage
+            new_symbols = new_symbols.checkpoint(eager=True)
+            new_pairs = new_pairs.checkpoint(eager=True)
         else:
-            symbols = symbols.persist(StorageLevel.MEMORY_AND_DISK)
-            symbols.count()
-        if previous.storageLevel.useMemory or previous.storageLevel.useDisk:
-            previous.unpersist()
+            new_symbols = new_symbols.persist(StorageLevel.MEMORY_AND_DISK)
+            new_pairs = new_pairs.persist(StorageLevel.MEMORY_AND_DISK)
+        symbols, pairs = new_symbols, new_pairs
+    for old in stale_symbols + [symbols, pairs] + ([stale_pairs] if stale_pairs is not None else []):
+        old.unpersist()
     rows = [(i, p) for i, p in enumerate(vocab[:vocab_size])]
     return spark.createDataFrame(rows, "token_id int, piece string")
