@@ -18,6 +18,9 @@ from tessera.operators.rowindex import with_row_index
 SPECIAL_TOKENS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
 UNUSED_TEMPLATE = "<unused{}>"
 CONTINUATION_PREFIX = "##"
+# Unicode White_Space, stripped by the normaliser before an analyser runs.
+WHITE_SPACE_CHARS = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+                     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 ANALYSER_MODES = ("unidic_lite", "unidic", "ipadic")
 # ---------------------------------------------------------------------------
 
@@ -30,14 +33,17 @@ def special_token_list(num_unused: int = 10) -> list[str]:
 def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
                 mode: str = "whitespace",
                 splitter: Callable[[str], list[str]] | None = None) -> DataFrame:
-    """NFKC + strip, then words ``(ids..., word_no, word)``.
+    """NFKC, then words ``(ids..., word_no, word)``.
+
+    The normaliser's strip removes Unicode White_Space at the ends, which the
+    whitespace split drops anyway, so it is not a separate step.
 
     ``whitespace`` splits on Unicode White_Space inside the JVM.  The analyser
     modes need a caller-supplied ``splitter(text) -> list[str]`` (the
     morphological analyser is a per-row library); it runs in one Arrow batch
     UDF.  Any other mode is an error.
     """
-    normalized = T.strip_ws(T.nfkc(F.col(text_col)))
+    normalized = T.nfkc(F.col(text_col))
     if mode == "whitespace":
         words = T.whitespace_words(normalized)
     elif mode in ANALYSER_MODES:
@@ -46,7 +52,8 @@ def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
 
         @F.pandas_udf(ArrayType(StringType()))
         def _split(s: pd.Series) -> pd.Series:
-            return s.map(lambda t: [w for w in splitter(t) if w], na_action="ignore")
+            return s.map(lambda t: [w for w in splitter(t.strip(WHITE_SPACE_CHARS)) if w],
+                         na_action="ignore")
 
         words = _split(normalized)
     else:

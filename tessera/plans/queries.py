@@ -505,7 +505,8 @@ def doc_words(spark, sf_dir) -> DataFrame:
 
 
 def data_vocab(spark, sf_dir) -> DataFrame:
-    counts = vocab_ops.word_counts(doc_words(spark, sf_dir))
+    # the counts feed four selections below: compute them once
+    counts = vocab_ops.word_counts(doc_words(spark, sf_dir)).checkpoint(eager=True)
     chars = vocab_ops.alphabet(counts, None).select(F.col("char").alias("piece"))
     top = counts.orderBy(F.desc("n"), "word").limit(2000).select(F.col("word").alias("piece"))
     top5 = counts.orderBy(F.desc("n"), "word").limit(500).select(F.col("word").alias("piece"))
