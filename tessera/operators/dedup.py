@@ -54,46 +54,83 @@ def dedup_recent(df: DataFrame, window: int, value_col: str = "sentence",
 
 
 # ------------------------------------------------------------------ D3
-def _lru_filter(value_idx: int, shard_idx: int, cache_len: int):
+# Positions per chunk in dedup_lru: each chunk is replayed by one task.
+LRU_CHUNK = 1 << 20
+
+
+def _top_recent(df: DataFrame, cache_len: int, keys) -> DataFrame:
+    """Per ``keys`` group, the ``cache_len`` values with the latest ``last``
+    position (one row per value, its latest position kept)."""
+    latest = df.groupBy(*keys, "_v").agg(F.max("_last").alias("_last"))
+    w = Window.partitionBy(*keys).orderBy(F.desc("_last"))
+    return latest.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cache_len).drop("_r")
+
+
+def _lru_replay(cache_len: int, cols: list[str]):
+    """Replay the recency cache over rows sorted by (shard, chunk, kind, order):
+    kind 0 rows seed the cache (oldest first), kind 1 rows are decided."""
     def run(batches):
         cache: OrderedDict = OrderedDict()
-        shard = object()
+        group = None
         for pdf in batches:
             keep = []
-            values = pdf.iloc[:, value_idx].tolist()
-            shards = pdf.iloc[:, shard_idx].tolist()
-            for v, s in zip(values, shards):
-                if s != shard:
+            for s, c, kind, v in zip(pdf["_s"].tolist(), pdf["_c"].tolist(),
+                                     pdf["_kind"].tolist(), pdf["_v"].tolist()):
+                if (s, c) != group:
                     cache.clear()
-                    shard = s
+                    group = (s, c)
                 hit = v in cache
                 cache[v] = None
                 cache.move_to_end(v)
                 if len(cache) > cache_len:
                     cache.popitem(last=False)
-                keep.append(not hit)
-            yield pdf[keep]
+                keep.append(kind == 1 and not hit)
+            yield pdf.loc[keep, cols]
     return run
 
 
 def dedup_lru(df: DataFrame, cache_len: int = 10_000, value_col: str = "sentence",
               shard_col: str = "shard", pos_col: str = "pos",
-              num_partitions: int | None = None) -> DataFrame:
-    """Exact bounded recency-cache semantics per shard.
+              chunk_len: int = LRU_CHUNK, num_partitions: int | None = None) -> DataFrame:
+    """Exact bounded recency-cache semantics per shard, in parallel chunks.
 
     A row is dropped iff its value is still in the shard's cache: fewer than
     ``cache_len`` distinct values were seen since its last access (a hit
-    refreshes recency).  Rows are hash-partitioned by shard and sorted by
-    (shard, position); each task streams its Arrow batches through one
-    ordered map of at most ``cache_len`` entries, reset when the shard
-    changes.  Parallelism equals the number of shards, as in the
-    sequential original; memory per task is bounded by ``cache_len``.
+    refreshes recency).  The cache before any position holds exactly the
+    ``cache_len`` most recently seen distinct values, so each chunk of
+    ``chunk_len`` positions can be replayed on its own from that seed:
+
+    1. per chunk, the ``cache_len`` latest distinct values (a window over one
+       chunk);
+    2. a prefix over chunks with the associative "latest ``cache_len`` of a
+       union" (log2(chunks) rounds, every group at most ``2 * cache_len``
+       rows) gives the seed of every chunk;
+    3. seed rows then chunk rows, sorted, stream through one ordered map of
+       at most ``cache_len`` entries per task.
+
+    No group exceeds ``chunk_len + cache_len`` rows, whatever the shard size.
     """
     if cache_len <= 0:
         raise ValueError("cache_len must be positive")
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartition(n, shard_col).sortWithinPartitions(shard_col, pos_col)
-    cols = ordered.columns
-    fn = _lru_filter(cols.index(value_col), cols.index(shard_col), cache_len)
-    return ordered.mapInPandas(fn, schema=ordered.schema)
+    cols = df.columns
+    rows = df.withColumn("_s", F.col(shard_col)).withColumn(
+        "_c", F.floor(F.col(pos_col) / chunk_len)).withColumn("_v", F.col(value_col))
+    summary = _top_recent(rows.select("_s", "_c", "_v", F.col(pos_col).alias("_last")),
+                          cache_len, ["_s", "_c"])
+    max_chunk = rows.agg(F.max("_c")).first()[0] or 0      # one scalar
+    prefix, span = summary, 1
+    while span <= max_chunk:
+        shifted = prefix.withColumn("_c", F.col("_c") + span).where(F.col("_c") <= max_chunk)
+        prefix = _top_recent(prefix.unionByName(shifted), cache_len, ["_s", "_c"])
+        span *= 2
+        if span <= max_chunk:
+            prefix = prefix.checkpoint(eager=True)
+    # the seed of chunk c is the prefix up to chunk c - 1
+    seeds = prefix.select("_s", (F.col("_c") + 1).alias("_c"), "_v",
+                          F.lit(0).alias("_kind"), F.col("_last").alias("_ord"))
+    body = rows.withColumn("_kind", F.lit(1)).withColumn("_ord", F.col(pos_col))
+    both = body.unionByName(seeds, allowMissingColumns=True)
+    ordered = both.repartition(n, "_s", "_c").sortWithinPartitions("_s", "_c", "_kind", "_ord")
+    return ordered.mapInPandas(_lru_replay(cache_len, cols), schema=df.schema)

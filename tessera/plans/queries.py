@@ -27,6 +27,7 @@ NUM_FILES = 32
 DEDUP_SHARDS = 4
 RECENT_WINDOW = 200
 LRU_CACHE = 50
+LRU_CHUNK = 512          # several chunks per shard at sf 0.01: the parallel path
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -372,7 +373,8 @@ WHERE a.prev IS NULL
    OR (SELECT count(DISTINCT b.line) FROM pos b
        WHERE b.shard = a.shard AND b.pos > a.prev AND b.pos < a.pos) >= {LRU_CACHE}""")
 def q_dedup_lru(spark, sf_dir):
-    return dedup.dedup_lru(shard_positions(spark, sf_dir), LRU_CACHE, value_col="line") \
+    return dedup.dedup_lru(shard_positions(spark, sf_dir), LRU_CACHE, value_col="line",
+                           chunk_len=LRU_CHUNK) \
         .select("doc_id", "line_no", "line", "shard", "pos")
 
 

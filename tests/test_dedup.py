@@ -40,6 +40,16 @@ def test_lru_random_matches_cache(spark):
     assert got == want
 
 
+def test_lru_chunks_equal_whole_shards(spark):
+    rnd = random.Random(11)
+    shards = {s: [rnd.choice("abcdefghijklmnop") for _ in range(500)] for s in range(3)}
+    df = frame(spark, shards)
+    want = {(s, p) for s, seq in shards.items() for p, k in enumerate(lru_keep(seq, 5)) if k}
+    for chunk in (7, 64, 1 << 20):
+        got = {(r.shard, r.pos) for r in dedup.dedup_lru(df, 5, chunk_len=chunk).collect()}
+        assert got == want, chunk
+
+
 def test_recent_matches_loop_and_slices(spark):
     rnd = random.Random(3)
     shards = {s: [rnd.choice("abcdef") for _ in range(400)] for s in range(3)}
