@@ -13,7 +13,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour.
@@ -101,6 +101,16 @@ def nfkc_printable(s: pd.Series) -> pd.Series:
     return s.map(lambda v: printable_py(nfkc_py(v)), na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def nfkc_array(s: pd.Series) -> pd.Series:
+    """NFKC of every element of an array column.
+
+    Normalising the whole array before an explode keeps later filters on the
+    elements from being pushed below the Python hop (which would run it twice).
+    """
+    return s.map(lambda a: [nfkc_py(x) for x in a], na_action="ignore")
+
+
 @F.pandas_udf(StringType())
 def drop_unprintable(s: pd.Series) -> pd.Series:
     """Delete characters of categories C* and Z* except U+0020 (T3)."""

@@ -11,13 +11,17 @@ from tessera.functions.keyed import h60
 
 # ------------------------------------------------------------------ G3
 def explode_lines(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
-                  line_col: str = "line") -> DataFrame:
+                  line_col: str = "line", normalize: bool = False) -> DataFrame:
     """Document -> numbered lines ``(ids..., line_no, line)``.
 
     Lines end at ``\\n``, ``\\r\\n`` or ``\\r``, as when reading a text file.
+    With ``normalize`` each line is stripped and NFKC'd (T12) before the
+    explode, in one Arrow call per batch of documents.
     """
-    return df.select(*id_cols, F.posexplode(F.split(F.col(text_col), r"\r\n|\r|\n"))
-                     .alias("line_no", line_col))
+    lines = F.split(F.col(text_col), r"\r\n|\r|\n")
+    if normalize:
+        lines = T.nfkc_array(F.transform(lines, T.strip_ws))
+    return df.select(*id_cols, F.posexplode(lines).alias("line_no", line_col))
 
 
 # ------------------------------------------------------------------ G1
@@ -29,10 +33,10 @@ def split_sentences(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
     ASCII full stop never cuts.  With ``normalize`` each sentence is NFKC'd
     after splitting.
     """
-    out = df.select(*id_cols, F.posexplode(T.sentence_array(text_col)).alias("sent_no", sentence_col))
+    sents = T.sentence_array(text_col)
     if normalize:
-        out = out.withColumn(sentence_col, T.nfkc(sentence_col))
-    return out
+        sents = T.nfkc_array(sents)
+    return df.select(*id_cols, F.posexplode(sents).alias("sent_no", sentence_col))
 
 
 # ------------------------------------------------------------------ G2

@@ -118,7 +118,7 @@ def doc_lines(spark, sf_dir) -> DataFrame:
 
 def corpus_lines(spark, sf_dir) -> DataFrame:
     """G3 -> T12 -> F1 -> P1 -> P2: the plain-text corpus before caps."""
-    lines = doc_lines(spark, sf_dir).withColumn("line", T.normalize_line("line"))
+    lines = corpus.explode_lines(table(spark, sf_dir, "documents"), normalize=True)
     lines = corpus.nonempty_lines(lines)
     lines = split.assign_shard(lines, NUM_FILES, seed=SEED)
     return split.train_valid_split(lines, NUM_FILES)
@@ -239,7 +239,7 @@ SELECT doc_id, line_no, line FROM (
   SELECT doc_id, line_no, regexp_replace(line, '{RE2_STRIP}', '', 'g') AS line FROM lines)
 WHERE length(line) > 0""")
 def q_nonempty_lines(spark, sf_dir):
-    return corpus.nonempty_lines(doc_lines(spark, sf_dir).withColumn("line", T.normalize_line("line")))
+    return corpus.nonempty_lines(corpus.explode_lines(table(spark, sf_dir, "documents"), normalize=True))
 
 
 @register("drop_blank_lines", f"""

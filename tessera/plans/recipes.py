@@ -21,8 +21,7 @@ def corpus_plain(docs: DataFrame, num_files: int = 32, max_sentences: int = 0,
     Output ``(split, shard, doc_id, line_no, line)``; write it with
     ``sinks.write_shards``.
     """
-    lines = corpus.explode_lines(docs, text_col, (id_col,))
-    lines = corpus.nonempty_lines(lines.withColumn("line", T.normalize_line("line")))
+    lines = corpus.nonempty_lines(corpus.explode_lines(docs, text_col, (id_col,), normalize=True))
     if max_sentences > 0:
         lines = split.limit_sentences(lines, max_sentences, (id_col, "line_no"))
     lines = split.train_valid_split(split.assign_shard(lines, num_files, (id_col,), seed),
