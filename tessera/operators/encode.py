@@ -50,17 +50,22 @@ def wordpiece_segment(words: DataFrame, vocab: DataFrame, word_col: str = "word"
     longest = vocab.agg(F.max(plen)).first()[0] or 1   # one scalar
     w = words.select(F.col(word_col).alias("word")).distinct() \
              .withColumn("_L", F.length("word"))
-    short = w.where(F.col("_L") <= max_chars)
-    starts = short.select("word", "_L", F.explode(F.sequence(F.lit(0), F.col("_L") - 1)).alias("s"))
-    cands = starts.select("word", "_L", "s", F.explode(F.sequence(
-        F.lit(1), F.least(F.lit(longest), F.col("_L") - F.col("s")))).alias("l"))
+    # one linear pipeline: words too long or without any hit survive the
+    # outer explode / left join with null starts and end as [UNK]
+    starts = F.when(F.col("_L") <= max_chars, F.sequence(F.lit(0), F.col("_L") - 1)) \
+              .otherwise(F.array().cast("array<int>"))
+    cands = w.select("word", "_L", F.explode_outer(starts).alias("s"))
+    cands = cands.select("word", "_L", "s", F.explode_outer(F.when(
+        F.col("s").isNotNull(),
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.col("_L") - F.col("s"))))).alias("l"))
     sub = F.substring(F.col("word"), F.col("s") + 1, F.col("l"))
     cands = cands.withColumn("piece", F.when(F.col("s") == 0, sub)
                              .otherwise(F.concat(F.lit(CONTINUATION_PREFIX), sub)))
-    hits = cands.join(_vocab_side(vocab), "piece")
-    best = hits.groupBy("word", "_L", "s").agg(F.max(F.struct("l", "token_id")).alias("b"))
-    per_word = best.groupBy("word", "_L").agg(
-        F.map_from_entries(F.collect_list(F.struct("s", "b"))).alias("m"))
+    hits = cands.join(_vocab_side(vocab), "piece", "left")
+    best = hits.groupBy("word", "_L", "s").agg(
+        F.max(F.when(F.col("token_id").isNotNull(), F.struct("l", "token_id"))).alias("b"))
+    per_word = best.groupBy("word", "_L").agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("b").isNotNull(), F.struct("s", "b")))).alias("m"))
     init = F.struct(F.lit(0).alias("pos"), F.lit(True).alias("ok"),
                     F.array().cast("array<int>").alias("ids"))
 
@@ -72,13 +77,10 @@ def wordpiece_segment(words: DataFrame, vocab: DataFrame, word_col: str = "word"
         ).otherwise(F.struct((acc["pos"] + m["l"]).alias("pos"), F.lit(True).alias("ok"),
                              F.concat(acc["ids"], F.array(m["token_id"])).alias("ids")))
 
-    walked = per_word.select("word", F.aggregate(F.sequence(F.lit(0), F.col("_L") - 1), init, step)
-                             .alias("w"), "_L")
-    ok = walked.select("word", F.when(F.col("w.ok") & (F.col("w.pos") == F.col("_L")), F.col("w.ids"))
-                       .otherwise(F.array(F.lit(unk))).alias("ids"))
-    # words with no hit at all, or too long
-    unknown = w.join(ok, "word", "left_anti").select("word", F.array(F.lit(unk)).alias("ids"))
-    return ok.unionByName(unknown)
+    walked = per_word.select("word", "_L", F.aggregate(
+        F.sequence(F.lit(0), F.col("_L") - 1), init, step).alias("w"))
+    done = F.col("w.ok") & (F.col("w.pos") == F.col("_L")) & (F.col("_L") <= max_chars)
+    return walked.select("word", F.when(done, F.col("w.ids")).otherwise(F.array(F.lit(unk))).alias("ids"))
 
 
 # ------------------------------------------------------------------ W7

@@ -99,21 +99,20 @@ def shuffle_sample(df: DataFrame, n: int, key_cols=("doc_id", "line_no"), seed:
 
     The rows with the ``n`` smallest ``h60(seed, key)``, found without a global
     sort: a histogram over the top ``bits`` hash bits (at most ``2**bits``
-    rows, broadcast) gives each bucket's running count; buckets that fit
-    entirely are kept, and only the one bucket that straddles ``n`` is ranked
-    by a window.  ``rank_col`` holds the hash, the order of the shuffle.
+    rows, broadcast) gives each bucket's running count; only rows of buckets
+    starting below ``n`` (about ``n`` rows) pass the broadcast join and are
+    ranked inside their bucket.  Two scans of the input, no global sort.
+    ``rank_col`` holds the hash, the order of the shuffle.
     """
     keyed = df.withColumn(rank_col, h60(F.lit(seed), *key_cols))
-    bucket = F.shiftright(F.col(rank_col), 60 - bits)
-    keyed = keyed.withColumn("_b", bucket)
+    keyed = keyed.withColumn("_b", F.shiftright(F.col(rank_col), 60 - bits))
     hist = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     hist = (hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
                 .where(F.col("_before") < n))
+    # only the buckets that start below n pass (about n rows); rank inside them
     rows = keyed.join(F.broadcast(hist), "_b")
-    full = rows.where(F.col("_before") + F.col("_cnt") <= n)
-    cut = rows.where(F.col("_before") + F.col("_cnt") > n)
     rw = Window.partitionBy("_b").orderBy(rank_col, *key_cols)
-    cut = cut.withColumn("_rn", F.row_number().over(rw)).where(
-        F.col("_before") + F.col("_rn") <= n).drop("_rn")
-    return full.unionByName(cut).drop("_b", "_cnt", "_before")
+    return (rows.withColumn("_rn", F.row_number().over(rw))
+                .where(F.col("_before") + F.col("_rn") <= n)
+                .drop("_b", "_cnt", "_before", "_rn"))
