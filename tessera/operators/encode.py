@@ -62,8 +62,14 @@ def wordpiece_segment(words: DataFrame, vocab: DataFrame, word_col: str = "word"
     cands = cands.withColumn("piece", F.when(F.col("s") == 0, sub)
                              .otherwise(F.concat(F.lit(CONTINUATION_PREFIX), sub)))
     hits = cands.join(_vocab_side(vocab), "piece", "left")
-    best = hits.groupBy("word", "_L", "s").agg(
-        F.max(F.when(F.col("token_id").isNotNull(), F.struct("l", "token_id"))).alias("b"))
+    # longest hit per start: (length, id) packed in one long, so the
+    # aggregation is hash-based rather than sort-based
+    packed = F.when(F.col("token_id").isNotNull(),
+                    F.shiftleft(F.col("l").cast("long"), 32) + F.col("token_id").cast("long"))
+    best = hits.groupBy("word", "_L", "s").agg(F.max(packed).alias("_b"))
+    best = best.withColumn("b", F.when(F.col("_b").isNotNull(), F.struct(
+        F.shiftright("_b", 32).cast("int").alias("l"),
+        F.col("_b").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("token_id"))))
     per_word = best.groupBy("word", "_L").agg(F.map_from_entries(F.collect_list(
         F.when(F.col("b").isNotNull(), F.struct("s", "b")))).alias("m"))
     init = F.struct(F.lit(0).alias("pos"), F.lit(True).alias("ok"),
