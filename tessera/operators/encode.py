@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.keyed import h60, u01
+from tessera.functions.keyed import h60, hash_key
 from tessera.operators import corpus
 from tessera.operators.rowindex import with_row_index
 from tessera.operators.vocab import CONTINUATION_PREFIX, pretokenize
@@ -201,25 +201,32 @@ def mask_tokens(df: DataFrame, vocab_size: int, mask_id: int, p: float = 0.15, s
     of those 80% become ``[MASK]``, 10% a uniform random id, 10% stay;
     ``labels`` = original id where chosen, else -100.
 
-    Three keyed draws per (seed, epoch, row, position); a new ``epoch``
-    re-masks, as a per-batch collator would.
+    One MD5 per (seed, epoch, row, position) gives three independent 40-bit
+    draws (hex digits 1-10: chosen, 11-20: replacement kind, 21-30: random
+    id); a new ``epoch`` re-masks, as a per-batch collator would.
     """
     row_key = [F.col(c) for c in row_cols]
+    digests = F.transform("input_ids", lambda x, i: F.md5(
+        hash_key(F.lit(seed), F.lit(epoch), *row_key, i)))
+
+    def field(i, k):
+        return F.conv(F.substring(F.element_at(F.col("_md5"), i + 1), 10 * k + 1, 10), 16, 10) \
+                .cast("long")
 
     def draw(i, k):
-        return u01(F.lit(seed), F.lit(epoch), *row_key, i, F.lit(k))
+        return field(i, k) / F.lit(float(1 << 40))
 
     special = F.col("special_tokens_mask")
-    chosen = F.transform("input_ids", lambda x, i: (F.element_at(special, i + 1) == 0) & (draw(i, 0) < p))
-    out = df.withColumn("_chosen", chosen)
+    out = df.withColumn("_md5", digests)
+    out = out.withColumn("_chosen", F.transform(
+        "input_ids", lambda x, i: (F.element_at(special, i + 1) == 0) & (draw(i, 0) < p)))
     new_ids = F.transform("input_ids", lambda x, i: F.when(
         ~F.element_at(F.col("_chosen"), i + 1), x).when(
         draw(i, 1) < MASK_SHARE, F.lit(mask_id)).when(
-        draw(i, 1) < MASK_SHARE + RANDOM_SHARE,
-        (h60(F.lit(seed), F.lit(epoch), *row_key, i, F.lit(2)) % vocab_size).cast("int")).otherwise(x))
+        draw(i, 1) < MASK_SHARE + RANDOM_SHARE, (field(i, 2) % vocab_size).cast("int")).otherwise(x))
     labels = F.transform("input_ids", lambda x, i: F.when(
         F.element_at(F.col("_chosen"), i + 1), x).otherwise(F.lit(IGNORE_LABEL)))
-    return out.withColumn("labels", labels).withColumn("input_ids", new_ids).drop("_chosen")
+    return out.withColumn("labels", labels).withColumn("input_ids", new_ids).drop("_chosen", "_md5")
 
 
 # ------------------------------------------------------------------ M4

@@ -699,17 +699,23 @@ def q_pack_blocks(spark, sf_dir):
     return _render(enc_ops.pack_blocks(enc, 128, ["conv_id", "turn"], group_rows=100), ENC_FIELDS)
 
 
+def _md5_field_sql(digest: str, k: int) -> str:
+    return f"(('0x' || substr({digest}, {10 * k + 1}, 10))::BIGINT)"
+
+
 @register("mask_tokens", full_enc_sql(64) + f""",
-m AS (SELECT conv_id, turn, input_ids, (SELECT count(*) FROM vocab) AS nv,
-             list_transform(input_ids, lambda x, i: special_tokens_mask[i] = 0
-                 AND {_u01_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'0'")} < 0.15) AS chosen
-      FROM encm)
+d AS (SELECT conv_id, turn, input_ids, special_tokens_mask, (SELECT count(*) FROM vocab) AS nv,
+             list_transform(input_ids, lambda x, i: md5('42:0:' || CAST(conv_id AS VARCHAR) || ':'
+                 || CAST(turn AS VARCHAR) || ':' || CAST(i - 1 AS VARCHAR))) AS dg
+      FROM encm),
+m AS (SELECT *, list_transform(input_ids, lambda x, i: special_tokens_mask[i] = 0
+                 AND {_md5_field_sql("dg[i]", 0)} / 1099511627776.0 < 0.15) AS chosen FROM d)
 SELECT conv_id, turn,
   array_to_string(list_transform(input_ids, lambda x, i: CASE
       WHEN NOT chosen[i] THEN x
-      WHEN {_u01_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'1'")} < 0.8 THEN 4
-      WHEN {_u01_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'1'")} < 0.9
-        THEN ({h60_sql("'42'", "'0'", "conv_id", "turn", "i - 1", "'2'")} % nv)::INTEGER
+      WHEN {_md5_field_sql("dg[i]", 1)} / 1099511627776.0 < 0.8 THEN 4
+      WHEN {_md5_field_sql("dg[i]", 1)} / 1099511627776.0 < 0.9
+        THEN ({_md5_field_sql("dg[i]", 2)} % nv)::INTEGER
       ELSE x END), ' ') AS input_ids,
   array_to_string(list_transform(input_ids, lambda x, i: CASE WHEN chosen[i] THEN x ELSE -100 END), ' ')
     AS labels

@@ -164,3 +164,24 @@ def test_length_batches_properties(spark):
     assert all(len(v) <= 16 for v in by_batch.values())
     first = min(by_batch)
     assert max(r.length for r in by_batch[first]) == 50
+
+
+def test_vocabulary_recipe_round_trip(spark, tmp_dir):
+    import os
+    from tessera.operators import corpus
+    from tessera.plans import recipes
+    from tessera.sources import sinks
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    lines = corpus.explode_lines(docs, normalize=True)
+    vocab = recipes.vocabulary(lines, sample_size=500, vocab_size=260, seed=3)
+    rows = vocab.orderBy("token_id").collect()
+    assert [r.token_id for r in rows] == list(range(len(rows))) and len(rows) <= 260
+    assert [r.piece for r in rows[:15]] == V.special_token_list(10)
+    f = sinks.write_vocab(vocab, os.path.join(tmp_dir, "vocab"))
+    back = V.load_vocab(spark, f).orderBy("token_id").collect()
+    assert [(r.token_id, r.piece) for r in back] == [(r.token_id, r.piece) for r in rows]
+    # learned from a sample, the vocabulary still covers nearly all tokens
+    enc = E.encode(docs.select("doc_id", "text"), vocab, None, "text", ["doc_id"], truncation=False)
+    toks = enc.select(F.explode("input_ids").alias("t"))
+    unk, total = toks.where("t = 1").count(), toks.count()
+    assert unk < 0.01 * total
