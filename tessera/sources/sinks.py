@@ -5,23 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.keyed import h60
 from tessera.sources import fs
 
 
 # ------------------------------------------------------------------ K1, K2, K3
 def write_shards(df: DataFrame, path: str, num_files: int, line_col: str = "line",
                  split_col: str = "split", shard_col: str = "shard", mode: str = "errorifexists",
-                 order_cols=None) -> None:
+                 order_cols=None, key_cols=("doc_id",), files_per_shard: int | None = None) -> None:
     """One text directory per (split, shard), one line per row.
 
     ``split=train/shard=3/part-*.txt`` replaces the renamed ``..._03.txt``
-    files; ``mode="append"`` adds to existing shards (K3).  Rows are
-    hash-partitioned on the shard so each shard is written by one task per
-    ``num_files`` slot; ``order_cols`` keeps the input order inside a file.
+    files; ``mode="append"`` adds to existing shards (K3).  A shard is
+    written by ``files_per_shard`` tasks (default: the shuffle partitions
+    spread over the shards), each taking whole documents (salted by
+    ``key_cols``), so no task holds a whole shard; ``order_cols`` keeps the
+    input order inside a file.
     """
-    out = df.repartition(num_files, shard_col)
+    spark = df.sparkSession
+    if files_per_shard is None:
+        files_per_shard = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // num_files)
+    keys = [c for c in key_cols if c in df.columns]
+    salt = (h60(F.lit("file"), *keys) % files_per_shard) if keys and files_per_shard > 1 else F.lit(0)
+    out = df.withColumn("_file", salt).repartition(num_files * files_per_shard, shard_col, "_file")
     if order_cols:
-        out = out.sortWithinPartitions(shard_col, *order_cols)
+        out = out.sortWithinPartitions(shard_col, "_file", *order_cols)
     (out.select(split_col, shard_col, line_col)
         .write.mode(mode).partitionBy(split_col, shard_col).text(path))
 
