@@ -45,8 +45,13 @@ def corpus_wiki(docs: DataFrame, num_files: int = 32, max_documents: int = 0,
 
     ``dedup_mode``: ``exact`` (global keep-first, the default), ``lru``
     (the per-shard bounded recency cache of the original), or ``none``.
-    Output ``(split, shard, doc_id, sent_no, sentence)``.
+    Output ``(split, shard, doc_id, sent_no, sentence)``.  Documents without
+    an ``id_col`` (a JSON dump) are numbered in scan order first.
     """
+    if id_col not in docs.columns:
+        docs = index_rows(docs, id_col)
+    if title_col and title_col not in docs.columns:
+        title_col = None
     if max_documents > 0:
         docs = split.limit_documents(docs, max_documents, (id_col,))
     docs = corpus.drop_empty_text(docs, "text")

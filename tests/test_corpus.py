@@ -105,3 +105,13 @@ def test_corpus_plain_valid_cap_exact(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     out = recipes.corpus_plain(docs, num_files=4, max_valid_sentences=50, seed=1)
     assert out.where("split = 'valid'").count() == 50
+
+
+def test_corpus_wiki_from_json_dump(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "dump.json")
+    with open(path, "w") as f:
+        f.write('{"index": {}}\n{"title": "T", "text": "A > T Hello there, world! Second [1]one?"}\n'
+                '{"index": {}}\n{"title": "U", "text": "Hello there, world! Again and again."}\n')
+    docs = readers.read_json_docs(spark, path)
+    out = recipes.corpus_wiki(docs, num_files=2).orderBy("doc_id", "sent_no").collect()
+    assert [r.sentence for r in out] == ["Hello there, world!", "Second one?", "Again and again."]
