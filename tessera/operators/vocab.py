@@ -292,12 +292,13 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
         rounds += 1
         stale_pairs = pairs
         stale_symbols.append(symbols)
-        if rounds % checkpoint_every == 0:            # cut the lineage
+        # cut the lineage: the small pair table every round (it also
+        # materialises this round's delta), the word table every few rounds
+        new_pairs = new_pairs.checkpoint(eager=True)
+        if rounds % checkpoint_every == 0:
             new_symbols = new_symbols.checkpoint(eager=True)
-            new_pairs = new_pairs.checkpoint(eager=True)
         else:
             new_symbols = new_symbols.persist(StorageLevel.MEMORY_AND_DISK)
-            new_pairs = new_pairs.persist(StorageLevel.MEMORY_AND_DISK)
         symbols, pairs = new_symbols, new_pairs
     for old in stale_symbols + [symbols, pairs] + ([stale_pairs] if stale_pairs is not None else []):
         old.unpersist()
