@@ -46,3 +46,18 @@ def test_stream_accuracy(spark, tmp_dir):
                                 os.path.join(tmp_dir, "ck")).first()
     want = M.masked_accuracy(preds).first()
     assert got.n_scored == want.n_scored and abs(got.accuracy - want.accuracy) < 1e-12
+
+
+def test_json_stream_clean_then_dedup(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "json")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write('{"index": {}}\n{"title": "T", "text": "First one! Shared line here!"}\n')
+    with open(os.path.join(src, "b.json"), "w") as f:
+        f.write('{"index": {}}\n{"title": "U", "text": "Shared line here! Last bit here!"}\nnot json\n')
+    docs = streams.read_json_docs_stream(spark, src, max_files_per_trigger=1)
+    sents = streams.stream_clean(docs, id_col="title", min_len=5)
+    got = streams.run_available(streams.stream_dedup(sents, "1 hour"), "x12", "append",
+                                os.path.join(tmp_dir, "ck"))
+    assert sorted(r.sentence for r in got.collect()) == [
+        "First one!", "Last bit here!", "Shared line here!"]
