@@ -98,23 +98,26 @@ def encode(df: DataFrame, vocab: DataFrame, max_len: int | None = 512, text_col:
     ``special_tokens_mask`` and ``length``; ``padding`` pads to ``max_len``.
 
     Words are segmented once per distinct word and joined back (AQE splits
-    a hot word's partition); rows are regrouped in word order.  A row with no
-    words encodes as ``[CLS] [SEP]``.
+    a hot word's partition, or broadcasts a small segmentation table); rows
+    are regrouped in word order.  A row with no words encodes as
+    ``[CLS] [SEP]``.
     """
     id_cols = list(id_cols)
     cls_id, sep_id, pad_id = (_token_id(vocab, t) for t in ("[CLS]", "[SEP]", "[PAD]"))
     rows = df.select(*id_cols, text_col)
-    words = pretokenize(rows, text_col, id_cols)
-    seg = wordpiece_segment(words, vocab)
-    pieces = (words.join(seg, "word")
+    # rows without words keep one null-word row, so no second pass over rows
+    words = pretokenize(rows, text_col, id_cols, outer=True)
+    seg = wordpiece_segment(words.where(F.col("word").isNotNull()), vocab)
+    pieces = (words.join(seg, "word", "left")
               .groupBy(*id_cols)
-              .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("word_no", "ids"))),
-                                         lambda s: s["ids"])).alias("_ids")))
+              .agg(F.flatten(F.transform(F.array_sort(F.collect_list(
+                  F.when(F.col("ids").isNotNull(), F.struct("word_no", "ids")))),
+                  lambda s: s["ids"])).alias("_ids")))
     empty = F.array().cast("array<int>")
     body = F.coalesce(F.col("_ids"), empty)
     if truncation and max_len is not None:
         body = F.slice(body, 1, max_len - 2) if max_len > 2 else empty
-    out = rows.select(*id_cols).join(pieces, id_cols, "left").withColumn(
+    out = pieces.withColumn(
         "input_ids", F.concat(F.array(F.lit(cls_id)), body, F.array(F.lit(sep_id))))
     n = F.size("input_ids")
     out = out.select(

@@ -32,7 +32,8 @@ def special_token_list(num_unused: int = 10) -> list[str]:
 # ------------------------------------------------------------------ W1
 def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
                 mode: str = "whitespace",
-                splitter: Callable[[str], list[str]] | None = None) -> DataFrame:
+                splitter: Callable[[str], list[str]] | None = None,
+                outer: bool = False) -> DataFrame:
     """NFKC, then words ``(ids..., word_no, word)``.
 
     The normaliser's strip removes Unicode White_Space at the ends, which the
@@ -41,7 +42,8 @@ def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
     ``whitespace`` splits on Unicode White_Space inside the JVM.  The analyser
     modes need a caller-supplied ``splitter(text) -> list[str]`` (the
     morphological analyser is a per-row library); it runs in one Arrow batch
-    UDF.  Any other mode is an error.
+    UDF.  Any other mode is an error.  ``outer`` keeps rows without words
+    (one row with a null word).
     """
     normalized = T.nfkc(F.col(text_col))
     if mode == "whitespace":
@@ -58,7 +60,8 @@ def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
         words = _split(normalized)
     else:
         raise ValueError("Invalid pre_tokenizer_type is specified.")
-    return df.select(*id_cols, F.posexplode(words).alias("word_no", "word"))
+    explode = F.posexplode_outer if outer else F.posexplode
+    return df.select(*id_cols, explode(words).alias("word_no", "word"))
 
 
 # ------------------------------------------------------------------ W2

@@ -185,3 +185,13 @@ def test_vocabulary_recipe_round_trip(spark, tmp_dir):
     toks = enc.select(F.explode("input_ids").alias("t"))
     unk, total = toks.where("t = 1").count(), toks.count()
     assert unk < 0.01 * total
+
+
+def test_encode_rows_without_words(spark):
+    vocab = vocab_df(spark, ["a", "##b"])
+    rows = spark.createDataFrame([(0, ""), (1, "   "), (2, "ab a"), (3, None)], "row_id long, text string")
+    got = {r.row_id: (list(r.input_ids), list(r.special_tokens_mask), r.length)
+           for r in E.encode(rows, vocab, 8).collect()}
+    assert got[0] == ([2, 3], [1, 1], 2) and got[1] == ([2, 3], [1, 1], 2)
+    assert got[2] == ([2, 15, 16, 15, 3], [1, 0, 0, 0, 1], 5)
+    assert got[3] == ([2, 3], [1, 1], 2)
