@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import metrics as M
 from tessera.operators import vocab as V
 from tessera.sources import sinks
-from conftest import SF001
+
 
 
 def test_accuracy_crafted(spark):

@@ -2,7 +2,6 @@
 driver's correctness gate, run locally)."""
 
 import math
-import os
 
 import duckdb
 import pytest
