@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tessera.plans import registry  # noqa: E402
+from tessera.session import ship_package  # noqa: E402
 
 # The headline set: the recipes and the operators that carry their work.
 HEADLINE = [
@@ -47,6 +48,7 @@ def main() -> None:
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     queries = registry.queries()

@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
               app_name: str = "tessera", driver_memory: str = "16g") -> SparkSession:
     """Session with the settings the operators assume (AQE on, UTC, no UI)."""
-    return (
+    spark = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -30,6 +30,8 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -57,3 +59,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the checkpoint folder for a staged table."""
     return f"{checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the Python workers (pandas UDFs and
+    ``mapInPandas`` functions are pickled by module reference).
+
+    The package is zipped once per SparkContext and added with
+    ``addPyFile``, which ships it to every executor.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tessera-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
