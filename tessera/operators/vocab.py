@@ -117,18 +117,33 @@ def load_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ W4
+# A dropped-character set up to this size filters inside the word arrays;
+# larger sets (rare characters of a huge corpus) go through a join.
+LITERAL_DROP_LIMIT = 10_000
+
+
 def word_symbols(counts: DataFrame, alphabet_df: DataFrame) -> DataFrame:
-    """Initial symbols of each distinct word: characters, ``##`` on all but the
-    first; characters outside the alphabet are dropped.  ``(word, n, symbols)``."""
-    chars = counts.select("word", "n", F.posexplode(chars_of(F.col("word"))).alias("i", "char"))
-    kept = chars.join(F.broadcast(alphabet_df.select("char")), "char")
-    w = Window.partitionBy("word").orderBy("i")
-    kept = kept.withColumn("j", F.row_number().over(w) - 1).withColumn(
-        "sym", F.when(F.col("j") == 0, F.col("char"))
-        .otherwise(F.concat(F.lit(CONTINUATION_PREFIX), F.col("char"))))
-    return kept.groupBy("word", "n").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("j", "sym"))), lambda s: s["sym"])
-        .alias("symbols"))
+    """Initial symbols of each distinct word ``(word, n, symbols)``: its
+    characters, ``##`` before every character but the word's first;
+    characters outside the alphabet are then dropped (the prefix follows the
+    position in the original word)."""
+    chars = chars_of(F.col("word"))
+    syms = F.transform(chars, lambda c, i: F.struct(
+        c.alias("c"), F.when(i == 0, c).otherwise(F.concat(F.lit(CONTINUATION_PREFIX), c)).alias("s")))
+    all_chars = counts.select(F.explode(chars).alias("char")).distinct()
+    dropped = all_chars.join(F.broadcast(alphabet_df.select("char")), "char", "left_anti")
+    n_dropped = dropped.count()                                    # one scalar
+    if n_dropped <= LITERAL_DROP_LIMIT:
+        gone = [r["char"] for r in dropped.collect()]             # bounded above
+        kept = syms if not gone else F.filter(
+            syms, lambda x: ~F.array_contains(F.array(*[F.lit(g) for g in gone]), x["c"]))
+        return counts.select("word", "n", F.transform(kept, lambda x: x["s"]).alias("symbols"))
+    exploded = counts.select("word", "n", F.posexplode(syms).alias("i", "x"))
+    kept_rows = exploded.join(F.broadcast(alphabet_df.select(F.col("char").alias("_c"))),
+                              F.col("x.c") == F.col("_c"))
+    return kept_rows.groupBy("word", "n").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", F.col("x.s").alias("s")))),
+                    lambda t: t["s"]).alias("symbols"))
 
 
 def pair_rows(symbols: DataFrame, sign: int = 1) -> DataFrame:
@@ -251,8 +266,8 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
     alpha = alphabet(counts, limit_alphabet)
     alpha_chars = sorted(r["char"] for r in alpha.select("char").collect())  # <= limit rows
     symbols = word_symbols(counts, alpha).checkpoint(eager=True)
-    cont_rows = symbols.select(F.explode(F.slice(
-        "symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0)))).alias("s")).distinct().collect()
+    cont_rows = symbols.select(F.explode("symbols").alias("s")).where(
+        F.col("s").startswith(CONTINUATION_PREFIX)).distinct().collect()
     # a single-symbol word has no pair and never changes again
     symbols = symbols.where(F.size("symbols") > 1)
     cont = sorted(r["s"] for r in cont_rows)

@@ -195,3 +195,16 @@ def test_encode_rows_without_words(spark):
     assert got[0] == ([2, 3], [1, 1], 2) and got[1] == ([2, 3], [1, 1], 2)
     assert got[2] == ([2, 15, 16, 15, 3], [1, 0, 0, 0, 1], 5)
     assert got[3] == ([2, 3], [1, 1], 2)
+
+
+def test_word_symbols_prefix_follows_original_position(spark):
+    counts = spark.createDataFrame([("xab", 3), ("abx", 2)], "word string, n long")
+    alpha = spark.createDataFrame([("a",), ("b",)], "char string")
+    got = {r.word: list(r.symbols) for r in V.word_symbols(counts, alpha).collect()}
+    assert got == {"xab": ["##a", "##b"], "abx": ["a", "##b"]}
+    V.LITERAL_DROP_LIMIT, old = 0, V.LITERAL_DROP_LIMIT      # the join path
+    try:
+        got = {r.word: list(r.symbols) for r in V.word_symbols(counts, alpha).collect()}
+    finally:
+        V.LITERAL_DROP_LIMIT = old
+    assert got == {"xab": ["##a", "##b"], "abx": ["a", "##b"]}
