@@ -122,14 +122,16 @@ def load_vocab(spark: SparkSession, path: str) -> DataFrame:
 LITERAL_DROP_LIMIT = 10_000
 
 
-def word_symbols(counts: DataFrame, alphabet_df: DataFrame) -> DataFrame:
+def word_symbols(counts: DataFrame, alphabet_df: DataFrame | None = None) -> DataFrame:
     """Initial symbols of each distinct word ``(word, n, symbols)``: its
     characters, ``##`` before every character but the word's first;
-    characters outside the alphabet are then dropped (the prefix follows the
-    position in the original word)."""
+    characters outside the alphabet (``None``: keep all) are then dropped
+    (the prefix follows the position in the original word)."""
     chars = chars_of(F.col("word"))
     syms = F.transform(chars, lambda c, i: F.struct(
         c.alias("c"), F.when(i == 0, c).otherwise(F.concat(F.lit(CONTINUATION_PREFIX), c)).alias("s")))
+    if alphabet_df is None:
+        return counts.select("word", "n", F.transform(syms, lambda x: x["s"]).alias("symbols"))
     all_chars = counts.select(F.explode(chars).alias("char")).distinct()
     dropped = all_chars.join(F.broadcast(alphabet_df.select("char")), "char", "left_anti")
     n_dropped = dropped.count()                                    # one scalar
@@ -265,7 +267,8 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
     specials = special_token_list(num_unused)
     alpha = alphabet(counts, limit_alphabet)
     alpha_chars = sorted(r["char"] for r in alpha.select("char").collect())  # <= limit rows
-    symbols = word_symbols(counts, alpha).checkpoint(eager=True)
+    symbols = word_symbols(counts, alpha if limit_alphabet is not None else None) \
+        .checkpoint(eager=True)
     cont_rows = symbols.select(F.explode("symbols").alias("s")).where(
         F.col("s").startswith(CONTINUATION_PREFIX)).distinct().collect()
     # a single-symbol word has no pair and never changes again

@@ -556,7 +556,7 @@ p AS (SELECT n, s, unnest(range(1, len(s))) AS i FROM sym)
 SELECT s[i] AS "left", s[i + 1] AS "right", sum(n)::BIGINT AS n FROM p GROUP BY 1, 2""")
 def q_pair_counts(spark, sf_dir):
     counts = vocab_ops.word_counts(doc_words(spark, sf_dir))
-    symbols = vocab_ops.word_symbols(counts, vocab_ops.alphabet(counts, None))
+    symbols = vocab_ops.word_symbols(counts)          # the whole alphabet
     return vocab_ops.pair_counts(symbols)
 
 
