@@ -58,3 +58,22 @@ def with_row_index(df: DataFrame, order_cols, index_col: str = "idx",
     return (located.join(F.broadcast(offsets.drop("_n")), ["_pid", *group_cols])
                    .withColumn(index_col, F.col("_off") + F.col("_local") - F.col("_first"))
                    .drop("_pid", "_local", "_first", "_off"))
+
+
+def with_running_total(df: DataFrame, order_cols, weight_col: str, out_col: str = "start",
+                       num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus the sum of ``weight_col`` over all earlier rows in
+    ``order_cols`` order (an exclusive running total), without a single-task
+    window: range partitions, per-partition totals (broadcast), and a running
+    sum inside each partition."""
+    order_cols = list(order_cols)
+    ranged = ordered_partitions(df, order_cols, num_partitions)
+    located = (ranged.withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
+    totals = located.groupBy("_pid").agg(F.sum(weight_col).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    inner = Window.partitionBy("_pid").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
+    return (located.join(F.broadcast(offsets), "_pid")
+                   .withColumn(out_col, F.col("_off") + F.coalesce(F.sum(weight_col).over(inner), F.lit(0)))
+                   .drop("_pid", "_local", "_off"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.keyed import h60
-from tessera.operators.rowindex import with_row_index
+from tessera.operators.rowindex import with_row_index, with_running_total
 
 # Row counts up to this use Spark's top-k (per-partition heap + one merge);
 # above it the merge task would grow with the cap, so the range-partitioned
@@ -38,17 +38,46 @@ def first_rows(df: DataFrame, n: int, order_cols, method: str = "auto") -> DataF
     """The first ``n`` rows in ``order_cols`` order (all rows if fewer).
 
     ``method``: ``topk`` (Spark's TakeOrderedAndProject), ``index`` (range
-    partition + dense index, no single task holds more than a partition), or
-    ``auto`` (top-k up to ``TOPK_LIMIT`` rows).
+    partition + dense index of every row), ``prefix`` (see ``_first_rows_by_group``:
+    only the per-group counts are indexed), or ``auto`` (top-k up to
+    ``TOPK_LIMIT`` rows, else ``prefix``).
     """
     if n <= 0:
         return df
     order_cols = list(order_cols)
     if method == "topk" or (method == "auto" and n <= TOPK_LIMIT):
         return df.orderBy(*order_cols).limit(n)
+    if method in ("prefix", "auto"):
+        return _first_rows_by_group(df, n, order_cols)
     return with_row_index(df, order_cols, "_idx").where(F.col("_idx") < n).drop("_idx")
 
 
+def _first_rows_by_group(df: DataFrame, n: int, order_cols) -> DataFrame:
+    """First ``n`` rows when the order starts with a group key (a document).
+
+    Rows per group are counted (combined map-side), the far smaller count
+    table gets an exclusive running total, and the one group that straddles
+    ``n`` is found (two scalars).  The result is every row of earlier groups
+    (a plain filter on the key, pushed to the scan) plus the first rows of
+    the boundary group, capped by the same operator on that group alone, so
+    a group holding a third of all rows is still split across tasks.
+    """
+    g, rest = order_cols[0], order_cols[1:]
+    counts = df.groupBy(g).agg(F.count(F.lit(1)).alias("_c"))
+    starts = with_running_total(counts, [g], "_c", "_start")
+    last = starts.where(F.col("_start") < n).orderBy(F.desc("_start")).select(g, "_start", "_c").first()
+    if last is None:
+        return df.limit(0)
+    key, start, count = last[0], last[1], last[2]
+    if start + count <= n:
+        return df.where(F.col(g) <= F.lit(key))
+    head = df.where(F.col(g) < F.lit(key))
+    boundary = df.where(F.col(g) == F.lit(key))
+    part = first_rows(boundary, n - start, rest, "auto" if n - start > TOPK_LIMIT else "topk") \
+        if rest else boundary.limit(n - start)
+    return head.unionByName(part)
+
+
 def limit_sentences(df: DataFrame, n: int, order_cols=("doc_id", "line_no"),
                     method: str = "auto") -> DataFrame:
     """L1: first ``n`` non-empty lines in input order; ``n = 0`` keeps all."""

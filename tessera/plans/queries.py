@@ -304,7 +304,7 @@ WITH {CORPUS_CTE}
 SELECT doc_id, line_no, line FROM corpus ORDER BY doc_id, line_no LIMIT 5000""")
 def q_limit_sentences(spark, sf_dir):
     lines = corpus_lines(spark, sf_dir).select("doc_id", "line_no", "line")
-    return split.limit_sentences(lines, 5000, method="index")
+    return split.limit_sentences(lines, 5000, method="prefix")
 
 
 @register("limit_documents", """

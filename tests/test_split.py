@@ -66,3 +66,21 @@ def test_one_shard_rejected(spark):
     import pytest
     with pytest.raises(ValueError):
         split.assign_shard(lines(spark), 1)
+
+
+def test_first_rows_prefix_equals_topk(spark):
+    df = lines(spark)
+    for n in (1, 37, 4321, 9343, 9344, 20000):
+        a = split.first_rows(df, n, ["doc_id", "line_no"], "prefix")
+        b = split.first_rows(df, n, ["doc_id", "line_no"], "topk")
+        assert sorted(a.collect()) == sorted(b.collect()), n
+
+
+def test_first_rows_prefix_hot_group(spark):
+    # one document holds a third of the rows; the cut falls inside it
+    rows = [(1, i, "h") for i in range(3000)] + [(d, 0, "x") for d in range(2, 6002)]
+    df = spark.createDataFrame(rows, "doc_id long, line_no int, line string")
+    a = split.first_rows(df, 1500, ["doc_id", "line_no"], "prefix")
+    assert sorted(r.line_no for r in a.collect()) == list(range(1500))
+    b = split.first_rows(df, 3500, ["doc_id", "line_no"], "prefix")
+    assert b.count() == 3500 and b.where("doc_id = 1").count() == 3000
