@@ -115,3 +115,15 @@ def test_corpus_wiki_from_json_dump(spark, tmp_dir):
     docs = readers.read_json_docs(spark, path)
     out = recipes.corpus_wiki(docs, num_files=2).orderBy("doc_id", "sent_no").collect()
     assert [r.sentence for r in out] == ["Hello there, world!", "Second one?", "Again and again."]
+
+
+def test_corpus_wiki_lru_mode_large_cache_is_first_per_shard(spark):
+    from pyspark.sql import Window
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(
+        "doc_id", F.col("lang").alias("title"), "text")
+    got = recipes.corpus_wiki(docs, num_files=3, dedup_mode="lru", cache_len=10 ** 6)
+    allrows = recipes.corpus_wiki(docs, num_files=3, dedup_mode="none")
+    w = Window.partitionBy("shard", "sentence").orderBy("doc_id", "sent_no")
+    want = allrows.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert got.count() < allrows.count()
