@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.functions.keyed import h60
 from tessera.operators import corpus, dedup, metrics, split
 from tessera.operators import encode as enc_ops
 from tessera.operators import vocab as vocab_ops
