@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions.keyed import h60, hash_key
 from tessera.operators import corpus
 from tessera.operators.rowindex import with_row_index
+from tessera.operators.split import hash_rank
 from tessera.operators.vocab import CONTINUATION_PREFIX, pretokenize
 
 # Fixed values of the WordPiece model and the collator.
@@ -240,10 +241,10 @@ def length_batches(df: DataFrame, batch_size: int, mega_mult: int | None = None,
     batches; the longest example's batch is swapped to the front.
 
     ``mega_mult`` defaults to ``min(n // (batch_size * 4), 50)`` (at least 1).
-    Adds ``rank`` (shuffle order), ``batch_id`` and ``batch_pos``.
+    Adds ``rank`` (shuffle order, from ``split.hash_rank``: no global sort),
+    ``batch_id`` and ``batch_pos``.
     """
-    keyed = df.withColumn("_h", h60(F.lit(seed), *key_cols))
-    ranked = with_row_index(keyed, ["_h", *key_cols], "rank")
+    ranked = hash_rank(df, list(key_cols), seed, "rank")
     if mega_mult is None:
         n = ranked.agg(F.count(F.lit(1))).first()[0]   # one scalar
         mega_mult = max(min(n // (batch_size * 4), 50), 1)
@@ -262,7 +263,7 @@ def length_batches(df: DataFrame, batch_size: int, mega_mult: int | None = None,
     return ranked.withColumn("batch_id", (F.col("_mega") * mega_mult + F.floor(F.col("_pos") / batch_size))
                              .cast("long")) \
                  .withColumn("batch_pos", (F.col("_pos") % batch_size).cast("int")) \
-                 .drop("_h", "_mega", "_pos")
+                 .drop("_mega", "_pos")
 
 
 # ------------------------------------------------------------------ M5

@@ -145,3 +145,23 @@ def shuffle_sample(df: DataFrame, n: int, key_cols=("doc_id", "line_no"), seed:
     return (rows.withColumn("_rn", F.row_number().over(rw))
                 .where(F.col("_before") + F.col("_rn") <= n)
                 .drop("_b", "_cnt", "_before", "_rn"))
+
+
+def hash_rank(df: DataFrame, key_cols, seed: int = 42, rank_col: str = "rank",
+              bits: int = 16) -> DataFrame:
+    """Dense 0-based rank of every row in ``(h60(seed, key), key)`` order.
+
+    The hash is uniform, so buckets on its top ``bits`` hold about equal
+    shares: a histogram (at most ``2**bits`` rows, broadcast) gives each
+    bucket's offset and a window partitioned by bucket ranks inside it.  No
+    global sort and no copy of the input.
+    """
+    keyed = df.withColumn("_h", h60(F.lit(seed), *key_cols))
+    keyed = keyed.withColumn("_b", F.shiftright(F.col("_h"), 60 - bits))
+    hist = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
+    rw = Window.partitionBy("_b").orderBy("_h", *key_cols)
+    return (keyed.join(F.broadcast(offsets), "_b")
+                 .withColumn(rank_col, F.col("_before") + F.row_number().over(rw) - 1)
+                 .drop("_h", "_b", "_before"))
