@@ -61,19 +61,43 @@ def with_row_index(df: DataFrame, order_cols, index_col: str = "idx",
 
 
 def with_running_total(df: DataFrame, order_cols, weight_col: str, out_col: str = "start",
-                       num_partitions: int | None = None) -> DataFrame:
+                       group_cols=(), num_partitions: int | None = None) -> DataFrame:
     """``df`` plus the sum of ``weight_col`` over all earlier rows in
-    ``order_cols`` order (an exclusive running total), without a single-task
-    window: range partitions, per-partition totals (broadcast), and a running
-    sum inside each partition."""
-    order_cols = list(order_cols)
-    ranged = ordered_partitions(df, order_cols, num_partitions)
+    ``order_cols`` order (an exclusive running total, restarting per
+    ``group_cols``), without a single-task window: range partitions,
+    per-(partition, group) totals (broadcast), and a running sum inside each
+    partition."""
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    ranged = ordered_partitions(df, group_cols + order_cols, num_partitions)
     located = (ranged.withColumn("_pid", F.spark_partition_id())
                      .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
-    totals = located.groupBy("_pid").agg(F.sum(weight_col).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    inner = Window.partitionBy("_pid").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
-    return (located.join(F.broadcast(offsets), "_pid")
+    totals = located.groupBy("_pid", *group_cols).agg(F.sum(weight_col).alias("_n"))
+    w = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
+    offsets = totals.withColumn("_off", F.coalesce(
+        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    inner = Window.partitionBy("_pid", *group_cols).orderBy("_local") \
+                  .rowsBetween(Window.unboundedPreceding, -1)
+    return (located.join(F.broadcast(offsets), ["_pid", *group_cols])
                    .withColumn(out_col, F.col("_off") + F.coalesce(F.sum(weight_col).over(inner), F.lit(0)))
                    .drop("_pid", "_local", "_off"))
+
+
+def positions_by_document(df: DataFrame, group_col: str, doc_col: str, line_col: str,
+                          pos_col: str = "pos") -> DataFrame:
+    """Dense 0-based position of each row inside its ``group_col`` (a shard),
+    in (document, line) order, when every document sits in one group.
+
+    Position = the line's rank inside its document (a window over one
+    document, which was one row of text) + the running total of the line
+    counts of earlier documents of the group (computed on the per-document
+    count table).  The rows are shuffled once, on (group, document), and the
+    join with the starts reuses that partitioning; only the small count
+    table is range-partitioned and checkpointed.
+    """
+    w = Window.partitionBy(group_col, doc_col).orderBy(line_col)
+    ranked = df.withColumn("_r", F.row_number().over(w) - 1)
+    counts = df.groupBy(group_col, doc_col).agg(F.count(F.lit(1)).alias("_c"))
+    starts = with_running_total(counts, [doc_col], "_c", "_start", group_cols=[group_col])
+    return (ranked.join(starts.select(group_col, doc_col, "_start"), [group_col, doc_col])
+                  .withColumn(pos_col, F.col("_start") + F.col("_r"))
+                  .drop("_r", "_start"))

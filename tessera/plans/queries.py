@@ -16,7 +16,7 @@ from tessera.functions import text as T
 from tessera.operators import corpus, dedup, metrics, split
 from tessera.operators import encode as enc_ops
 from tessera.operators import vocab as vocab_ops
-from tessera.operators.rowindex import with_row_index
+from tessera.operators.rowindex import positions_by_document
 from tessera.plans import recipes
 from tessera.session import scratch_path
 from tessera.sources import readers
@@ -126,7 +126,7 @@ def corpus_lines(spark, sf_dir) -> DataFrame:
 def shard_positions(spark, sf_dir) -> DataFrame:
     """Lines in ``DEDUP_SHARDS`` shards with a dense position inside the shard."""
     lines = split.assign_shard(doc_lines(spark, sf_dir), DEDUP_SHARDS, seed=SEED)
-    return with_row_index(lines, ["doc_id", "line_no"], "pos", group_cols=["shard"])
+    return positions_by_document(lines, "shard", "doc_id", "line_no", "pos")
 
 
 SHARD_POS_CTE = LINES_CTE + f""",

@@ -63,8 +63,8 @@ def corpus_wiki(docs: DataFrame, num_files: int = 32, max_documents: int = 0,
     if dedup_mode == "exact":
         sents = dedup.dedup_exact(sents, "sentence", (id_col, "sent_no"))
     elif dedup_mode == "lru":
-        from tessera.operators.rowindex import with_row_index
-        sents = with_row_index(sents, [id_col, "sent_no"], "pos", group_cols=["shard"])
+        from tessera.operators.rowindex import positions_by_document
+        sents = positions_by_document(sents, "shard", id_col, "sent_no", "pos")
         sents = dedup.dedup_lru(sents, cache_len, "sentence").drop("pos")
     elif dedup_mode != "none":
         raise ValueError("dedup_mode must be exact, lru or none")

@@ -84,3 +84,13 @@ def test_first_rows_prefix_hot_group(spark):
     assert sorted(r.line_no for r in a.collect()) == list(range(1500))
     b = split.first_rows(df, 3500, ["doc_id", "line_no"], "prefix")
     assert b.count() == 3500 and b.where("doc_id = 1").count() == 3000
+
+
+def test_positions_by_document_equal_index(spark):
+    from tessera.operators.rowindex import positions_by_document
+    df = corpus.nonempty_lines(corpus.explode_lines(
+        spark.read.parquet(f"{SF01}/documents.parquet"), normalize=True))
+    df = split.assign_shard(df, 4).where("line_no % 3 <> 1")     # gaps inside documents
+    a = positions_by_document(df, "shard", "doc_id", "line_no", "pos")
+    b = with_row_index(df, ["doc_id", "line_no"], "pos", group_cols=["shard"])
+    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
