@@ -70,3 +70,19 @@ def test_entry_contract(spark):
     assert out.count() > 0
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 40
+
+
+def test_write_shards_salted_keeps_documents_whole(spark, tmp_dir):
+    rows = [("train", 0, d, i, f"d{d}l{i}") for d in range(40) for i in range(3)]
+    df = spark.createDataFrame(rows, "split string, shard int, doc_id long, line_no int, line string")
+    path = os.path.join(tmp_dir, "salted")
+    sinks.write_shards(df, path, 2, order_cols=["doc_id", "line_no"], files_per_shard=4)
+    files = [f for f in os.listdir(os.path.join(path, "split=train", "shard=0")) if f.startswith("part-")]
+    assert len(files) > 1
+    seen = {}
+    for f in files:
+        with open(os.path.join(path, "split=train", "shard=0", f)) as fh:
+            for line in fh.read().split():
+                doc = line.split("l")[0]
+                seen.setdefault(doc, set()).add(f)
+    assert len(seen) == 40 and all(len(v) == 1 for v in seen.values())
