@@ -50,12 +50,18 @@ def test_encode_matches_tokenizers_library(spark):
         assert got[(r.conv_id, r.turn)] == tok.encode(r.text).ids
 
 
-def py_learn(word_counts, vocab_size, num_unused=10, min_frequency=2):
+def py_learn(word_counts, vocab_size, num_unused=10, min_frequency=2, limit_alphabet=None):
     """One merge at a time; ties by (count desc, left, right)."""
-    alpha = sorted({c for w in word_counts for c in w})
-    words = {w: [w[0]] + ["##" + c for c in w[1:]] for w in word_counts}
+    freq = Counter()
+    for w, n in word_counts.items():
+        for c in w:
+            freq[c] += n
+    ranked = sorted(freq, key=lambda c: (-freq[c], c))
+    alpha = sorted(ranked if limit_alphabet is None else ranked[:limit_alphabet])
+    keep = set(alpha)
+    words = {w: [c if i == 0 else "##" + c for i, c in enumerate(w) if c in keep] for w in word_counts}
     vocab = V.special_token_list(num_unused) + alpha
-    vocab += sorted({s for sy in words.values() for s in sy[1:]} - set(vocab))
+    vocab += sorted({s for sy in words.values() for s in sy if s.startswith("##")} - set(vocab))
     known = set(vocab)
     while len(vocab) < vocab_size:
         pairs = Counter()
@@ -208,3 +214,15 @@ def test_word_symbols_prefix_follows_original_position(spark):
     finally:
         V.LITERAL_DROP_LIMIT = old
     assert got == {"xab": ["##a", "##b"], "abx": ["a", "##b"]}
+
+
+def test_learner_limited_alphabet(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(40)
+    counts = V.word_counts(V.pretokenize(docs, "text", ["doc_id"]))
+    wc = {r.word: r.n for r in counts.collect()}
+    limit = 20
+    size = len(py_learn(wc, 0, limit_alphabet=limit)) + 40
+    want = py_learn(wc, size, limit_alphabet=limit)
+    got = [r.piece for r in V.learn_wordpiece(counts, size, limit_alphabet=limit)
+           .orderBy("token_id").collect()]
+    assert got == want
