@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import ann, bpe, chat, mixing, quality, warc
+from tessera.llm import ann, bpe, chat, mixing, ngram_join, quality, repeats, warc
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -73,3 +73,17 @@ def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(pages).select(
         "page_id", F.col("payload_length").alias("payload_bytes"), "payload_digest",
         F.col("warc_type").alias("record_type"), "refers_to")
+
+
+@_query("op9_ngram_jaccard")
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+@_query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["hi"] - x["lo"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
