@@ -74,11 +74,17 @@ def _pieces(texts: list[bytes], length: int):
 
 
 def find_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
-    """Arrays ``text, start, starts, hash, print`` of all runs of the texts."""
+    """Arrays ``text, start, starts, hash, print, again`` of all runs of the texts.
+
+    ``again``: the smallest hash stands at two places of the run or more, so the
+    run may hold equal windows itself.
+    """
+    width = length - gram + 1
     out = []
     for raw, where in _pieces(texts, length):
         sums = Prefix(np.frombuffer(raw, np.uint8))
-        low = window_minima(sums.windows(gram), length - gram + 1)
+        grams = sums.windows(gram)
+        low = window_minima(grams, width)
         lo = np.asarray([w[2] for w in where])
         hi = np.asarray([w[3] for w in where]) - length + 1  # starts of each text: [lo, hi)
         cut = np.ones(len(low), bool)
@@ -90,10 +96,17 @@ def find_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
         stop = np.minimum(np.append(np.flatnonzero(cut), len(low))[np.searchsorted(np.flatnonzero(cut), first) + 1], hi[owner[first]])
         own = owner[first]
         shift = np.asarray([w[1] - w[2] for w in where])
+        # places that are the smallest of some window: the largest minimum of the windows over them is theirs
+        around = np.concatenate([np.full(width - 1, ~np.uint64(0)), ~low, np.full(width - 1, ~np.uint64(0))])
+        spots = np.flatnonzero(~window_minima(around, width) == grams)
+        a, z = np.searchsorted(spots, first), np.searchsorted(spots, stop + width - 1)
+        run = np.repeat(np.arange(len(first)), z - a)
+        spot = spots[np.arange(len(run)) - np.repeat(np.cumsum(z - a) - (z - a), z - a) + np.repeat(a, z - a)]
+        many = np.bincount(run[grams[spot] == low[first[run]]], minlength=len(first)) > 1
         out.append((np.asarray([w[0] for w in where])[own], first + shift[own], stop - first,
-                    low[first].astype(np.int64), sums.hash(first, stop + length - 1).astype(np.int64)))
+                    low[first].astype(np.int64), sums.hash(first, stop + length - 1).astype(np.int64), many))
     if not out:
-        return [np.empty(0, np.int64)] * 5
+        return [np.empty(0, np.int64)] * 5 + [np.empty(0, bool)]
     return [np.concatenate(c) for c in zip(*out)]
 
 
@@ -286,16 +299,18 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         for b in batches:
             for lo in range(0, b.num_rows, 400):
                 part = b.slice(lo, 400)
-                text, s, m, h, f = find_runs([x.encode() for x in part.column("text").to_pylist()], length)
+                text, s, m, h, f, again = find_runs([x.encode() for x in part.column("text").to_pylist()], length)
                 take = pa.array(text)
                 yield pa.record_batch([pa.array(h), pa.array(f), part.column("d").take(take), part.column("t").take(take),
-                                       pa.array(s, pa.int64()), pa.array(m, pa.int64())], names=["h", "f", "d", "t", "s", "m"])
+                                       pa.array(s, pa.int64()), pa.array(m, pa.int64()), pa.array(again)],
+                                      names=["h", "f", "d", "t", "s", "m", "again"])
 
-    keyed.mapInArrow(runs_of, "h long, f long, d long, t long, s long, m long").write.parquet(f"{stage}/runs")
+    keyed.mapInArrow(runs_of, "h long, f long, d long, t long, s long, m long, again boolean").write.parquet(f"{stage}/runs")
     runs = spark.read.parquet(f"{stage}/runs")
-    counted = (runs.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("f").alias("f0"), F.max("f").alias("f1"))
-               .where("n > 1").select(F.col("h").alias("_h"), (F.col("f0") == F.col("f1")).alias("equal")))
-    runs.join(counted, F.col("h") == F.col("_h")).drop("_h").write.parquet(f"{stage}/shared")
+    counted = (runs.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("f").alias("f0"), F.max("f").alias("f1"),
+                                     F.max("again").alias("again"))
+               .where("n > 1 or again").select(F.col("h").alias("_h"), F.expr("n > 1 and f0 = f1").alias("equal")))
+    runs.join(counted, F.col("h") == F.col("_h")).drop("_h", "again").write.parquet(f"{stage}/shared")
     shared = spark.read.parquet(f"{stage}/shared")
     whole = lambda df: df.select("d", "t", F.col("s").alias("lo"), (F.col("s") + F.col("m") + length - 1).alias("hi"))
 
