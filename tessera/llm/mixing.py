@@ -41,10 +41,10 @@ _EPS = 1e-9
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, size``: number of words of each whole text."""
+    """``doc_id, source, text_hash, size``: number of words of each whole text."""
     n = F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long")
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       F.coalesce(n, F.lit(0).cast("long")).alias("size"))
+                       F.xxhash64(text_col).alias("text_hash"), F.coalesce(n, F.lit(0).cast("long")).alias("size"))
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeats: float = 3.0) -> DataFrame:
@@ -120,7 +120,7 @@ def _settle(frac: DataFrame, bucket: Column, level: int, seed: int) -> DataFrame
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: float = 3.0, seed: int = 7, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source", bucket: int = BUCKET) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` per document.
+    """``doc_id, source, text_hash, size, source_size, target, copies, taken`` per document.
 
     ``copies`` is between 0 and ``ceil(max_repeats)``; ``taken = copies * size``.
     Only (id, source, size) rows shuffle, never texts.
@@ -157,7 +157,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: float = 3.0, seed: int =
         out = out.unionByName(x)
     copies = F.col("whole") + F.round("share").cast("long")
     return (out.withColumn("copies", copies).withColumn("taken", copies * F.col("size"))
-            .select("doc_id", "source", "size", "source_size", "target", "copies", "taken"))
+            .select("doc_id", "source", "text_hash", "size", "source_size", "target", "copies", "taken"))
+
+
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kwargs) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, all columns.
+
+    Rows with the same id, source and text are one kind; the kind comes as often
+    as its rows are taken together.
+    """
+    cols = docs.columns
+    mixed = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kwargs)
+    kinds = (mixed.groupBy("doc_id", "source", "text_hash").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+             .toDF("_id", "_source", "_hash", "_copies"))
+    rows = docs.withColumn("_text_hash", F.xxhash64(text_col))
+    same = (F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source"))
+            & (F.col("_text_hash") == F.col("_hash")))
+    return (rows.join(kinds, same).dropDuplicates(["_id", "_source", "_hash"])
+            .select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_n")).drop("_n"))
 
 
 def _with_goals(sized: DataFrame, salted: DataFrame) -> DataFrame:

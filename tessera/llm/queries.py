@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import ann, bpe, chat, mixing, ngram_join, quality, repeats, warc
+from tessera.llm import ann, bpe, chat, html, mixing, ngram_join, quality, repeats, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -87,3 +87,18 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
         F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["hi"] - x["lo"]).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query("op8_html_text")
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))

@@ -368,8 +368,13 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     return spans.groupBy("d", "t").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``removed array<struct<lo, hi>>`` (maximal ranges of bytes) and ``kept binary``."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+                   in_place: bool = False) -> DataFrame:
+    """``docs`` with ``removed array<struct<lo, hi>>`` (maximal ranges of bytes) and ``kept binary``.
+
+    ``in_place`` gives ``docs`` with ``text_col`` cut instead; of a character that
+    lost some of its bytes the others go too, and a null text stays null.
+    """
     spans = repeat_spans(docs, length, id_col, text_col).checkpoint()
     small = _small(spans, "spans")
     spans = spans.toDF("_d", "_t", "_spans")
@@ -392,11 +397,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                         at = z
                     kept.append(b"".join([*parts, raw[at:]]))
                     removed.append([{"lo": a, "hi": z} for a, z in cut])
+                if in_place:
+                    text = [None if t is None else k.decode("utf-8", "ignore")
+                            for t, k in zip(part.column(text_col).to_pylist(), kept)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(text, pa.string()) if c == text_col else part.column(c) for c in plain], names=plain)
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in plain],
                      pa.array(removed, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
                      pa.array(kept, pa.binary())], names=[*plain, "removed", "kept"])
 
+    if in_place:
+        return joined.mapInArrow(run, docs.schema)
     schema = docs.select("*", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>").alias("removed"),
                          F.lit(None).cast("binary").alias("kept")).schema
     return joined.mapInArrow(run, schema)
