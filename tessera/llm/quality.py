@@ -88,9 +88,11 @@ def base_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         | F.coalesce(F.get(pairs, i + 1)["h"] == x["h"], F.lit(False))), lambda x: x["i"]))
     d = d.withColumn("n_repeat_words", F.when(F.size(rep) == 0, F.lit(0).cast("long"))
                      .when(F.size(rep) > SCAN, _covered(many)).otherwise(_covered(few)))
-    d = d.withColumn("base_failed", (F.col("n_words") < 50)
-                     | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return d.drop("_q_win", "_q_sorted", "_q_rep", "_q_pairs")
+    # through a generator, so that a filter on the counts is not moved below them and evaluated many times over
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    d = d.select(*docs.columns, F.inline(F.array(F.struct(*counts))))
+    return d.withColumn("base_failed", (F.col("n_words") < 50)
+                        | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
