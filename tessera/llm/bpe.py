@@ -28,12 +28,14 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
+from tessera.llm.hashing import Prefix
+
 #: Entries of a task's table of encoded runs, and the longest run that it holds.
-TABLE, LONGEST = 500_000, 48
+TABLE, LONGEST = 250_000, 48
 #: Pieces of up to so many bytes are merged many at a time.
 WIDEST = 64
 #: Texts of one Arrow batch in and out of Python, by characters.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 #: Rows that are decoded together.
 DECODE_ROWS = 256
 
@@ -121,14 +123,14 @@ class PairRanks:
         return np.where((self.keys[at] == want) & (left >= 0) & (right >= 0), self.values[at], -1)
 
 
-def merge_many(pieces: list[bytes], ranks: dict[bytes, int], pairs: PairRanks) -> list[list[int]]:
+def merge_many(pieces: list[bytes], ranks: dict[bytes, int], pairs: PairRanks) -> list[bytes]:
     """:func:`merge_piece` of many pieces of 2 to ``WIDEST`` bytes, one tree per row of an array.
 
-    Each step does one merge in every piece that has one left.
+    Each step does one merge in every piece that has one left.  Ids come as int32 bytes.
     """
     out: list = [None] * len(pieces)
     byte_id = np.asarray([ranks[bytes([i])] for i in range(256)], np.int64)
-    none = np.int64(1 << 60)
+    none = np.int32(1 << 30)  # above every rank * width
     lengths = np.asarray([len(x) for x in pieces])
     width = 2
     while width <= WIDEST:
@@ -142,9 +144,9 @@ def merge_many(pieces: list[bytes], ranks: dict[bytes, int], pairs: PairRanks) -
             wide = width + 1
             tok = np.full((m, wide), -1, np.int64)
             tok[:, :width] = np.where(cols < n[:, None], byte_id[raw], -1)
-            end = np.tile(np.arange(1, width + 2), m)
-            prev = np.tile(np.arange(-1, width), m)
-            tree = np.full((m, 2 * width), none)
+            end = np.tile(np.arange(1, width + 2, dtype=np.int32), m)
+            prev = np.tile(np.arange(-1, width, dtype=np.int32), m)
+            tree = np.full((m, 2 * width), none, np.int32)
             r = pairs(tok[:, :width].ravel(), tok[:, 1:].ravel()).reshape(m, width)
             tree[:, width:] = np.where(r >= 0, r * width + cols, none)
             for node in range(width - 1, 0, -1):
@@ -179,12 +181,41 @@ def merge_many(pieces: list[bytes], ranks: dict[bytes, int], pairs: PairRanks) -
                     tree[base3 + node] = np.minimum(tree.take(two), tree.take(two + 1))
                     node >>= 1
                 live = live[tree.take(live * (2 * width) + 1) < none]
-            for row, ids in zip(part.tolist(), tok.tolist()):
-                out[row] = [x for x in ids if x >= 0]
+            ids = tok[tok >= 0].astype(np.int32).tobytes()
+            stops = (4 * np.cumsum((tok >= 0).sum(1))).tolist()
+            at = 0
+            for row, stop in zip(part.tolist(), stops):
+                out[row] = ids[at:stop]
+                at = stop
         width *= 2
     return out
 
 
+def _run_starts(raw: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where runs start: at every text, and at every single space between two other characters than white space.
+
+    A space next to a byte that may belong to white space outside ASCII is not
+    taken, which only makes a run longer.
+    """
+    low = np.zeros(256, bool)
+    low[[9, 10, 11, 12, 13, 32]] = True
+    space = np.flatnonzero(raw == 32)
+    space = space[(space > 0) & (space < len(raw) - 1)]
+    lead = np.zeros(256, bool)
+    lead[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+    after, before = raw[space + 1], raw[space - 1]
+    open_ = (before >= 0x80) & (lead[raw[np.maximum(space - 2, 0)]] | lead[raw[np.maximum(space - 3, 0)]])
+    cut = space[~low[after] & ~low[before] & ~lead[after] & ~open_]
+    return np.union1d(cut, first)
+
+
+def ragged(offsets: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The stretches ``values[offset:offset + length]`` one after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(offsets - (ends - lengths), lengths)]
+
+
 class Encoder:
     """Pattern, ranks and a bounded table of encoded runs and pieces."""
 
@@ -193,79 +224,105 @@ class Encoder:
         # White_Space, as \s stands for in the pattern's own dialect
         self.cut = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
                                  .replace(r"\S", r"\P{White_Space}")).findall
-        self.edge = regex.compile(r"\p{White_Space}").match
-        self.runs: dict[str, list[int]] = {}
-        self.bytes = [b""] * (max(ranks.values(), default=-1) + 1)
+        self.runs: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
-            self.bytes[rank] = token
-
-    def _fill(self, new: list[tuple[str, list[int]]]) -> None:
-        """Encodes the new runs; each piece that is not known yet once."""
-        known, ask = self.runs, {}
-        cuts = [self.cut(run) for run, _ in new]
-        for (run, _), cut in zip(new, cuts):
-            for piece in cut:
-                if piece == run or piece not in ask and not known.get(piece):
-                    ask[piece] = None
-        short, raw = [], []
-        for piece in ask:
-            b = piece.encode()
-            whole = self.ranks.get(b)
-            if whole is not None:
-                ask[piece] = [whole]
-            elif len(b) > WIDEST:
-                ask[piece] = merge_piece(b, self.ranks)
-            else:
-                short.append(piece)
-                raw.append(b)
-        ask.update(zip(short, merge_many(raw, self.ranks, self.pairs)))
-        for (_, ids), cut in zip(new, cuts):
+            tokens[rank] = token
+        self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.token_size = np.asarray([len(t) for t in tokens], np.int64)
+        self.token_start = np.cumsum(self.token_size) - self.token_size
+
+    def _cut(self, runs: list[bytes]) -> list[list[bytes]]:
+        """Pieces of each run; runs without inner white space are cut together, a line end between them."""
+        joined = b"\n".join(runs).decode()
+        pieces = [p.encode() for p in self.cut(joined)]
+        if joined.count("\n") == len(runs) - 1 == pieces.count(b"\n"):
+            out, part = [], []
+            for p in pieces:
+                if p == b"\n":
+                    out.append(part)
+                    part = []
+                else:
+                    part.append(p)
+            return [*out, part]
+        if len(runs) == 1:
+            return [pieces]
+        plain = [r for r in runs if len(r.split()) == 1 and r[-1] > 32 and r[:2].strip() and b"\n" not in r]
+        if len(plain) == len(runs):
+            return [[p.encode() for p in self.cut(r.decode())] for r in runs]
+        own = dict(zip(plain, self._cut(plain))) if plain else {}
+        return [own[r] if r in own else [p.encode() for p in self.cut(r.decode())] for r in runs]
+
+    def _fill(self, new: list[bytes]) -> list[bytes]:
+        """Ids of new runs; each piece that is not known yet is merged once."""
+        known, older, ask = self.runs, self.older, {}
+        cuts = self._cut(new)
+        for cut in cuts:
             for piece in cut:
-                ids += ask.get(piece) or known[piece]
+                if piece not in ask and piece not in known:
+                    ask[piece] = older.get(piece)
+        short = []
         for piece, ids in ask.items():
-            if len(piece) <= LONGEST:
-                known.setdefault(piece, ids)
+            if ids is None:
+                whole = self.ranks.get(piece)
+                if whole is not None:
+                    ask[piece] = whole.to_bytes(4, "little")
+                elif len(piece) > WIDEST:
+                    ask[piece] = np.asarray(merge_piece(piece, self.ranks), np.int32).tobytes()
+                else:
+                    short.append(piece)
+        ask.update(zip(short, merge_many(short, self.ranks, self.pairs)))
+        out = []
+        for cut in cuts:
+            got = [ask[p] if p in ask else known[p] for p in cut]
+            out.append(got[0] if len(got) == 1 else b"".join(got))
+        if len(known) + len(out) > TABLE:  # the older half goes
+            self.older, self.runs = known, {}
+        self.runs.update((r, ids) for r, ids in zip(new, out) if len(r) <= LONGEST)
+        self.runs.update((p, ids) for p, ids in ask.items() if len(p) <= LONGEST)
+        return out
 
-    def encode_many(self, texts: list[str]) -> list[list[list[int]]]:
-        """For each text the ids of its runs, in order.
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's ids start and end.
 
-        A text is cut at every space that stands between two other characters
-        than white space; the space goes with what follows.
+        Runs are told apart by a 64-bit hash; a hash that stood for two runs
+        would show when the ids are decoded, and the texts are then done one
+        by one.
         """
-        if len(self.runs) > TABLE:
-            self.runs.clear()
-        runs, edge = self.runs, self.edge
-        known, new, out = runs.get, [], []
-        for text in texts:
-            seq: list[list[int]] = []
-            held, lead = None, ""
-            for part in text.split(" ") if text else ():
-                x = lead + part if held is None else held + lead + part
-                lead = " "
-                got = known(x)
-                if got is None:
-                    if not part or edge(part[-1]):  # white space here goes on into the next part
-                        held = x
-                        continue
-                    got = []
-                    new.append((x, got))
-                    if len(x) <= LONGEST:
-                        runs[x] = got
-                held = None
-                seq.append(got)
-            if held is not None:
-                got = []
-                new.append((held, got))
-                seq.append(got)
-            out.append(seq)
-        self._fill(new)
-        return out
+        data = [t.encode() for t in texts]
+        sizes = np.asarray([len(d) for d in data], np.int64)
+        whole = b"".join(data)
+        if not whole:
+            return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        raw = np.frombuffer(whole, np.uint8)
+        first = np.cumsum(sizes) - sizes
+        lo = _run_starts(raw, first[sizes > 0])
+        hi = np.append(lo[1:], len(raw))
+        _, one, which = np.unique(Prefix(raw).hash(lo, hi), return_index=True, return_inverse=True)
+        runs = [whole[a:b] for a, b in zip(lo[one].tolist(), hi[one].tolist())]
+        known, older = self.runs.get, self.older.get
+        ids = [known(r) or older(r) for r in runs]
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            for i, got in zip(missing, self._fill([runs[i] for i in missing])):
+                ids[i] = got
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
+        out = ragged((np.cumsum(size) - size)[which], size[which], flat)
+        upto = np.concatenate([[0], np.cumsum(size[which])])
+        ends = upto[np.searchsorted(lo, np.append(first, len(raw)))]
+        if len(texts) > 1 and self.decode(out) != whole:
+            parts = [self.encode_many([t])[0] for t in texts]
+            return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+        return out, ends
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.encode_many([text])[0]))
+        return self.encode_many([text])[0].tolist()
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        return ragged(self.token_start[ids], self.token_size[ids], self.token_bytes).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -303,10 +360,8 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
     def run(batches):
         enc = _encoder(name, pattern)
         for part, texts in _slices(batches, text_col, lambda t: len(t or "") + 64):
-            runs = enc.encode_many([t or "" for t in texts])
-            ids = [np.fromiter(chain.from_iterable(r), np.int32) for r in runs]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            yield _add(part, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))), ids_col)
+            ids, ends = enc.encode_many([t or "" for t in texts])
+            yield _add(part, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))), ids_col)
 
     return df.mapInArrow(run, df.select("*", F.lit(None).cast("array<int>").alias(ids_col)).schema)
 
@@ -316,11 +371,16 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "dec
     name = _share(df, path)
 
     def run(batches):
-        tokens = _encoder(name, pattern).bytes
+        enc = _encoder(name, pattern)
         for b in batches:
             for lo in range(0, b.num_rows, DECODE_ROWS):
                 part = b.slice(lo, DECODE_ROWS)
-                yield _add(part, pa.array([b"".join(map(tokens.__getitem__, i or ()))
-                                           for i in part.column(ids_col).to_pylist()], pa.binary()), bytes_col)
+                lists = part.column(ids_col)
+                ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                size = np.asarray(lists.value_lengths().fill_null(0), np.int64)
+                upto = np.concatenate([[0], np.cumsum(enc.token_size[ids])])
+                ends = upto[np.concatenate([[0], np.cumsum(size)])].astype(np.int32)
+                yield _add(part, pa.BinaryArray.from_buffers(
+                    pa.binary(), len(part), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(enc.decode(ids))]), bytes_col)
 
     return df.mapInArrow(run, df.select("*", F.lit(None).cast("binary").alias(bytes_col)).schema)
