@@ -17,7 +17,7 @@ occurs nowhere else holds no repeat and is dropped before any text moves.
    an interval of at least ``LENGTH`` whose occurrences have different bytes on
    their left is a maximal repeat, and its group holds all its occurrences.
    An interval with one and the same byte on the left lies inside a longer repeat.
-3. A hash with more than ``HOT`` distinct runs (a passage that very many
+3. A hash whose distinct runs hold more than ``HOT`` bytes (a passage that very many
    documents share, each with other text around) would make one large group.
    Its windows are counted by a 128-bit hash instead, exactly as many rows as
    it has windows, spread over all tasks.
@@ -40,8 +40,9 @@ from tessera.llm.hashing import Prefix
 from tessera.session import scratch_path
 
 LENGTH, GRAM = 400, 32
-#: Distinct runs of one hash beyond which its windows are counted by hash.
-HOT = 1500
+#: Bytes of the distinct runs of one hash beyond which its windows are counted by
+#: hash: a suffix array takes about 70 bytes for each byte of text.
+HOT = 4 << 20
 #: Bytes of text of one suffix array, and of one step of the scan.
 ARRAY, STEP = 1 << 20, 1 << 20
 #: Rows, and elements of their lists, up to which a table is broadcast.
@@ -118,16 +119,17 @@ def suffix_order(strings: list[bytes], stop: int):
     """
     lengths = np.asarray([len(s) for s in strings])
     ends = np.cumsum(lengths + 1) - 1
-    sym = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + 1
+    sym = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int16) + np.int16(1)
     sym[ends] = 0
     n = len(sym)
-    end = np.repeat(ends, lengths + 1)
-    at = np.arange(n)
+    end = np.repeat(ends.astype(np.int32), lengths + 1)
+    at = np.arange(n, dtype=np.int32)
     key = np.zeros(n, np.int64)
     for j in range(7):
-        key = key << 9 | sym[np.minimum(at + j, end)]
-    act = np.argsort(key, kind="stable")
-    rank = np.empty(n, np.int64)
+        key <<= 9
+        key |= sym[np.minimum(at + j, end)]
+    act = np.argsort(key, kind="stable").astype(np.int32)
+    rank = np.empty(n, np.int32)
 
     def heads(sorted_keys):
         new = np.ones(len(sorted_keys), bool)
@@ -137,16 +139,17 @@ def suffix_order(strings: list[bytes], stop: int):
     new = heads(key[act])
     first = np.flatnonzero(new)
     rank[act] = np.repeat(first, np.diff(np.append(first, n)))
-    size, levels = 7, [rank.astype(np.int32)]
+    del at
+    size, levels = 7, [rank.copy()]
 
     def several(act, new):
         first = np.flatnonzero(new)
         return act[np.repeat(np.diff(np.append(first, len(act))) > 1, np.diff(np.append(first, len(act))))]
 
+    del key
     act = several(act, new)
     while size < stop and len(act):
-        old = rank[act]
-        key = old * n + rank[np.minimum(act + size, end[act])]
+        key = rank[act].astype(np.int64) * n + rank[np.minimum(act + np.int64(size), end[act])]
         order = np.argsort(key, kind="stable")
         act, key = act[order], key[order]
         old = key // n
@@ -155,7 +158,7 @@ def suffix_order(strings: list[bytes], stop: int):
         rank[act] = old + np.maximum.accumulate(np.where(new, i, 0)) - np.maximum.accumulate(np.where(was, i, 0))
         act = several(act, new)
         size *= 2
-        levels.append(rank.astype(np.int32))
+        levels.append(rank.copy())
     return end, levels, sym
 
 
@@ -323,7 +326,7 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     copies = mixed.join(again, (F.col("h") == F.col("_h")) & (F.col("f") == F.col("_f"))).drop("_h", "_f")
 
     # their strings, one of each
-    hot = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT).select(F.col("h").alias("_h"), F.lit(True).alias("hot"))
+    hot = kinds.groupBy("h").agg(F.sum(F.col("r.m") + length).alias("k")).where(F.col("k") > HOT).select(F.col("h").alias("_h"), F.lit(True).alias("hot"))
     asked = (kinds.join(hot, F.col("h") == F.col("_h"), "left")
              .select(F.col("r.d").alias("d"), F.col("r.t").alias("t"), F.struct(
                  "h", "n", F.col("r.s").alias("s"), F.col("r.m").alias("m"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("x"))
