@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, functions as F
 from tessera.llm.hashing import Prefix
 
 #: Entries of a task's table of encoded runs, and the longest run that it holds.
-TABLE, LONGEST = 250_000, 48
+TABLE, LONGEST = 160_000, 48
 #: Pieces of up to so many bytes are merged many at a time.
 WIDEST = 64
 #: Texts of one Arrow batch in and out of Python, by characters.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 #: Rows that are decoded together.
 DECODE_ROWS = 256
 
