@@ -46,6 +46,8 @@ _SPACED = re.compile(r"\b\w(?:[.\-_*]\w){3,}\b")
 _LEET = str.maketrans("013457@$!*", "oieastasi ")
 _UPPER, _PUNCT = bytes(range(65, 91)), b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 WINDOW = 300
+#: Features of a text.
+FIELDS = 14
 
 
 class Features:
@@ -74,7 +76,7 @@ class Features:
 
     def row(self, text: str) -> list[float]:
         if not text:
-            return [0.0] * 14
+            return [0.0] * FIELDS
         low = text.lower()
         raw = text.encode()
         n, words = len(raw), low.count(" ") + low.count("\n") + 1
@@ -133,7 +135,7 @@ class Model:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         rows = Features(self.lexicon) if not hasattr(self, "_rows") else self._rows
         self._rows = rows
-        return self.level(self.trees.margin(np.asarray([rows.row(t or "") for t in texts]).reshape(len(texts), -1)))
+        return self.level(self.trees.margin(np.asarray([rows.row(t or "") for t in texts]).reshape(len(texts), FIELDS)))
 
     def __getstate__(self):
         return (self.lexicon, self.trees, self.level)
@@ -160,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     got = sorted(rows.mapInArrow(features, "doc_id long, y int, x array<double>").collect())
     y = np.asarray([r["y"] for r in got], float)
-    x = np.asarray([r["x"] for r in got], float).reshape(len(got), -1)
+    x = np.asarray([r["x"] for r in got], float).reshape(len(got), FIELDS)
     share = {r["y"]: r["count"] for r in usable.groupBy("y").count().collect()}  # the sample's classes back to their shares
     w = np.where(y == 1, share.get(1, 0) / max(toxic, 1), share.get(0, 0) / max(clean, 1))
     fold = np.arange(len(y)) % 3
