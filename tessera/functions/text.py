@@ -23,10 +23,13 @@ PY_WS_CLASS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 # Sentence delimiters: FULLWIDTH FULL STOP, IDEOGRAPHIC FULL STOP, ?, !,
 # FULLWIDTH QUESTION MARK, FULLWIDTH EXCLAMATION MARK, newline.
 SENTENCE_DELIMS = "．。?!？！\n"
-# Encyclopedia annotations removed whole: "citation needed", "dead link".
-ANNOTATION_WORDS = ("要出典", "リンク切れ")
-# Prefix of "needs ..." markers.
-NEED_MARKER = "要"
+# Encyclopedia clean-up: reference numbers, "needs ..." markers, templates,
+# footnotes to the end, annotations ("citation needed", "dead link", doubts).
+RE_REF_NUMBER = r"\[\p{Nd}+?\]"
+RE_NEED_MARKER = r"\[要.+?\]"
+RE_TEMPLATE = r"\{\{+[^{}]+?\}\}+"
+RE_FOOTNOTE = r" \^ .+"
+RE_ANNOTATION = r"\[(要出典|リンク切れ|.+?\?)\]"
 # Unicode White_Space (the whitespace pre-tokeniser's split set).
 WHITE_SPACE_CLASS = (
     r"[\t-\r\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
@@ -42,11 +45,6 @@ RE_STRIP = rf"^{PY_WS_CLASS}+|{PY_WS_CLASS}+\z"
 RE_SENTENCE_PIECE = rf"{_NON_DELIM_CLASS}*{_DELIM_CLASS}|{_NON_DELIM_CLASS}+"
 # leading blanks, or blanks just before an optional final non-newline delimiter
 RE_SENTENCE_TRIM = rf"^{PY_WS_CLASS}+|{PY_WS_CLASS}+(?={_NON_NL_DELIMS}?\z)"
-RE_REF_NUMBER = r"\[\p{Nd}+?\]"
-RE_NEED_MARKER = r"\[" + NEED_MARKER + r".+?\]"
-RE_TEMPLATE = r"\{\{+[^{}]+?\}\}+"
-RE_FOOTNOTE = r" \^ .+"
-RE_ANNOTATION = r"\[(" + "|".join(ANNOTATION_WORDS) + r"|.+?\?)\]"
 
 
 def _c(col) -> Column:

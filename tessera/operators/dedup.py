@@ -48,7 +48,11 @@ def dedup_recent(df: DataFrame, window: int, value_col: str = "sentence",
     w_slice = Window.partitionBy(*keys).orderBy("_slice")
     carry = last.withColumn("_carry", F.lag("_last").over(w_slice)).drop("_last")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    return (rows.join(carry, keys + ["_slice"])
+    # null-safe: rows without a value repeat each other like any other value
+    carry = carry.toDF("_shard", "_value", "_at", "_carry")
+    same = (F.col(shard_col).eqNullSafe(F.col("_shard")) & F.col(value_col).eqNullSafe(F.col("_value"))
+            & (F.col("_slice") == F.col("_at")))
+    return (rows.join(carry, same)
                 .where(prev.isNull() | (F.col(pos_col) - prev > window))
                 .select(*df.columns))
 

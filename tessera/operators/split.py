@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from tessera.functions.keyed import h60
 from tessera.operators.rowindex import with_row_index, with_running_total
 
-# Row counts up to this use Spark's top-k (per-partition heap + one merge);
-# above it the merge task would grow with the cap, so the range-partitioned
-# row index is used instead.
-TOPK_LIMIT = 10_000
 
 
 # ------------------------------------------------------------------ P1, P2
@@ -37,15 +33,15 @@ def train_valid_split(df: DataFrame, num_files: int, shard_col: str = "shard",
 def first_rows(df: DataFrame, n: int, order_cols, method: str = "auto") -> DataFrame:
     """The first ``n`` rows in ``order_cols`` order (all rows if fewer).
 
-    ``method``: ``topk`` (Spark's TakeOrderedAndProject), ``index`` (range
-    partition + dense index of every row), ``prefix`` (see ``_first_rows_by_group``:
-    only the per-group counts are indexed), or ``auto`` (top-k up to
-    ``TOPK_LIMIT`` rows, else ``prefix``).
+    Nulls come first.  ``method``: ``prefix``, which is also ``auto`` for every
+    ``n`` (see ``_first_rows_by_group``: only the per-group counts are indexed),
+    ``topk`` (Spark's TakeOrderedAndProject) or ``index`` (range partition +
+    dense index of every row).
     """
     if n <= 0:
         return df
     order_cols = list(order_cols)
-    if method == "topk" or (method == "auto" and n <= TOPK_LIMIT):
+    if method == "topk":
         return df.orderBy(*order_cols).limit(n)
     if method in ("prefix", "auto"):
         return _first_rows_by_group(df, n, order_cols)
@@ -69,12 +65,11 @@ def _first_rows_by_group(df: DataFrame, n: int, order_cols) -> DataFrame:
     if last is None:
         return df.limit(0)
     key, start, count = last[0], last[1], last[2]
+    boundary = df.where(F.col(g).eqNullSafe(F.lit(key)))
+    head = df.limit(0) if key is None else df.where(F.col(g).isNull() | (F.col(g) < F.lit(key)))
     if start + count <= n:
-        return df.where(F.col(g) <= F.lit(key))
-    head = df.where(F.col(g) < F.lit(key))
-    boundary = df.where(F.col(g) == F.lit(key))
-    part = first_rows(boundary, n - start, rest, "auto" if n - start > TOPK_LIMIT else "topk") \
-        if rest else boundary.limit(n - start)
+        return head.unionByName(boundary)
+    part = first_rows(boundary, n - start, rest) if rest else boundary.limit(n - start)
     return head.unionByName(part)
 
 

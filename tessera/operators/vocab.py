@@ -60,7 +60,7 @@ def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
 
         words = _split(normalized)
     else:
-        raise ValueError("Invalid pre_tokenizer_type is specified.")
+        raise ValueError(f"unknown word mode {mode!r}")
     explode = F.posexplode_outer if outer else F.posexplode
     return df.select(*id_cols, explode(words).alias("word_no", "word"))
 
@@ -118,11 +118,6 @@ def load_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ W4
-# A dropped-character set up to this size filters inside the word arrays;
-# larger sets (rare characters of a huge corpus) go through a join.
-LITERAL_DROP_LIMIT = 10_000
-
-
 def word_symbols(counts: DataFrame, alphabet_df: DataFrame | None = None) -> DataFrame:
     """Initial symbols of each distinct word ``(word, n, symbols)``: its
     characters, ``##`` before every character but the word's first;
@@ -133,20 +128,12 @@ def word_symbols(counts: DataFrame, alphabet_df: DataFrame | None = None) -> Dat
         c.alias("c"), F.when(i == 0, c).otherwise(F.concat(F.lit(CONTINUATION_PREFIX), c)).alias("s")))
     if alphabet_df is None:
         return counts.select("word", "n", F.transform(syms, lambda x: x["s"]).alias("symbols"))
-    all_chars = counts.select(F.explode(chars).alias("char")).distinct()
-    dropped = all_chars.join(F.broadcast(alphabet_df.select("char")), "char", "left_anti")
-    n_dropped = dropped.count()                                    # one scalar
-    if n_dropped <= LITERAL_DROP_LIMIT:
-        gone = [r["char"] for r in dropped.collect()]             # bounded above
-        kept = syms if not gone else F.filter(
-            syms, lambda x: ~F.array_contains(F.array(*[F.lit(g) for g in gone]), x["c"]))
-        return counts.select("word", "n", F.transform(kept, lambda x: x["s"]).alias("symbols"))
-    exploded = counts.select("word", "n", F.posexplode(syms).alias("i", "x"))
-    kept_rows = exploded.join(F.broadcast(alphabet_df.select(F.col("char").alias("_c"))),
-                              F.col("x.c") == F.col("_c"))
-    return kept_rows.groupBy("word", "n").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", F.col("x.s").alias("s")))),
-                    lambda t: t["s"]).alias("symbols"))
+    exploded = counts.select("word", "n", F.posexplode_outer(syms).alias("i", "x"))
+    marked = exploded.join(F.broadcast(alphabet_df.select(F.col("char").alias("_c"))),
+                           F.col("x.c") == F.col("_c"), "left")
+    kept = F.when(F.col("_c").isNotNull(), F.struct("i", F.col("x.s").alias("s")))
+    return marked.groupBy("word", "n").agg(
+        F.transform(F.array_sort(F.collect_list(kept)), lambda t: t["s"]).alias("symbols"))
 
 
 def pair_rows(symbols: DataFrame, sign: int = 1) -> DataFrame:

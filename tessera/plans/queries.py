@@ -51,6 +51,12 @@ def h60_sql(*parts: str) -> str:
     return f"('0x' || substr(md5({key}), 1, 15))::BIGINT"
 
 
+# The oracles' own patterns, written out apart from the engine's.
+SQL_REF_NUMBER = r"\[[\p{Nd}]+\]"
+SQL_NEED_MARKER = r"\[要.[^\]\n]*\]"
+SQL_TEMPLATE = r"\{{2,}[^{}]+\}{2,}"
+SQL_FOOTNOTE = r"[ ]\^[ ].+"
+SQL_ANNOTATION = r"\[(?:要出典|リンク切れ|.+?\?)\]"
 RE2_STRIP = T.RE_STRIP
 RE2_PIECE = T.RE_SENTENCE_PIECE
 # RE2 has no look-ahead: keep an optional final delimiter through a group.
@@ -156,19 +162,19 @@ def q_drop_unprintable(spark, sf_dir):
 
 
 @register("drop_ref_numbers", f"""
-SELECT doc_id, regexp_replace({MARKED_SQL}, '{T.RE_REF_NUMBER}', '', 'g') AS text FROM documents""")
+SELECT doc_id, regexp_replace({MARKED_SQL}, '{SQL_REF_NUMBER}', '', 'g') AS text FROM documents""")
 def q_drop_ref_numbers(spark, sf_dir):
     return marked_docs(spark, sf_dir).select("doc_id", T.drop_ref_numbers("text").alias("text"))
 
 
 @register("drop_need_markers", f"""
-SELECT doc_id, regexp_replace({MARKED_SQL}, '{T.RE_NEED_MARKER}', '', 'g') AS text FROM documents""")
+SELECT doc_id, regexp_replace({MARKED_SQL}, '{SQL_NEED_MARKER}', '', 'g') AS text FROM documents""")
 def q_drop_need_markers(spark, sf_dir):
     return marked_docs(spark, sf_dir).select("doc_id", T.drop_need_markers("text").alias("text"))
 
 
 @register("drop_templates", f"""
-SELECT doc_id, regexp_replace({MARKED_SQL}, '{T.RE_TEMPLATE}', '', 'g') AS text FROM documents""")
+SELECT doc_id, regexp_replace({MARKED_SQL}, '{SQL_TEMPLATE}', '', 'g') AS text FROM documents""")
 def q_drop_templates(spark, sf_dir):
     return marked_docs(spark, sf_dir).select("doc_id", T.drop_templates("text").alias("text"))
 
@@ -187,13 +193,13 @@ def q_drop_nav_prefix(spark, sf_dir):
 
 
 @register("drop_footnotes", f"""
-SELECT doc_id, regexp_replace({MARKED_SQL}, '{T.RE_FOOTNOTE}', '', 'g') AS text FROM documents""")
+SELECT doc_id, regexp_replace({MARKED_SQL}, '{SQL_FOOTNOTE}', '', 'g') AS text FROM documents""")
 def q_drop_footnotes(spark, sf_dir):
     return marked_docs(spark, sf_dir).select("doc_id", T.drop_footnotes("text").alias("text"))
 
 
 @register("drop_annotations", f"""
-SELECT doc_id, regexp_replace({MARKED_SQL}, '{T.RE_ANNOTATION}', '', 'g') AS text FROM documents""")
+SELECT doc_id, regexp_replace({MARKED_SQL}, '{SQL_ANNOTATION}', '', 'g') AS text FROM documents""")
 def q_drop_annotations(spark, sf_dir):
     return marked_docs(spark, sf_dir).select("doc_id", T.drop_annotations("text").alias("text"))
 
@@ -209,12 +215,12 @@ def q_collapse_ws(spark, sf_dir):
 
 def _clean_sql(c: str, title: str) -> str:
     x = f"regexp_replace({c}, '{RE2_UNPRINTABLE}', '', 'g')"
-    x = f"regexp_replace({x}, '{T.RE_REF_NUMBER}', '', 'g')"
-    x = f"regexp_replace({x}, '{T.RE_NEED_MARKER}', '', 'g')"
-    x = f"regexp_replace({x}, '{T.RE_TEMPLATE}', '', 'g')"
+    x = f"regexp_replace({x}, '{SQL_REF_NUMBER}', '', 'g')"
+    x = f"regexp_replace({x}, '{SQL_NEED_MARKER}', '', 'g')"
+    x = f"regexp_replace({x}, '{SQL_TEMPLATE}', '', 'g')"
     x = _nav_sql(x, title)
-    x = f"regexp_replace({x}, '{T.RE_FOOTNOTE}', '', 'g')"
-    x = f"regexp_replace({x}, '{T.RE_ANNOTATION}', '', 'g')"
+    x = f"regexp_replace({x}, '{SQL_FOOTNOTE}', '', 'g')"
+    x = f"regexp_replace({x}, '{SQL_ANNOTATION}', '', 'g')"
     return f"trim(regexp_replace({x}, ' +', ' ', 'g'))"
 
 
@@ -824,7 +830,8 @@ def q_sample_counts(spark, sf_dir):
 
 @register("evaluation", f"""
 WITH {PRED_CTE},
-s AS (SELECT *, {LOSS_SQL} AS loss FROM pred WHERE label <> -100)
+first AS (SELECT * FROM pred ORDER BY vec_id LIMIT 1000),
+s AS (SELECT *, {LOSS_SQL} AS loss FROM first WHERE label <> -100)
 SELECT (sum(CASE WHEN pred = label THEN 1 ELSE 0 END) / count(*)) AS accuracy,
        count(*) AS n_scored, round(avg(loss), 6) AS eval_loss, round(exp(avg(loss)), 6) AS perplexity,
        least(1000, (SELECT count(*) FROM embeddings)) AS samples
@@ -846,7 +853,7 @@ def q_learn_wordpiece(spark, sf_dir):
 @register("training_table")
 def q_training_table(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    out = recipes.training_table(conv, data_vocab(spark, sf_dir), True, 64, 400, 32,
+    out = recipes.training_table(conv, data_vocab(spark, sf_dir), True, 64, None, 32,
                                  seed=SEED, id_cols=["conv_id", "turn"])
     return _render(out.select("conv_id", "turn", "batch_id", "batch_pos", *ENC_FIELDS, "labels"),
                    [*ENC_FIELDS, "labels"])

@@ -76,9 +76,11 @@ def corpus_wiki(docs: DataFrame, num_files: int = 32, max_documents: int = 0,
 def evaluation(df: DataFrame, logits_col: str = "logits", label_col: str = "label",
                id_col: str = "row_id", batch_size: int = 32,
                max_samples: int | None = None) -> DataFrame:
-    """Evaluation table: argmax -> scored positions -> accuracy over all
-    batches -> perplexity -> sample count, as one row."""
+    """Evaluation table: the first ``max_samples`` rows by id -> argmax ->
+    scored positions -> accuracy over all batches -> perplexity -> sample
+    count, as one row."""
     from tessera.operators import metrics
+    df = split.max_samples(df, max_samples, (id_col,))
     pred = df.select(id_col, F.floor(F.col(id_col) / batch_size).alias("batch_id"),
                      metrics.argmax(logits_col).alias("pred"), F.col(label_col).alias("label"),
                      metrics.token_loss(logits_col, label_col).alias("loss"))
@@ -86,13 +88,12 @@ def evaluation(df: DataFrame, logits_col: str = "logits", label_col: str = "labe
     acc = metrics.accuracy_by_batch(s)
     ppl = metrics.perplexity(s)
     n = df.agg(F.count(F.lit(1)).alias("_n"))
-    samples = F.col("_n") if max_samples is None else F.least(F.lit(max_samples).cast("long"), F.col("_n"))
     # three one-row aggregates side by side
     return (acc.select("accuracy", "n_scored").withColumn("_k", F.lit(1))
             .join(ppl.withColumn("_k", F.lit(1)), "_k")
             .join(n.withColumn("_k", F.lit(1)), "_k")
             .select("accuracy", "n_scored", F.round("eval_loss", 6).alias("eval_loss"),
-                    F.round("perplexity", 6).alias("perplexity"), samples.alias("samples")))
+                    F.round("perplexity", 6).alias("perplexity"), F.col("_n").alias("samples")))
 
 
 # ------------------------------------------------------------------ R3

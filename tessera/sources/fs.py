@@ -25,3 +25,13 @@ def is_dir(spark: SparkSession, path: str) -> bool:
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_path(spark, path)
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files that a path, folder or glob stands for (one folder level)."""
+    fs, p = _fs_path(spark, path)
+    found = fs.globStatus(p)
+    out = []
+    for st in found or []:
+        out += [x.getPath().getName() for x in fs.listStatus(st.getPath())] if st.isDirectory() else [st.getPath().getName()]
+    return sorted(out)

@@ -18,10 +18,12 @@ DATASET_FORMATS = {"csv": "csv", "json": "json", "jsonl": "json", "txt": "text",
                    "parquet": "parquet"}
 
 
-def _reject_xz(paths):
+def _reject_xz(spark, paths):
+    """xz has no Hadoop codec, so its bytes would come back as lines; also inside folders and globs."""
     for p in paths:
-        if str(p).endswith(".xz"):
-            raise ValueError(f"{p}: xz has no Hadoop codec; recompress as gzip or bzip2")
+        for name in [str(p), *fs.file_names(spark, str(p))]:
+            if name.endswith(".xz"):
+                raise ValueError(f"{name} in {p}: xz has no Hadoop codec; recompress as gzip or bzip2")
 
 
 # ------------------------------------------------------------------ S1
@@ -33,7 +35,7 @@ def read_lines(spark: SparkSession, path, line_col: str = "line") -> DataFrame:
     rejected: Spark has no codec for it and would return raw bytes.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    _reject_xz(paths)
+    _reject_xz(spark, paths)
     reader = spark.read.format("text")
     if len(paths) == 1 and fs.is_dir(spark, paths[0]):
         reader = reader.option("pathGlobFilter", "*.*")
@@ -50,7 +52,7 @@ def read_paragraphs(spark: SparkSession, path) -> DataFrame:
     lines)``; ``record_id`` is fixed for a given file listing and split size.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    _reject_xz(paths)
+    _reject_xz(spark, paths)
     raw = spark.read.format("text").option("lineSep", "\n\n").load(paths)
     body = F.regexp_replace(F.regexp_replace("value", _LEAD_BLANK_LINES, ""), _TRAIL_BLANK_LINES, "")
     paras = (raw.select(F.col("_metadata.file_path").alias("file"),
@@ -105,12 +107,18 @@ def dataset_format(spark: SparkSession, path: str) -> str:
     return DATASET_FORMATS[ext]
 
 
-def read_dataset(spark: SparkSession, train_path: str, valid_path: str | None = None):
-    """``(train, valid)`` DataFrames; valid is read in train's format."""
+def read_dataset(spark: SparkSession, train_path: str, valid_path: str | None = None,
+                 multi_line: bool = False):
+    """``(train, valid)`` DataFrames; valid is read in train's format.
+
+    CSV quotes are escaped by doubling.  ``multi_line`` lets quoted values hold
+    line ends; such files cannot be split.
+    """
     fmt = dataset_format(spark, train_path)
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = (reader.option("header", "true").option("escape", '"')
+                  .option("multiLine", str(multi_line).lower()))
     train = reader.load(train_path)
     valid = reader.load(valid_path) if valid_path else None
     return train, valid
