@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from tessera.llm.hashing import Prefix
 
 #: Entries of a task's table of encoded runs, and the longest run that it holds.
-TABLE, LONGEST = 160_000, 48
+TABLE, LONGEST = 120_000, 48
 #: Pieces of up to so many bytes are merged many at a time.
 WIDEST = 64
 #: Texts of one Arrow batch in and out of Python, by characters.
@@ -362,6 +362,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
         for part, texts in _slices(batches, text_col, lambda t: len(t or "") + 64):
             ids, ends = enc.encode_many([t or "" for t in texts])
             yield _add(part, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))), ids_col)
+        enc.runs, enc.older = {}, {}  # a worker process outlives its task
 
     return df.mapInArrow(run, df.select("*", F.lit(None).cast("array<int>").alias(ids_col)).schema)
 
