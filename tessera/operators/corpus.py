@@ -64,20 +64,31 @@ def random_spans(df: DataFrame, min_len: int, max_len: int, text_col: str = "tex
 
     Draw ``i`` of a document is ``min_len + h60(seed, id, i) % width``; a span
     starts where the previous ones end, is cut to what remains, and a rest
-    shorter than ``min_len`` is dropped.  Only ``ceil(len / min_len)`` draws
-    are exploded per document, and without the text: the running start is a
-    window partitioned by document (bounded by one document's length), and
-    the spans are cut after joining the (start, length) rows back to the text
-    on the document id.
+    shorter than ``min_len`` is dropped.  Draws, running starts and cuts are
+    array expressions of one row, so nothing shuffles and rows that repeat an
+    id are cut each on their own.
     """
     if not 0 < min_len <= max_len:
         raise ValueError("need 0 < min_len <= max_len")
     width = max_len - min_len + 1
-    docs = df.select(id_col, text_col).where(F.length(text_col) >= min_len)
-    draws = (docs.select(id_col, F.explode(F.sequence(
-                 F.lit(0), F.ceil(F.length(text_col) / min_len).cast("int") - 1)).alias("span_no"))
-                 .withColumn("r", F.lit(min_len) + h60(F.lit(seed), id_col, "span_no") % width))
-    return cut_spans(docs, draws, min_len, text_col, id_col)
+    size = F.length(text_col).cast("bigint")
+    docs = df.select(id_col, text_col).where(size >= min_len)
+    numbers = F.sequence(F.lit(0), F.ceil(size / min_len).cast("int") - 1)
+    draws = F.transform(numbers, lambda i: F.lit(min_len) + h60(F.lit(seed), id_col, i) % width)
+    none = F.array().cast("array<bigint>")
+    starts = F.aggregate("_r", F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("seen")),
+                         lambda a, r: F.struct((a["at"] + r).alias("at"),
+                                               F.concat(a["seen"], F.array(a["at"])).alias("seen")),
+                         lambda a: a["seen"])
+
+    def cut(start, i):
+        n = F.least(F.get("_r", i), size - start)
+        return F.struct(i.alias("span_no"), start.alias("start"), n.alias("span_len"),
+                        F.col(text_col).substr((start + 1).cast("int"), n.cast("int")).alias("span"))
+
+    spans = F.transform(F.filter("_starts", lambda start: size - start >= min_len), cut)
+    return (docs.withColumn("_r", draws).withColumn("_starts", starts)
+                .select(id_col, F.inline(spans)))
 
 
 # ------------------------------------------------------------------ filters

@@ -19,7 +19,8 @@ from tessera.operators import vocab as vocab_ops
 from tessera.operators.rowindex import positions_by_document
 from tessera.plans import recipes
 from tessera.session import scratch_path
-from tessera.sources import readers
+from tessera.sources import readers, sinks
+from tessera.streaming import streams
 
 SEED = 42
 NUM_FILES = 32
@@ -455,6 +456,13 @@ def q_corpus_plain(spark, sf_dir):
                                 max_sentences=8000, max_valid_sentences=200, seed=SEED)
 
 
+@register("corpus_plain_all", f"""
+WITH {CORPUS_CTE}
+SELECT split, shard, doc_id, line_no, line FROM corpus""")
+def q_corpus_plain_all(spark, sf_dir):
+    return recipes.corpus_plain(table(spark, sf_dir, "documents"), NUM_FILES, seed=SEED)
+
+
 @register("corpus_counts", f"""
 WITH {CORPUS_CTE}
 SELECT split, count(*) AS n_sentences, count(DISTINCT shard) AS n_files FROM corpus GROUP BY split""")
@@ -857,3 +865,91 @@ def q_training_table(spark, sf_dir):
                                  seed=SEED, id_cols=["conv_id", "turn"])
     return _render(out.select("conv_id", "turn", "batch_id", "batch_pos", *ENC_FIELDS, "labels"),
                    [*ENC_FIELDS, "labels"])
+
+
+# ================================================================ K: sinks, written and read again
+@register("write_shards", f"""
+WITH {CORPUS_CTE}
+SELECT split, shard, line FROM corpus""")
+def q_write_shards(spark, sf_dir):
+    path = scratch_path(spark, "shards")
+    sinks.write_shards(corpus_lines(spark, sf_dir), path, NUM_FILES)
+    return sinks.read_shards(spark, path).select("split", "shard", "line")
+
+
+@register("append_shards", f"""
+WITH {CORPUS_CTE}
+SELECT split, shard, line FROM corpus""")
+def q_append_shards(spark, sf_dir):
+    """The valid split is added to the written train split."""
+    path, lines = scratch_path(spark, "appended"), corpus_lines(spark, sf_dir)
+    sinks.write_shards(lines.where("split = 'train'"), path, NUM_FILES)
+    sinks.write_shards(lines.where("split = 'valid'"), path, NUM_FILES, mode="append")
+    return sinks.read_shards(spark, path).select("split", "shard", "line")
+
+
+@register("write_vocab", f"""
+WITH {VOCAB_CTE}
+SELECT token_id, piece FROM vocab""")
+def q_write_vocab(spark, sf_dir):
+    """K4 and W8: the vocabulary file, read back with its ids."""
+    file = sinks.write_vocab(data_vocab(spark, sf_dir), scratch_path(spark, "vocab"))
+    return vocab_ops.load_vocab(spark, file).select(F.col("token_id").cast("int").alias("token_id"), "piece")
+
+
+@register("write_metrics", f"""
+WITH {PRED_CTE}
+SELECT avg(CASE WHEN pred = label THEN 1 ELSE 0 END) AS accuracy, count(*) AS n_scored, 'valid' AS split
+FROM pred WHERE label <> -100""")
+def q_write_metrics(spark, sf_dir):
+    path = scratch_path(spark, "metrics")
+    sinks.write_metrics(metrics.masked_accuracy(predictions(spark, sf_dir)), path, "valid")
+    return spark.read.json(path).select("accuracy", "n_scored", "split")
+
+
+@register("cached_stage", "SELECT doc_id, text FROM documents")
+def q_cached_stage(spark, sf_dir):
+    """The second call reads what the first one wrote."""
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "stage")
+    sinks.cached_stage(docs, path)
+    return sinks.cached_stage(docs, path)
+
+
+# ================================================================ X: streams over everything available
+def _stream(spark, name: str, df: DataFrame) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+STREAM_SENTS_CTE = f"""cleaned AS (SELECT doc_id, {_clean_sql(MARKED_SQL, 'lang')} AS text FROM documents),
+{sents_sql("cleaned", "s")},
+f AS (SELECT * FROM s WHERE length(sentence) BETWEEN 10 AND 1000)"""
+
+
+@register("stream_clean", f"""
+WITH {STREAM_SENTS_CTE}
+SELECT doc_id, sent_no, sentence FROM f""")
+def q_stream_clean(spark, sf_dir):
+    docs = _stream(spark, "stream-docs", marked_docs(spark, sf_dir))
+    return streams.run_available(streams.stream_clean(docs), "clean").select("doc_id", "sent_no", "sentence")
+
+
+@register("stream_dedup", f"""
+WITH {STREAM_SENTS_CTE}
+SELECT DISTINCT sentence FROM f""")
+def q_stream_dedup(spark, sf_dir):
+    """Sentences only: which of the equal ones arrives first is open."""
+    docs = marked_docs(spark, sf_dir).withColumn("ingest_ts", F.timestamp_seconds(F.lit(1_704_067_200)))
+    sents = streams.stream_clean(_stream(spark, "stream-sents", docs))
+    return streams.run_available(streams.stream_dedup(sents), "dedup").select("sentence")
+
+
+@register("stream_accuracy", f"""
+WITH {PRED_CTE}
+SELECT sum(CASE WHEN pred = label THEN 1 ELSE 0 END)::BIGINT AS n_correct, count(*) AS n_scored,
+       avg(CASE WHEN pred = label THEN 1 ELSE 0 END) AS accuracy
+FROM pred WHERE label <> -100""")
+def q_stream_accuracy(spark, sf_dir):
+    preds = _stream(spark, "stream-preds", predictions(spark, sf_dir).select("pred", "label"))
+    return streams.run_available(streams.stream_accuracy(preds), "accuracy", "complete")

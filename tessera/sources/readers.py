@@ -48,13 +48,17 @@ def read_paragraphs(spark: SparkSession, path) -> DataFrame:
 
     Records are read with ``lineSep="\\n\\n"`` (the file stays splittable), then
     each record is split again on breaks made of whitespace-only lines.  A
-    file end always ends a paragraph.  Output ``(file, record_id, para_no,
-    lines)``; ``record_id`` is fixed for a given file listing and split size.
+    file end always ends a paragraph.  Lines end at ``\\n``, ``\\r`` or
+    ``\\r\\n``; a file that has only ``\\r`` or ``\\r\\n`` line ends holds no
+    record separator and is read by one task.  Output ``(file, record_id,
+    para_no, lines)``; ``record_id`` is fixed for a given file listing and
+    split size.
     """
     paths = [path] if isinstance(path, str) else list(path)
     _reject_xz(spark, paths)
     raw = spark.read.format("text").option("lineSep", "\n\n").load(paths)
-    body = F.regexp_replace(F.regexp_replace("value", _LEAD_BLANK_LINES, ""), _TRAIL_BLANK_LINES, "")
+    text = F.regexp_replace("value", r"\r\n?", "\n")
+    body = F.regexp_replace(F.regexp_replace(text, _LEAD_BLANK_LINES, ""), _TRAIL_BLANK_LINES, "")
     paras = (raw.select(F.col("_metadata.file_path").alias("file"),
                         F.monotonically_increasing_id().alias("_rec"),
                         F.posexplode(F.split(body, _PARA_BREAK)).alias("_p", "_para"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tessera.sources import fs
 
 
 # ------------------------------------------------------------------ K1, K2, K3
-def write_shards(df: DataFrame, path: str, num_files: int, line_col: str = "line",
+def write_shards(df: DataFrame, path: str, num_files: int, line_col: str | None = None,
                  split_col: str = "split", shard_col: str = "shard", mode: str = "errorifexists",
                  order_cols=None, key_cols=("doc_id",), files_per_shard: int | None = None) -> None:
     """One text directory per (split, shard), one line per row.
@@ -19,10 +21,16 @@ def write_shards(df: DataFrame, path: str, num_files: int, line_col: str = "line
     files; ``mode="append"`` adds to existing shards (K3).  A shard is
     written by ``files_per_shard`` tasks (default: the shuffle partitions
     spread over the shards), each taking whole documents (salted by
-    ``key_cols``), so no task holds a whole shard; ``order_cols`` keeps the
-    input order inside a file.
+    ``key_cols``), so no task holds a whole shard.  Inside a file rows are in
+    input order: by document and line or sentence number, as far as the table
+    has these columns; ``order_cols`` names others, ``()`` leaves the sort out.
+    ``line_col`` is ``line``, or ``sentence`` where there is no ``line``.
     """
     spark = df.sparkSession
+    if line_col is None:
+        line_col = "line" if "line" in df.columns else "sentence"
+    if order_cols is None:
+        order_cols = [c for c in (*key_cols, "line_no", "sent_no") if c in df.columns]
     if files_per_shard is None:
         files_per_shard = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // num_files)
     keys = [c for c in key_cols if c in df.columns]
@@ -57,11 +65,35 @@ def write_metrics(metrics_df: DataFrame, path: str, split: str, mode: str = "ove
 
 
 # ------------------------------------------------------------------ K6
-def cached_stage(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
-    """Write a stage once as parquet and read it back; reuse it unless
-    ``overwrite`` (the map-result cache of the original)."""
+def fingerprint(df: DataFrame) -> str | None:
+    """Digest of the plan and of its input files (path, size, modification time).
+
+    None if rows come from the driver's memory or from a checkpoint, which a
+    plan does not name.  The code of Python functions is not part of it.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    text = f"{plan.canonicalized().toString()}\n{df.schema.json()}"
+    if "LogicalRDD" in text or "LocalRelation" in text:
+        return None
+    files = df.inputFiles()
+    if files:
+        seen = (df.sparkSession.read.format("binaryFile").load(files)
+                .select(F.xxhash64("path", "length", "modificationTime").alias("h"))
+                .agg(F.bit_xor("h"), F.count(F.lit(1))).first())
+        text += f"\n{tuple(seen)}"
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def cached_stage(df: DataFrame, path: str, overwrite: bool = False, key: str | None = None) -> DataFrame:
+    """Write a stage once as parquet and read it back; reuse it for the same
+    input unless ``overwrite`` (the map-result cache of the original).
+
+    Every input has a folder of its own under ``path``, named by ``key`` or
+    else by :func:`fingerprint`; an input without a fingerprint is written
+    again each time."""
     spark = df.sparkSession
-    done = fs.exists(spark, f"{path.rstrip('/')}/_SUCCESS")
-    if overwrite or not done:
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    name = key or fingerprint(df)
+    at = f"{path.rstrip('/')}/stage={name or 'unnamed'}"
+    if overwrite or name is None or not fs.exists(spark, f"{at}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(at)
+    return spark.read.parquet(at)

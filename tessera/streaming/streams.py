@@ -12,20 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.keyed import h60
 from tessera.operators import corpus
 from tessera.session import scratch_path
 from tessera.sources.readers import JSON_DOC_SCHEMA
 
 
 def read_json_docs_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming JSON-lines documents with non-empty text, plus the arrival
-    time ``ingest_ts`` (processing time) for bounded-state operators."""
+    """Streaming JSON-lines documents ``doc_id, title, text, ingest_ts`` with non-empty text.
+
+    ``doc_id`` is a keyed hash of the file path, title and text, the same in
+    every run; equal documents of one file share it.  ``ingest_ts`` is the
+    arrival time, for bounded-state operators."""
     raw = (spark.readStream.schema(JSON_DOC_SCHEMA)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     return (raw.where(F.col("_corrupt_record").isNull() & F.col("text").isNotNull()
                       & (F.col("text") != ""))
-               .select("title", "text", F.current_timestamp().alias("ingest_ts")))
+               .select(h60("_metadata.file_path", F.coalesce("title", F.lit("")), F.md5("text")).alias("doc_id"),
+                       "title", "text", F.current_timestamp().alias("ingest_ts")))
 
 
 # ------------------------------------------------------------------ X1
@@ -62,9 +67,18 @@ def stream_accuracy(preds: DataFrame, pred_col: str = "pred", label_col: str = "
 
 def run_available(stream: DataFrame, name: str, mode: str = "append",
                   checkpoint: str | None = None) -> DataFrame:
-    """Run a streaming plan over everything available into a memory table,
-    wait for it, and return the table."""
+    """Run a streaming plan over everything available, wait for it, and return its rows.
+
+    Appended rows go to Parquet files.  The other modes hold the result table in
+    a memory table; they are meant for aggregates of a few rows."""
     spark = stream.sparkSession
+    if mode == "append":
+        out = scratch_path(spark, f"rows-{name}")
+        q = (stream.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}"))
+             .trigger(availableNow=True).start(out))
+        q.awaitTermination()
+        return spark.read.schema(stream.schema).parquet(out)
     q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
          .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}"))
          .trigger(availableNow=True).start())

@@ -127,3 +127,19 @@ def test_corpus_wiki_lru_mode_large_cache_is_first_per_shard(spark):
     want = allrows.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
     assert sorted(got.collect()) == sorted(want.collect())
     assert got.count() < allrows.count()
+
+
+def test_random_spans_repeated_ids_are_cut_apart(spark):
+    docs = spark.createDataFrame([(1, "a" * 20), (1, "b" * 20)], "doc_id long, text string")
+    spans = corpus.random_spans(docs, 5, 5, seed=3).collect()
+    assert sorted((r.span_no, r.start, r.span) for r in spans) == sorted(
+        (i, 5 * i, c * 5) for i in range(4) for c in "ab")
+    assert "Exchange" not in corpus.random_spans(docs, 5, 5)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_paragraphs_of_all_line_ends(spark, tmp_dir):
+    for i, end in enumerate(["\n", "\r\n", "\r"]):
+        with open(os.path.join(tmp_dir, f"{i}.txt"), "w", newline="") as f:
+            f.write(end.join(["a", "b", "", "  ", "c", ""]))
+    got = sorted(tuple(r.lines) for r in readers.read_paragraphs(spark, tmp_dir).collect())
+    assert got == sorted([("a", "b"), ("c",)] * 3)

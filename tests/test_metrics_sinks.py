@@ -53,9 +53,31 @@ def test_vocab_round_trip(spark, tmp_dir):
 
 def test_cached_stage_reused(spark, tmp_dir):
     path = os.path.join(tmp_dir, "stage")
-    assert sinks.cached_stage(spark.range(3), path).count() == 3
-    assert sinks.cached_stage(spark.range(5), path).count() == 3      # reused, not rewritten
-    assert sinks.cached_stage(spark.range(5), path, overwrite=True).count() == 5
+    src = os.path.join(tmp_dir, "src")
+    spark.range(3).write.parquet(src)
+    stamp = lambda: {f: os.stat(os.path.join(d, f)).st_mtime_ns
+                     for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")}
+    assert sinks.cached_stage(spark.read.parquet(src), path).count() == 3
+    first = stamp()
+    assert sinks.cached_stage(spark.read.parquet(src), path).count() == 3 and stamp() == first   # reused
+    assert sinks.cached_stage(spark.read.parquet(src).where("id > 0"), path).count() == 2        # another plan
+    spark.range(5).write.mode("overwrite").parquet(src)
+    assert sinks.cached_stage(spark.read.parquet(src), path).count() == 5                        # other files
+    local = lambda n: spark.createDataFrame([(i,) for i in range(n)], "id long")
+    assert [sinks.cached_stage(local(n), path).count() for n in (2, 4)] == [2, 4]
+    assert [sinks.cached_stage(local(n), path, key="k").count() for n in (2, 4)] == [2, 2]
+    assert sinks.cached_stage(local(4), path, overwrite=True, key="k").count() == 4
+
+
+def test_write_shards_keeps_order_by_default(spark, tmp_dir):
+    rows = [("train", 0, 0, i, f"{i:03d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "split string, shard int, doc_id long, sent_no int, sentence string")
+    path = os.path.join(tmp_dir, "ordered")
+    sinks.write_shards(df.repartition(8), path, 1, files_per_shard=1)
+    folder = os.path.join(path, "split=train", "shard=0")
+    (part,) = [f for f in os.listdir(folder) if f.startswith("part-")]
+    with open(os.path.join(folder, part)) as fh:
+        assert fh.read().split() == [r[4] for r in rows]
 
 
 def test_write_metrics(spark, tmp_dir):

@@ -56,7 +56,7 @@ def test_json_stream_clean_then_dedup(spark, tmp_dir):
     with open(os.path.join(src, "b.json"), "w") as f:
         f.write('{"index": {}}\n{"title": "U", "text": "Shared line here! Last bit here!"}\nnot json\n')
     docs = streams.read_json_docs_stream(spark, src, max_files_per_trigger=1)
-    sents = streams.stream_clean(docs, id_col="title", min_len=5)
+    sents = streams.stream_clean(docs, min_len=5)
     got = streams.run_available(streams.stream_dedup(sents, "1 hour"), "x12", "append",
                                 os.path.join(tmp_dir, "ck"))
     assert sorted(r.sentence for r in got.collect()) == [
