@@ -6,31 +6,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.keyed import h60, hash_key
+from tessera.functions.keyed import hash_key
 from tessera.operators import corpus
 from tessera.operators.rowindex import with_row_index
 from tessera.operators.split import hash_rank
 from tessera.operators.vocab import CONTINUATION_PREFIX, pretokenize
+from tessera.session import checkpoint_dir
 
 # Fixed values of the WordPiece model and the collator.
 MAX_INPUT_CHARS_PER_WORD = 100
 IGNORE_LABEL = -100
 MASK_SHARE, RANDOM_SHARE = 0.8, 0.1      # of the chosen positions; the rest unchanged
-# A vocabulary up to this many pieces is broadcast to the substring join.
-BROADCAST_VOCAB_ROWS = 2_000_000
+# A vocabulary of up to this many bytes is broadcast to the substring join.
+BROADCAST_VOCAB_BYTES = 256 << 20
+# A word with more than this share of all tokens is hot; at most 1 / share exist.
+HOT_WORDS = 10_000
 
 
-def _token_id(vocab: DataFrame, piece: str) -> int:
-    row = vocab.where(F.col("piece") == piece).select("token_id").first()
-    if row is None:
-        raise ValueError(f"vocabulary lacks {piece}")
-    return int(row[0])
-
-
-def _vocab_side(vocab: DataFrame) -> DataFrame:
-    n = vocab.count()   # one scalar: decides the join strategy
-    v = vocab.select("token_id", "piece")
-    return F.broadcast(v) if n <= BROADCAST_VOCAB_ROWS else v
+def _vocab_facts(vocab: DataFrame, *pieces: str) -> tuple[DataFrame, int, list[int]]:
+    """The vocabulary as a join side, its longest piece and the ids of ``pieces``,
+    from one aggregate."""
+    plen = F.when(F.col("piece").startswith(CONTINUATION_PREFIX),
+                  F.length("piece") - len(CONTINUATION_PREFIX)).otherwise(F.length("piece"))
+    row = vocab.agg(F.max(plen), F.sum(F.octet_length("piece") + 16),
+                    *[F.max(F.when(F.col("piece") == p, F.col("token_id"))) for p in pieces]).first()
+    for piece, token_id in zip(pieces, row[2:]):
+        if token_id is None:
+            raise ValueError(f"vocabulary lacks {piece}")
+    side = vocab.select("token_id", "piece")
+    return (F.broadcast(side) if row[1] <= BROADCAST_VOCAB_BYTES else side,
+            row[0] or 1, [int(i) for i in row[2:]])
 
 
 # ------------------------------------------------------------------ W6
@@ -45,12 +50,15 @@ def wordpiece_segment(words: DataFrame, vocab: DataFrame, word_col: str = "word"
     left.  A word gets ``[UNK]`` when the walk is stuck or it has more than
     ``max_chars`` characters.  Output ``(word, ids array<int>)``.
     """
-    unk = _token_id(vocab, unk_token)
-    plen = F.when(F.col("piece").startswith(CONTINUATION_PREFIX),
-                  F.length("piece") - len(CONTINUATION_PREFIX)).otherwise(F.length("piece"))
-    longest = vocab.agg(F.max(plen)).first()[0] or 1   # one scalar
-    w = words.select(F.col(word_col).alias("word")).distinct() \
-             .withColumn("_L", F.length("word"))
+    return _segment(words.select(F.col(word_col).alias("word")).distinct(),
+                    _vocab_facts(vocab, unk_token), max_chars)
+
+
+def _segment(words: DataFrame, facts: tuple, max_chars: int = MAX_INPUT_CHARS_PER_WORD) -> DataFrame:
+    """Segments of words that are distinct already; ``facts`` of the vocabulary
+    end with the id of the unknown token."""
+    side, longest, (*_, unk) = facts
+    w = words.select("word", F.length("word").alias("_L"))
     # one linear pipeline: words too long or without any hit survive the
     # outer explode / left join with null starts and end as [UNK]
     starts = F.when(F.col("_L") <= max_chars, F.sequence(F.lit(0), F.col("_L") - 1)) \
@@ -62,7 +70,7 @@ def wordpiece_segment(words: DataFrame, vocab: DataFrame, word_col: str = "word"
     sub = F.substring(F.col("word"), F.col("s") + 1, F.col("l"))
     cands = cands.withColumn("piece", F.when(F.col("s") == 0, sub)
                              .otherwise(F.concat(F.lit(CONTINUATION_PREFIX), sub)))
-    hits = cands.join(_vocab_side(vocab), "piece", "left")
+    hits = cands.join(side, "piece", "left")
     # longest hit per start: (length, id) packed in one long, so the
     # aggregation is hash-based rather than sort-based
     packed = F.when(F.col("token_id").isNotNull(),
@@ -98,19 +106,36 @@ def encode(df: DataFrame, vocab: DataFrame, max_len: int | None = 512, text_col:
     special tokens, with ``token_type_ids`` (0), ``attention_mask`` (1),
     ``special_tokens_mask`` and ``length``; ``padding`` pads to ``max_len``.
 
-    Words are segmented once per distinct word and joined back (AQE splits
-    a hot word's partition, or broadcasts a small segmentation table); rows
-    are regrouped in word order.  A row with no words encodes as
-    ``[CLS] [SEP]``.
+    Words are segmented once per distinct word and joined back; rows are
+    regrouped in word order.  Segments of hot words (more than one in
+    ``HOT_WORDS`` of all tokens, so fewer than ``HOT_WORDS`` words, of at most
+    100 characters) reach their tokens by broadcast, and longer words are
+    unknown without a lookup; such tokens spread over the shuffle of the others
+    by row, so no word fills one task.  The distinct words are checkpointed with
+    their counts.  A row with no words encodes as ``[CLS] [SEP]``.
     """
     id_cols = list(id_cols)
-    cls_id, sep_id, pad_id = (_token_id(vocab, t) for t in ("[CLS]", "[SEP]", "[PAD]"))
+    facts = _vocab_facts(vocab, "[CLS]", "[SEP]", "[PAD]", "[UNK]")
+    cls_id, sep_id, pad_id, unk_id = facts[2]
     rows = df.select(*id_cols, text_col)
     # rows without words keep one null-word row, so no second pass over rows
     words = pretokenize(rows, text_col, id_cols, outer=True)
-    seg = wordpiece_segment(words.where(F.col("word").isNotNull()), vocab)
-    pieces = (words.join(seg, "word", "left")
-              .groupBy(*id_cols)
+    checkpoint_dir(df.sparkSession)
+    counts = (words.where(F.length("word") <= MAX_INPUT_CHARS_PER_WORD)
+              .groupBy("word").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") > F.lit(total // HOT_WORDS)
+    hot = _segment(counts.where(is_hot), facts).withColumnRenamed("ids", "_hot")
+    cold = _segment(counts.where(~is_hot), facts)
+    tokens = words.join(F.broadcast(hot), "word", "left")
+    long_word = F.when(F.length("word") > MAX_INPUT_CHARS_PER_WORD, F.array(F.lit(unk_id)))
+    tokens = tokens.withColumn("_own", F.coalesce("_hot", long_word))
+    spread = F.xxhash64(*id_cols, "word_no").cast("string")
+    tokens = tokens.withColumn("_key", F.when(F.col("word").isNull() | F.col("_own").isNotNull(), spread)
+                               .otherwise(F.col("word")))
+    joined = tokens.join(cold.select(F.col("word").alias("_key"), F.col("ids").alias("_cold")), "_key", "left")
+    joined = joined.withColumn("ids", F.when(F.col("word").isNotNull(), F.coalesce("_own", "_cold")))
+    pieces = (joined.groupBy(*id_cols)
               .agg(F.flatten(F.transform(F.array_sort(F.collect_list(
                   F.when(F.col("ids").isNotNull(), F.struct("word_no", "ids")))),
                   lambda s: s["ids"])).alias("_ids")))
@@ -242,11 +267,14 @@ def length_batches(df: DataFrame, batch_size: int, mega_mult: int | None = None,
 
     ``mega_mult`` defaults to ``min(n // (batch_size * 4), 50)`` (at least 1).
     Adds ``rank`` (shuffle order, from ``split.hash_rank``: no global sort),
-    ``batch_id`` and ``batch_pos``.
+    ``batch_id`` and ``batch_pos``.  The input is checkpointed, as the ranks, the
+    row count and the longest example each read it.
     """
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     ranked = hash_rank(df, list(key_cols), seed, "rank")
     if mega_mult is None:
-        n = ranked.agg(F.count(F.lit(1))).first()[0]   # one scalar
+        n = df.agg(F.count(F.lit(1))).first()[0]   # one scalar
         mega_mult = max(min(n // (batch_size * 4), 50), 1)
     mega = batch_size * mega_mult
     ranked = ranked.withColumn("_mega", F.floor(F.col("rank") / mega))

@@ -128,7 +128,8 @@ def training_table(dataset: DataFrame, vocab: DataFrame, line_by_line: bool = Tr
                    epoch: int = 0, id_cols=None) -> DataFrame:
     """Masked-LM training table: text column -> (line-by-line encoding | encode
     and pack) -> first ``max_samples`` -> length-grouped batches -> masking
-    -> padding per batch.  ``id_cols`` default: rows numbered in scan order.
+    -> padding per batch.  Line by line, a row is an example, so the cap comes
+    before the encoding.  ``id_cols`` default: rows numbered in scan order.
     """
     from tessera.operators import encode as E
     from tessera.sources.readers import text_column
@@ -139,13 +140,13 @@ def training_table(dataset: DataFrame, vocab: DataFrame, line_by_line: bool = Tr
         name = "text" if "text" in dataset.columns else [c for c in dataset.columns if c not in ids][0]
         rows = dataset.select(*ids, F.col(name).alias("text"))
     if line_by_line:
+        rows = split.max_samples(corpus.drop_blank_lines(rows, "text"), max_samples, ids)
         enc = E.line_by_line(rows, vocab, max_len, "text", ids)
     else:
         enc = E.encode(rows, vocab, None, "text", ids, truncation=False)
         enc = E.pack_blocks(enc, max_len, ids, group_rows)
         ids = ["group_id", "block_no"]
-        enc = enc.withColumn("length", F.size("input_ids"))
-    enc = split.max_samples(enc, max_samples, ids)
+        enc = split.max_samples(enc.withColumn("length", F.size("input_ids")), max_samples, ids)
     batched = E.length_batches(enc, batch_size, mega_mult, seed, ids)
     n_vocab = vocab.count()   # one scalar
     mask_id = int(vocab.where(F.col("piece") == "[MASK]").select("token_id").first()[0])

@@ -204,16 +204,10 @@ def test_encode_rows_without_words(spark):
 
 
 def test_word_symbols_prefix_follows_original_position(spark):
-    counts = spark.createDataFrame([("xab", 3), ("abx", 2)], "word string, n long")
+    counts = spark.createDataFrame([("xab", 3), ("abx", 2), ("xx", 1)], "word string, n long")
     alpha = spark.createDataFrame([("a",), ("b",)], "char string")
     got = {r.word: list(r.symbols) for r in V.word_symbols(counts, alpha).collect()}
-    assert got == {"xab": ["##a", "##b"], "abx": ["a", "##b"]}
-    V.LITERAL_DROP_LIMIT, old = 0, V.LITERAL_DROP_LIMIT      # the join path
-    try:
-        got = {r.word: list(r.symbols) for r in V.word_symbols(counts, alpha).collect()}
-    finally:
-        V.LITERAL_DROP_LIMIT = old
-    assert got == {"xab": ["##a", "##b"], "abx": ["a", "##b"]}
+    assert got == {"xab": ["##a", "##b"], "abx": ["a", "##b"], "xx": []}
 
 
 def test_learner_limited_alphabet(spark):
@@ -226,3 +220,14 @@ def test_learner_limited_alphabet(spark):
     got = [r.piece for r in V.learn_wordpiece(counts, size, limit_alphabet=limit)
            .orderBy("token_id").collect()]
     assert got == want
+
+
+def test_encode_hot_and_long_words(spark):
+    """A word that holds most tokens, words above 100 characters, a word of
+    digits and rare words all keep their segments and order."""
+    pieces = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]", "a", "##b", "7"]
+    vocab = spark.createDataFrame([(i, p) for i, p in enumerate(pieces)], "token_id int, piece string")
+    texts = ["a " * 30_000 + "ab", "x" * 101 + " ab a", None, "7 ab zz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
+    got = {r["row_id"]: r["input_ids"] for r in E.encode(df, vocab, None, truncation=False).collect()}
+    assert got == {0: [2] + [5] * 30_000 + [5, 6, 3], 1: [2, 1, 5, 6, 5, 3], 2: [2, 3], 3: [2, 7, 5, 6, 1, 3]}
