@@ -663,6 +663,13 @@ def q_encode(spark, sf_dir):
     return _render(conv_encoded(spark, sf_dir, 64), ENC_FIELDS)
 
 
+@register("encode_whole", full_enc_sql(None) + f"""
+SELECT conv_id, turn, {', '.join(_s(c) for c in ENC_FIELDS)}, length FROM encm""")
+def q_encode_whole(spark, sf_dir):
+    """Without truncation, so that every piece reaches the result."""
+    return _render(conv_encoded(spark, sf_dir, None), ENC_FIELDS)
+
+
 @register("line_by_line", full_enc_sql(64) + f"""
 , pad AS (
   SELECT conv_id, turn, length,
@@ -716,23 +723,26 @@ def _md5_field_sql(digest: str, k: int) -> str:
     return f"(('0x' || substr({digest}, {10 * k + 1}, 10))::BIGINT)"
 
 
-@register("mask_tokens", full_enc_sql(64) + f""",
+MASK_CTE = f""",
 d AS (SELECT conv_id, turn, input_ids, special_tokens_mask, (SELECT count(*) FROM vocab) AS nv,
              list_transform(input_ids, lambda x, i: md5('42:0:' || CAST(conv_id AS VARCHAR) || ':'
                  || CAST(turn AS VARCHAR) || ':' || CAST(i - 1 AS VARCHAR))) AS dg
       FROM encm),
 m AS (SELECT *, list_transform(input_ids, lambda x, i: special_tokens_mask[i] = 0
-                 AND {_md5_field_sql("dg[i]", 0)} / 1099511627776.0 < 0.15) AS chosen FROM d)
-SELECT conv_id, turn,
-  array_to_string(list_transform(input_ids, lambda x, i: CASE
+                 AND {_md5_field_sql("dg[i]", 0)} / 1099511627776.0 < 0.15) AS chosen FROM d),
+masked AS (SELECT conv_id, turn,
+  list_transform(input_ids, lambda x, i: CASE
       WHEN NOT chosen[i] THEN x
       WHEN {_md5_field_sql("dg[i]", 1)} / 1099511627776.0 < 0.8 THEN 4
       WHEN {_md5_field_sql("dg[i]", 1)} / 1099511627776.0 < 0.9
         THEN ({_md5_field_sql("dg[i]", 2)} % nv)::INTEGER
-      ELSE x END), ' ') AS input_ids,
-  array_to_string(list_transform(input_ids, lambda x, i: CASE WHEN chosen[i] THEN x ELSE -100 END), ' ')
-    AS labels
-FROM m""")
+      ELSE x END) AS input_ids,
+  list_transform(input_ids, lambda x, i: CASE WHEN chosen[i] THEN x ELSE -100 END) AS labels
+FROM m)"""
+
+
+@register("mask_tokens", full_enc_sql(64) + MASK_CTE + f"""
+SELECT conv_id, turn, {_s('input_ids')}, {_s('labels')} FROM masked""")
 def q_mask_tokens(spark, sf_dir):
     vocab = data_vocab(spark, sf_dir)
     n_vocab = vocab.count()
@@ -849,7 +859,7 @@ def q_evaluation(spark, sf_dir):
                               "vec_id", max_samples=1000)
 
 
-# ================================================================ R3, R4, W4 (no SQL oracle)
+# ================================================================ R3, R4, W4
 @register("learn_wordpiece")
 def q_learn_wordpiece(spark, sf_dir):
     """Iterative learner: no SQL form; values are checked by a pytest against
@@ -858,7 +868,19 @@ def q_learn_wordpiece(spark, sf_dir):
     return vocab_ops.learn_wordpiece(counts, vocab_size=400, limit_alphabet=6129)
 
 
-@register("training_table")
+def _pad_sql(c: str, fill: int) -> str:
+    return f"array_to_string({c} || list_transform(range(target - n), lambda x: {fill}), ' ') AS {c}"
+
+
+@register("training_table", full_enc_sql(64) + LB_CTE + MASK_CTE + f""",
+tg AS (SELECT lb.conv_id, lb.turn, lb.batch_id, lb.batch_pos, k.input_ids, e.token_type_ids,
+              e.special_tokens_mask, e.attention_mask, k.labels, lb.length AS n,
+              (ceil(max(lb.length) OVER (PARTITION BY lb.batch_id) / 8.0) * 8)::INTEGER AS target
+       FROM lb JOIN encm e ON lb.conv_id = e.conv_id AND lb.turn = e.turn
+               JOIN masked k ON lb.conv_id = k.conv_id AND lb.turn = k.turn)
+SELECT conv_id, turn, batch_id, batch_pos, {_pad_sql('input_ids', 0)}, {_pad_sql('token_type_ids', 0)},
+       {_pad_sql('special_tokens_mask', 1)}, {_pad_sql('attention_mask', 0)}, {_pad_sql('labels', -100)}
+FROM tg""")
 def q_training_table(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     out = recipes.training_table(conv, data_vocab(spark, sf_dir), True, 64, None, 32,
