@@ -7,6 +7,11 @@ host that hold it are counted, lines held by more than
 ``max(min_docs, share * documents of the host)`` are removed, and a document is
 depleted when too little of it is left.
 
+What counts as a document is the caller's: ``per="id"`` counts distinct ids that
+hold the line against the rows of the host, as the query's SQL does (a null id
+holds no line); ``per="text"`` counts distinct texts against the host's distinct
+texts, so copies of one text count once and never make its lines boiler-plate.
+
 Defined cases: a null text counts as empty (no words, so it fails the base
 rule); a null host is a host of its own; rows with the same id are judged row
 by row; identical rows get identical verdicts; an empty table gives an empty
@@ -96,27 +101,32 @@ def base_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+                      host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE,
+                      per: str = "id") -> DataFrame:
     """``line_hash, n_docs``: lines held by more than ``max(min_docs, share * n)`` of a host's ``n`` documents.
 
-    The hash covers the host.  Each document counts once for a line; counts are
-    combined on the map side, so a line of every document sends one row per task.
+    The hash covers the host.  Each document, by ``per``, counts once for a line: the
+    rows are dealt by host, line and document, so a line of every document is spread.
     """
+    if per not in ("id", "text"):
+        raise ValueError(f"per must be 'id' or 'text', not {per!r}")
     host = F.col(host_col)
     t = F.coalesce(F.col(text_col), F.lit(""))
-    per_line = (docs.select(host.alias("_h"), _lines(t).alias("_l"))
-                .select("_h", F.explode(F.array_distinct(F.transform(
+    one = F.col(id_col) if per == "id" else F.xxhash64(t)
+    per_line = (docs.select(host.alias("_h"), one.alias("_d"), _lines(t).alias("_l"))
+                .select("_h", "_d", F.explode(F.array_distinct(F.transform(
                     F.col("_l"), lambda x: _line_hash(F.col("_h"), x)))).alias("line_hash"))
-                .groupBy("_h", "line_hash").agg(F.count(F.lit(1)).alias("n_docs"))
+                .groupBy("_h", "line_hash").agg(F.countDistinct("_d").alias("n_docs"))
                 .where(F.col("n_docs") > min_docs))
-    hosts = docs.groupBy(host.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    hosts = docs.groupBy(host.alias("_g")).agg((F.count(F.lit(1)) if per == "id" else F.countDistinct(one)).alias("_n"))
     return (per_line.join(hosts, F.col("_h").eqNullSafe(F.col("_g")))
             .where(F.col("n_docs") > share * F.col("_n"))
             .select("line_hash", "n_docs"))
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+                  host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE,
+                  per: str = "id") -> DataFrame:
     """``key, removed_words, line_hashes`` of the rows that hold boiler-plate lines.
 
     Only (key, hash, words) rows meet the boiler-plate table; the join is salted
@@ -124,7 +134,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     host = F.col(host_col)
     t = F.coalesce(F.col(text_col), F.lit(""))
-    frequent = (boilerplate_lines(docs, id_col, text_col, host_col, min_docs, share)
+    frequent = (boilerplate_lines(docs, id_col, text_col, host_col, min_docs, share, per)
                 .select("line_hash", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")))
     key = _row_key(id_col, text_col, host_col)
     per_row = (docs.select(key.alias("key"), host.alias("_h"), _lines(t).alias("_l"))
@@ -142,7 +152,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   min_docs: int = MIN_DOCS, share: float = SHARE,
-                  min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
+                  min_words: int = MIN_WORDS, min_left: float = MIN_LEFT, per: str = "id") -> DataFrame:
     """One row per row of ``docs``: id, base counts, ``removed_words, depleted, kept``.
 
     Texts do not shuffle: counts and the removed words meet on the row key.
@@ -150,7 +160,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     key = _row_key(id_col, text_col, host_col)
     base = (base_metrics(docs.select(F.col(id_col).alias("doc_id"), key.alias("key"),
                                      F.col(text_col).alias("_t")), "_t").drop("_t"))
-    gone = (removed_lines(docs, id_col, text_col, host_col, min_docs, share)
+    gone = (removed_lines(docs, id_col, text_col, host_col, min_docs, share, per)
             .select(F.col("key").alias("_k"), "removed_words"))
     left = F.col("n_words") - F.col("removed_words")
     return (base.join(gone, F.col("key").eqNullSafe(F.col("_k")), "left")
@@ -163,7 +173,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def filter_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                      min_docs: int = MIN_DOCS, share: float = SHARE,
-                     min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
+                     min_words: int = MIN_WORDS, min_left: float = MIN_LEFT, per: str = "id") -> DataFrame:
     """Kept rows with all their columns; boiler-plate lines are cut from ``text_col``.
 
     A text without such a line is returned byte for byte.
@@ -171,7 +181,7 @@ def filter_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     cols = docs.columns
     key = _row_key(id_col, text_col, host_col)
     base = base_metrics(docs.withColumn("_key", key), text_col)
-    gone = (removed_lines(docs, id_col, text_col, host_col, min_docs, share)
+    gone = (removed_lines(docs, id_col, text_col, host_col, min_docs, share, per)
             .select(F.col("key").alias("_k"), F.col("removed_words").alias("_gone"), F.col("line_hashes").alias("_cut")))
     left = F.col("n_words") - F.col("_gone")
     out = (base.where(~F.col("base_failed"))

@@ -9,8 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
-from tessera.llm import ngram_join  # noqa: E402
-from test_llm import corpus, docs  # noqa: E402
+from tessera.llm import ngram_join, quality  # noqa: E402
+from test_llm import DOCS, corpus, docs  # noqa: E402
 
 STAGE = dict(corpus_pipeline.STAGES)
 
@@ -51,3 +51,20 @@ def test_near_copies_of_five_words_and_four_fifths(spark):
     assert root != near_groups(texts, 3, 90)[1]
     kept = STAGE["ngram_jaccard"](spark, docs(spark, texts), "").where("doc_id is not null").collect()
     assert sorted(r.doc_id for r in kept) == [i for i in range(len(texts)) if root[i] == i and i != 1]
+
+
+def test_copies_do_not_deplete_each_other(spark):
+    clean = "\n".join(" ".join(f"c{i}x{j}" for j in range(30)) for i in range(3))
+    line = "this very line stands in all pages of the host today"
+    texts = [clean] * 30 + [line + "\n" + " ".join(f"d{i}x{j}" for j in range(60)) for i in range(25)]
+    rows = [(i, t, "en", "host", None, "x") for i, t in enumerate(texts)]
+    kept = {r.doc_id: r.text for r in STAGE["quality_rules"](spark, spark.createDataFrame(rows, DOCS), "").collect()}
+    assert sorted(kept) == list(range(55))
+    assert all(kept[i] == clean for i in range(30)) and all(line not in kept[i] for i in range(30, 55))
+
+
+def test_repeated_rows_count_once_for_a_line(spark):
+    text = "\n".join(" ".join(f"c{i}x{j}" for j in range(30)) for i in range(3))
+    rows = [(1, text, "en", "host", None, "x")] * 30 + [(i, f"other {i} " * 30, "en", "host", None, "x") for i in range(2, 12)]
+    got = quality.quality_rules(spark.createDataFrame(rows, DOCS)).where("doc_id = 1").collect()
+    assert len(got) == 30 and all(r.removed_words == 0 and r.kept for r in got)
