@@ -68,12 +68,23 @@ def write_metrics(metrics_df: DataFrame, path: str, split: str, mode: str = "ove
 def fingerprint(df: DataFrame) -> str | None:
     """Digest of the plan and of its input files (path, size, modification time).
 
-    None if rows come from the driver's memory or from a checkpoint, which a
-    plan does not name.  The code of Python functions is not part of it.
+    None if rows come from the driver's memory or from a checkpoint, or pass a
+    Python function: a plan does not name those rows or that code.  Spark cuts
+    wide nodes when it prints a plan, so the limit is raised for the call; a
+    plan that is cut all the same has no digest either.
     """
+    spark = df.sparkSession
     plan = df._jdf.queryExecution().analyzed()
-    text = f"{plan.canonicalized().toString()}\n{df.schema.json()}"
-    if "LogicalRDD" in text or "LocalRelation" in text:
+    if plan.containsPattern(spark._jvm.org.apache.spark.sql.catalyst.trees.TreePattern.PYTHON_UDF()):
+        return None
+    limit = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(2**31 - 1))
+    try:
+        text = f"{plan.canonicalized().toString()}\n{df.schema.json()}"
+    finally:
+        spark.conf.set(limit, before)
+    if "LogicalRDD" in text or "LocalRelation" in text or " more fields" in text:
         return None
     files = df.inputFiles()
     if files:

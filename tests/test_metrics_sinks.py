@@ -69,6 +69,24 @@ def test_cached_stage_reused(spark, tmp_dir):
     assert sinks.cached_stage(local(4), path, overwrite=True, key="k").count() == 4
 
 
+def test_cached_stage_tells_wide_plans_and_python_code_apart(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    src, path = f"{tmp_dir}/src", f"{tmp_dir}/stage"
+    spark.range(3).write.parquet(src)
+    limit = spark.conf.get("spark.sql.debug.maxToStringFields")
+    wide = lambda last: spark.read.parquet(src).select(*[(F.col("id") + (i if i < 36 else last * i)).alias(f"c{i}") for i in range(41)])
+    assert [sinks.cached_stage(wide(n), path).agg(F.max("c40")).first()[0] for n in (1, 2)] == [42, 82]
+    assert sinks.fingerprint(wide(1)) == sinks.fingerprint(wide(1)) != sinks.fingerprint(wide(2))
+    assert spark.conf.get("spark.sql.debug.maxToStringFields") == limit
+
+    def mapped(n):
+        def add(batches):
+            for b in batches:
+                yield b.assign(id=b["id"] + n)
+        return spark.read.parquet(src).mapInPandas(add, "id long")
+    assert [sinks.cached_stage(mapped(n), path).agg(F.max("id")).first()[0] for n in (1, 2)] == [3, 4]
+
+
 def test_write_shards_keeps_order_by_default(spark, tmp_dir):
     rows = [("train", 0, 0, i, f"{i:03d}") for i in range(200)]
     df = spark.createDataFrame(rows, "split string, shard int, doc_id long, sent_no int, sentence string")
