@@ -244,7 +244,8 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
     every symbol-disjoint pair among the ``candidates`` best: far fewer
     rounds for a full-size vocabulary, at the price of merges that a
     one-at-a-time learner might order differently.  Stops at ``vocab_size`` or when the best count is below
-    ``min_frequency``.  Word and pair tables are persisted per round and
+    ``min_frequency``; a ``vocab_size`` below the special tokens and the alphabet
+    is an error, never a cut alphabet.  Word and pair tables are persisted per round and
     checkpointed every ``checkpoint_every`` rounds.
 
     Output ``(token_id, piece)``.
@@ -267,6 +268,8 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
         if p not in known:
             vocab.append(p)
             known.add(p)
+    if len(vocab) > vocab_size:
+        raise ValueError(f"vocab_size {vocab_size} is below the {len(vocab)} special tokens and characters")
     symbols = symbols.persist(StorageLevel.MEMORY_AND_DISK)
     pairs = pair_counts(symbols).persist(StorageLevel.MEMORY_AND_DISK)
     # Release order: the top-pairs job of round k materialises pairs_k and,
@@ -310,5 +313,5 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
         symbols, pairs = new_symbols, new_pairs
     for old in stale_symbols + [symbols, pairs] + ([stale_pairs] if stale_pairs is not None else []):
         old.unpersist()
-    rows = [(i, p) for i, p in enumerate(vocab[:vocab_size])]
+    rows = [(i, p) for i, p in enumerate(vocab)]
     return spark.createDataFrame(rows, "token_id int, piece string")

@@ -231,3 +231,12 @@ def test_encode_hot_and_long_words(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
     got = {r["row_id"]: r["input_ids"] for r in E.encode(df, vocab, None, truncation=False).collect()}
     assert got == {0: [2] + [5] * 30_000 + [5, 6, 3], 1: [2, 1, 5, 6, 5, 3], 2: [2, 3], 3: [2, 7, 5, 6, 1, 3]}
+
+
+def test_learner_never_cuts_the_alphabet(spark):
+    counts = spark.createDataFrame([("abcdefgh", 5), ("hgfedcba", 3)], "word string, n long")
+    least = len(V.special_token_list(10)) + 16
+    with pytest.raises(ValueError):
+        V.learn_wordpiece(counts, least - 1)
+    got = {r.piece for r in V.learn_wordpiece(counts, least).collect()}
+    assert len(got) == least and {x for c in "abcdefgh" for x in (c, "##" + c)} <= got
