@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import ann, bpe, chat, html, mixing, ngram_join, quality, repeats, toxicity, warc
+from tessera.llm import ann, bpe, chat, html, mixing, ngram_join, quality, repeats, tokenfile, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -102,3 +102,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query("op11_token_ids")
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = tokenfile.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
