@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import ann, bpe, chat, html, mixing, ngram_join, quality, repeats, tokenfile, toxicity, warc
+from tessera.llm import ann, bpe, chat, html, mixing, ngram_join, quality, repeats, tokenfile, toxicity, warc, whiten
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -110,3 +110,8 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     back = tokenfile.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(_table(spark, sf_dir, "embeddings"))
