@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import ann, bpe, chat, html, mixing, ngram_join, quality, repeats, tokenfile, toxicity, warc, whiten
+from tessera.llm import ann, bpe, chat, html, mixing, ngram_join, prefix_trie, quality, repeats, tokenfile, toxicity, warc, whiten
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -115,3 +115,9 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_embedding_whitening")
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op13_prefix_trie", prefix_trie.ORACLE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie(prefix_trie.rebuild(prefix_trie.sequences(turns)))
