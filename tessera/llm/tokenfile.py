@@ -35,13 +35,15 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm.bpe import BATCH_CHARS, _share, _slices, ragged
+from tessera.llm.bpe import _share, ragged
 from tessera.operators.rowindex import with_running_total
 from tessera.session import scratch_path
 
@@ -50,7 +52,9 @@ COUNTS = (0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 #: Ids of a block, bytes after which a segment ends, and segments of a file.
 BLOCK, SEGMENT, PER_FILE = 4096, 1 << 20, 16
 #: Entries of a worker's table of encoded words, and the longest word in it, in bytes.
-TABLE, LONGEST = 300_000, 48
+TABLE, LONGEST = 600_000, 48
+#: Bytes of text that are cut into words together.
+PART = 4_000_000
 #: Rows of the manifest that are broadcast (about 200 bytes each); a larger one is joined by a shuffle.
 FILES = 200_000
 
@@ -219,11 +223,11 @@ class Words:
     """A tokenizer of the public library and a bounded table of what words encode to.
 
     The tokenizer drops white space and no merge crosses it, so a text's ids are those of its
-    words; unseen words go to the library together, a control character between them.
-    A table that is full starts anew.
+    words; unseen words of letters go to the library together, others one by one.
+    A table that is full becomes the older one, from which
+    words are still taken.
     """
 
-    MARK = "\x01"
     #: ASCII signs that the pattern always parts from a letter or digit before them, at a word's end.
     ENDS = frozenset(b".,;:!?")
 
@@ -232,55 +236,74 @@ class Words:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.table: dict[bytes, bytes] = {}
-        mark = self.library.encode(self.MARK, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        self.older: dict[bytes, bytes] = {}
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.ends_piece = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_piece[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
 
     def _ask(self, words: list[bytes]) -> list[bytes]:
         """Ids of words as little-endian 32-bit integers."""
-        mark = self.MARK.encode()
-        joint = [i for i, w in enumerate(words) if mark not in w and self.mark is not None]
+        texts = [w.decode() for w in words]
         out: list = [None] * len(words)
-        between = f" {self.MARK} "
-        groups = [joint[lo:lo + 256] for lo in range(0, len(joint), 256)]
-        texts = [between.join(words[i].decode() for i in g) for g in groups]
-        for group, got in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+        # a word of letters is one piece, and a piece's last token says so
+        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        groups = [plain[lo:lo + 256] for lo in range(0, len(plain), 256)]
+        joined = [" ".join([texts[i] for i in g]) for g in groups]
+        for group, got in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.asarray(got.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) == len(group) - 1:
+            stops = (4 * (np.flatnonzero(self.ends_piece[ids]) + 1)).tolist()
+            if len(stops) == len(group):
                 raw, lo = ids.tobytes(), 0
-                for i, cut in zip(group, [*cuts.tolist(), len(ids)]):
-                    out[i], lo = raw[4 * lo:4 * cut], cut + 1
-        alone = [i for i, x in enumerate(out) if x is None]
-        for i, got in zip(alone, self.library.encode_batch_fast([words[i].decode() for i in alone], add_special_tokens=False)):
+                for i, hi in zip(group, stops):
+                    out[i], lo = raw[lo:hi], hi
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, got in zip(rest, self.library.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
             out[i] = np.asarray(got.ids, "<u4").tobytes()
         return out
 
-    def _learn(self, new: set[bytes]) -> list[bytes]:
-        """Adds words to the table; those too long to stay there."""
-        core = {}
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        """Adds unseen words to the table; those too long to stay there."""
+        table, older = self.table, self.older
+        cores, ends = [], []
         for w in new:
-            v = w.lower()
-            core[w] = (v[:-1], v[-1:]) if v[-1] in self.ENDS and v[-2:-1].isalnum() else (v, b"")
-        table = self.table
-        ask = list({p for pair in core.values() for p in pair if p} - table.keys())
+            v = w if b"<|" in w else w.lower()  # the library tells its special tokens by case
+            if v[-1] in self.ENDS and v[-2:-1].isalnum():
+                cores.append(v[:-1])
+                ends.append(v[-1:])
+            else:
+                cores.append(v)
+                ends.append(b"")
+        want = ({*cores, *ends} - {b""}).difference(table)
+        kept = [w for w in want if w in older]
+        table.update(zip(kept, map(older.__getitem__, kept)))
+        ask = list(want.difference(kept))
         table.update(zip(ask, self._ask(ask)))
-        for w, (v, end) in core.items():
-            table[w] = table[v] + table[end] if end else table[v]
-        return [w for w in {*core, *ask} if len(w) > LONGEST]
-
-    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and each text's number of ids."""
-        split = [t.encode().split() for t in texts]
-        every = set().union(*split)
-        new = every - self.table.keys()
-        if len(self.table) + len(new) > TABLE:
-            self.table, new = {}, every
-        long = self._learn(new)
-        get = self.table.__getitem__
-        coded = [b"".join(map(get, words)) for words in split]
+        get = table.__getitem__
+        table[b""] = b""  # no end, and no word between two signs of white space
+        table.update(zip(new, map(add, map(get, cores), map(get, ends))))
+        return [w for w in {*new, *ask} if len(w) > LONGEST]
+
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and each text's number of ids; a null text has none."""
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        words, which = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy()
+        if len(self.table) + len(words) > TABLE:
+            self.table, self.older = {}, self.table
+        table, older = self.table, self.older
+        new = [w for w in words if w and w not in table]
+        kept = [w for w in new if w in older]
+        table.update(zip(kept, map(older.__getitem__, kept)))
+        long = self._learn([w for w in new if w not in table])
+        ids = list(map(table.__getitem__, words))
         for w in long:
-            del self.table[w]
-        return np.frombuffer(b"".join(coded), "<u4"), np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            del table[w]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        per_word = size[which]
+        upto = np.concatenate([[0], np.cumsum(per_word)])
+        ends = upto[np.cumsum(pc.list_value_length(lists).to_numpy())]
+        return ragged((np.cumsum(size) - size)[which], per_word, flat), np.diff(ends, prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -288,6 +311,17 @@ def _words(name: str) -> Words:
     return Words(SparkFiles.get(name))
 
 
+def _parts(batches):
+    """Stretches of the batches of about ``PART`` bytes of text."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column("text")).fill_null(0).to_numpy().astype(np.int64) + 64)
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PART, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
 # ------------------------------------------------------------------ tables
 def in_order(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id``, ``text`` in ascending id order over range partitions; rows with one id are split as well."""
@@ -307,8 +341,8 @@ def write_texts(df: DataFrame, path: str, tokenizer: str, end_id: int | None = N
 
     def batches_of(batches):
         words = _words(name)
-        for part, texts in _slices(batches, "text", lambda t: len(t or "") + 64):
-            ids, counts = words.encode_many([t or "" for t in texts])
+        for part in _parts(batches):
+            ids, counts = words.encode_many(part.column("text"))
             if len(tail):
                 whole = np.full(len(ids) + len(counts), tail[0], np.uint64)
                 whole[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
@@ -375,7 +409,7 @@ def _write(ordered: DataFrame, path: str, batches_of) -> None:
     number = lambda pattern: F.regexp_extract("file", pattern, 1).cast("long")
     files = (_files(spark, path).mapInArrow(heads, "path string, n_docs long, n_ids long")
              .select(name.alias("file"), "n_docs", "n_ids")
-             .select("*", number(r"^part-(\d+)").alias("part"), number(r"-c(\d+)").alias("roll")))
+             .select("*", number(r"^part-(\d+)").alias("part"), number(r"-c(\d+)[.]\w+$").alias("roll")))
     (with_running_total(files, ["part", "roll"], "n_ids").select("file", "n_docs", "n_ids", "start")
      .write.parquet(f"{path}/manifest"))
 
