@@ -79,38 +79,44 @@ def grid_keys(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFra
 
 
 # ------------------------------------------------------------------ exact sums over tasks
-def _halves(row) -> tuple[list[int], list[int]]:
-    """Whole numbers of any size as pairs that Spark can hold: value = high * 2**40 + low."""
-    return [int(v) & (1 << _LOW) - 1 for v in row], [int(v) >> _LOW for v in row]
+_PARTS = "i int, parts array<long>"
 
 
-_PARTS = "i int, low array<long>, high array<long>"
+def _split(row) -> list[int]:
+    """Whole numbers as three parts of 40 bits each, the last one signed and longer: all lowest parts first."""
+    low = [int(v) & (1 << _LOW) - 1 for v in row]
+    middle = [int(v) >> _LOW & (1 << _LOW) - 1 for v in row]
+    return low + middle + [int(v) >> 2 * _LOW for v in row]
+
+
+def _part_batch(rows: dict[int, list]):
+    return pa.record_batch([pa.array(list(rows), pa.int32()), pa.array([_split(r) for r in rows.values()], pa.list_(pa.int64()))],
+                           names=["i", "parts"])
 
 
 def _exact_sums(parts: DataFrame, size: int) -> dict[int, list[int]]:
     """Sums by ``i`` of rows of whole numbers, one row per task and ``i``; each ``i`` is added up as rows pass by."""
     def add(batches):
-        low: dict[int, np.ndarray] = {}
-        high: dict[int, np.ndarray] = {}
+        sums: dict[int, list[np.ndarray]] = {}
         for b in batches:
-            for i, a, c in zip(*(b.column(k).to_pylist() for k in range(3))):
-                lo, hi = low.get(i, 0) + np.asarray(a, np.int64), high.get(i, 0) + np.asarray(c, np.int64)
-                low[i], high[i] = lo & (1 << _LOW) - 1, hi + (lo >> _LOW)
-        if low:
-            yield pa.record_batch([pa.array(list(low), pa.int32()), pa.array([v.tolist() for v in low.values()], pa.list_(pa.int64())),
-                                   pa.array([v.tolist() for v in high.values()], pa.list_(pa.int64()))], names=["i", "low", "high"])
+            for i, row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                new = np.asarray(row, np.int64).reshape(3, -1)
+                if i in sums:
+                    new = new + sums[i]
+                for k in (0, 1):  # what exceeds a part goes to the next one
+                    new[k + 1] += new[k] >> _LOW
+                    new[k] &= (1 << _LOW) - 1
+                sums[i] = new
+        if sums:
+            yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([v.ravel().tolist() for v in sums.values()], pa.list_(pa.int64()))],
+                                  names=["i", "parts"])
 
     rows = parts.repartition("i").mapInArrow(add, _PARTS).collect()  # at most ``size`` rows
     out: dict[int, list[int]] = {}
     for r in rows:
-        out[r.i] = [(h << _LOW) + lo for lo, h in zip(r.low, r.high)]
-    return {i: out.get(i, [0] * size) for i in range(size)} if rows else {}
-
-
-def _part_batch(rows: dict[int, list]):
-    split = [_halves(r) for r in rows.values()]
-    return pa.record_batch([pa.array(list(rows), pa.int32()), pa.array([a for a, _ in split], pa.list_(pa.int64())),
-                            pa.array([c for _, c in split], pa.list_(pa.int64()))], names=["i", "low", "high"])
+        d = len(r.parts) // 3
+        out[r.i] = [(r.parts[2 * d + j] << 2 * _LOW) + (r.parts[d + j] << _LOW) + r.parts[j] for j in range(d)]
+    return {i: out[i] for i in range(size)} if rows else {}
 
 
 def _weights(batch, weights: str) -> np.ndarray:
