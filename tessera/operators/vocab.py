@@ -5,12 +5,12 @@ from __future__ import annotations
 from typing import Callable
 
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from tessera.functions import text as T
+from tessera.operators.merging import PairMerger, product as merged_piece  # noqa: F401
 from tessera.operators.rowindex import with_row_index
 from tessera.session import checkpoint_dir
 
@@ -136,133 +136,40 @@ def word_symbols(counts: DataFrame, alphabet_df: DataFrame | None = None) -> Dat
         F.transform(F.array_sort(F.collect_list(kept)), lambda t: t["s"]).alias("symbols"))
 
 
-def pair_rows(symbols: DataFrame, sign: int = 1) -> DataFrame:
-    """One row per adjacent symbol pair of each word, ``(left, right, n)``
-    with the word's count times ``sign`` (not aggregated)."""
-    size = F.greatest(F.size("symbols") - 1, F.lit(0))
-    pairs = symbols.select((F.col("n") * sign).alias("n"), F.explode(F.arrays_zip(
-        F.slice("symbols", 1, size).alias("l"), F.slice("symbols", 2, size).alias("r"))).alias("p"))
-    return pairs.select(F.col("p.l").alias("left"), F.col("p.r").alias("right"), "n")
-
-
 def pair_counts(symbols: DataFrame) -> DataFrame:
     """Adjacent symbol pairs weighted by word count ``(left, right, n)``."""
-    return pair_rows(symbols).groupBy("left", "right").agg(F.sum("n").alias("n"))
-
-
-def merged_piece(left: str, right: str) -> str:
-    if right.startswith(CONTINUATION_PREFIX):
-        right = right[len(CONTINUATION_PREFIX):]
-    return left + right
-
-
-def _apply_merges(symbols: DataFrame, merges: list[tuple[str, str, str]]) -> DataFrame:
-    """Rewrite each word's symbols with a batch of (left, right, new) merges.
-
-    The merges of one batch share no symbol, so one left-to-right pass that
-    looks the (previous, current) pair up in a literal map applies them all,
-    exactly as applying them one after the other.
-    """
-    if not merges:
-        return symbols
-    sep = "\u0001"
-    table = F.create_map(*[x for l, r, n in merges for x in (F.lit(l + sep + r), F.lit(n))])
-
-    def step(acc, x):
-        new = F.try_element_at(table, F.concat(F.element_at(acc, -1), F.lit(sep), x))
-        hit = (F.size(acc) > 0) & new.isNotNull()
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(new))) \
-                .otherwise(F.concat(acc, F.array(x)))
-
-    lefts = F.array(*[F.lit(l) for l in {m[0] for m in merges}])
-    touched = F.arrays_overlap(F.col("symbols"), lefts)
-    empty = F.array().cast("array<string>")
-    return symbols.withColumn("symbols", F.when(touched, F.aggregate("symbols", empty, step))
-                              .otherwise(F.col("symbols")))
-
-
-def _choose_batch(top, candidates, known, room, min_frequency, batch, exact=True):
-    """Merges to apply this round, taken down the ranked pair list.
-
-    The first pair always; further ones only while provably equal to
-    merging one pair at a time: no symbol shared with an accepted pair, the
-    count strictly above every not-accepted pair touching an accepted symbol
-    (and above the first pair not fetched), the product not yet a symbol, and
-    no self-pair accepted.
-    """
-    cut = top[candidates]["n"] if len(top) > candidates else None
-    top = top[:candidates]
-    accepted, used, blocked_max = [], set(), -1
-    for k, row in enumerate(top):
-        l, r, n = row["left"], row["right"], row["n"]
-        if n < min_frequency:
-            break
-        new = merged_piece(l, r)
-        if k == 0:
-            accepted.append((l, r, new))
-            used.update((l, r))
-            if not batch or l == r or new in known:
-                break
-            continue
-        if l in used or r in used:
-            blocked_max = max(blocked_max, n)
-            continue
-        if len(accepted) >= room or new in known or any(new == a[2] for a in accepted):
-            break
-        if not exact:                 # large batches: symbol-disjoint pairs only
-            accepted.append((l, r, new))
-            used.update((l, r))
-            continue
-        touching = [t["n"] for t in top[k + 1:] if t["left"] in used or t["right"] in used]
-        if n <= max([blocked_max] + touching) or (cut is not None and n <= cut):
-            break
-        accepted.append((l, r, new))
-        used.update((l, r))
-        if l == r:
-            break
-    return accepted
+    size = F.greatest(F.size("symbols") - 1, F.lit(0))
+    pairs = symbols.select("n", F.explode(F.arrays_zip(
+        F.slice("symbols", 1, size).alias("l"), F.slice("symbols", 2, size).alias("r"))).alias("p"))
+    return (pairs.select(F.col("p.l").alias("left"), F.col("p.r").alias("right"), "n")
+            .groupBy("left", "right").agg(F.sum("n").alias("n")))
 
 
 def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet: int | None = 6129,
-                    num_unused: int = 10, min_frequency: int = 2, batch: bool = True,
-                    candidates: int = 200, checkpoint_every: int = 2,
-                    exact: bool = True) -> DataFrame:
-    """WordPiece vocabulary by iterative pair merging over the distinct words.
+                    num_unused: int = 10, min_frequency: int = 2, batch: bool = True) -> DataFrame:
+    """WordPiece vocabulary by pair merging over the distinct words.
 
     Start: special tokens, the alphabet in code-point order, then the ``##``
-    forms of the characters that occur after a word's first character.  The
-    pair counts are aggregated once; each round takes the best pairs by
-    (count desc, left, right), rewrites the words, and corrects the counts
-    with the pairs of the rewritten words only (old pairs subtracted, new
-    pairs added), so a round touches the words that hold a merged symbol,
-    not the whole table.  With ``batch`` several merges
-    are accepted in one round when that provably equals one-at-a-time:
-    candidates are taken down the ranking while they share no symbol with an
-    accepted pair and their count is strictly above every not-accepted pair
-    touching an accepted symbol; a self-pair or an already known product
-    ends the batch.  ``exact=False`` drops the count condition and takes
-    every symbol-disjoint pair among the ``candidates`` best: far fewer
-    rounds for a full-size vocabulary, at the price of merges that a
-    one-at-a-time learner might order differently.  Stops at ``vocab_size`` or when the best count is below
-    ``min_frequency``; a ``vocab_size`` below the special tokens and the alphabet
-    is an error, never a cut alphabet.  Word and pair tables are persisted per round and
-    checkpointed every ``checkpoint_every`` rounds.
+    forms of the characters that occur after a word's first character.  Then
+    the best pair is merged again and again, by count (most first), covered characters
+    (fewest first), left and right symbol, until there are ``vocab_size`` pieces or the best
+    count is below ``min_frequency``.  With ``batch`` a round merges every pair that is known to
+    come at its present count (:mod:`tessera.operators.merging`); the result is that of
+    one pair at a time.  A ``vocab_size`` below the special tokens and the alphabet
+    is an error, never a cut alphabet.
 
     Output ``(token_id, piece)``.
     """
     spark = counts.sparkSession
     checkpoint_dir(spark)
-    specials = special_token_list(num_unused)
     alpha = alphabet(counts, limit_alphabet)
     alpha_chars = sorted(r["char"] for r in alpha.select("char").collect())  # <= limit rows
     symbols = word_symbols(counts, alpha if limit_alphabet is not None else None) \
         .checkpoint(eager=True)
     cont_rows = symbols.select(F.explode("symbols").alias("s")).where(
         F.col("s").startswith(CONTINUATION_PREFIX)).distinct().collect()
-    # a single-symbol word has no pair and never changes again
-    symbols = symbols.where(F.size("symbols") > 1)
     cont = sorted(r["s"] for r in cont_rows)
-    vocab = list(specials)
+    vocab = special_token_list(num_unused)
     known = set(vocab)
     for p in alpha_chars + cont:
         if p not in known:
@@ -270,48 +177,8 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int = 32768, limit_alphabet:
             known.add(p)
     if len(vocab) > vocab_size:
         raise ValueError(f"vocab_size {vocab_size} is below the {len(vocab)} special tokens and characters")
-    symbols = symbols.persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = pair_counts(symbols).persist(StorageLevel.MEMORY_AND_DISK)
-    # Release order: the top-pairs job of round k materialises pairs_k and,
-    # by reading it, symbols_(k-1); only then may pairs_(k-1) and
-    # symbols_(k-2) go.
-    stale_pairs: DataFrame | None = None
-    stale_symbols: list[DataFrame] = []
-    rounds = 0
-    while len(vocab) < vocab_size:
-        top = pairs.orderBy(F.desc("n"), "left", "right").limit(candidates + 1).collect()
-        if stale_pairs is not None:
-            stale_pairs.unpersist()
-        while len(stale_symbols) > 1:
-            stale_symbols.pop(0).unpersist()
-        if not top or top[0]["n"] < min_frequency:
-            break
-        accepted = _choose_batch(top, candidates, known, vocab_size - len(vocab),
-                                 min_frequency, batch, exact)
-        for l, r, new in accepted:
-            if new not in known:
-                vocab.append(new)
-                known.add(new)
-        # incremental pair counts: only words holding a merged left symbol change
-        lefts = F.array(*[F.lit(l) for l in sorted({a[0] for a in accepted})])
-        before = symbols.where(F.arrays_overlap("symbols", lefts))
-        after = _apply_merges(before, accepted)
-        delta = pair_rows(after).unionByName(pair_rows(before, -1))
-        new_pairs = (pairs.unionByName(delta).groupBy("left", "right")
-                     .agg(F.sum("n").alias("n")).where(F.col("n") > 0))
-        new_symbols = _apply_merges(symbols, accepted).where(F.size("symbols") > 1)
-        rounds += 1
-        stale_pairs = pairs
-        stale_symbols.append(symbols)
-        # cut the lineage: the small pair table every round (it also
-        # materialises this round's delta), the word table every few rounds
-        new_pairs = new_pairs.checkpoint(eager=True)
-        if rounds % checkpoint_every == 0:
-            new_symbols = new_symbols.checkpoint(eager=True)
-        else:
-            new_symbols = new_symbols.persist(StorageLevel.MEMORY_AND_DISK)
-        symbols, pairs = new_symbols, new_pairs
-    for old in stale_symbols + [symbols, pairs] + ([stale_pairs] if stale_pairs is not None else []):
-        old.unpersist()
-    rows = [(i, p) for i, p in enumerate(vocab)]
-    return spark.createDataFrame(rows, "token_id int, piece string")
+    if len(vocab) < vocab_size:
+        merger = PairMerger(symbols, sorted({*known, *alpha_chars, *cont}), min_frequency)
+        vocab += merger.run(vocab_size - len(vocab), one_at_a_time=not batch)
+        merger.close()
+    return spark.createDataFrame(list(enumerate(vocab)), "token_id int, piece string")

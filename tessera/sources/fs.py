@@ -35,3 +35,9 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     for st in found or []:
         out += [x.getPath().getName() for x in fs.listStatus(st.getPath())] if st.isDirectory() else [st.getPath().getName()]
     return sorted(out)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that the caller has written."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)

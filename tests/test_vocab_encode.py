@@ -70,7 +70,7 @@ def py_learn(word_counts, vocab_size, num_unused=10, min_frequency=2, limit_alph
                 pairs[(a, b)] += word_counts[w]
         if not pairs:
             break
-        (a, b), n = min(pairs.items(), key=lambda kv: (-kv[1], kv[0]))
+        (a, b), n = min(pairs.items(), key=lambda kv: (-kv[1], sum(len(x) - 2 * x.startswith("##") for x in kv[0]), kv[0]))
         if n < min_frequency:
             break
         new = V.merged_piece(a, b)
