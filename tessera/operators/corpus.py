@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from tessera.functions import text as T
 from tessera.functions.keyed import h60
@@ -58,15 +61,26 @@ def cut_spans(docs: DataFrame, draws: DataFrame, min_len: int, text_col: str = "
                          F.col(text_col).substr(F.col("start") + 1, F.col("span_len")).alias("span")))
 
 
+@F.pandas_udf(ArrayType(LongType()))
+def running_starts(draws: pd.Series) -> pd.Series:
+    """Sums of the earlier numbers of each array, by one cumulative sum over all of them."""
+    sizes = draws.map(len).to_numpy(np.int64)
+    flat = np.concatenate([np.zeros(0, np.int64), *draws])
+    ends = np.cumsum(sizes)
+    before = np.cumsum(flat) - flat
+    first = np.append(before, 0)[np.minimum(ends - sizes, len(flat))]
+    return pd.Series(np.split(before - np.repeat(first, sizes), ends[:-1]) if len(ends) else [], dtype=object)
+
+
 def random_spans(df: DataFrame, min_len: int, max_len: int, text_col: str = "text",
                  id_col: str = "doc_id", seed: int = 42) -> DataFrame:
     """Contiguous spans of keyed-random length in ``[min_len, max_len]``.
 
     Draw ``i`` of a document is ``min_len + h60(seed, id, i) % width``; a span
     starts where the previous ones end, is cut to what remains, and a rest
-    shorter than ``min_len`` is dropped.  Draws, running starts and cuts are
-    array expressions of one row, so nothing shuffles and rows that repeat an
-    id are cut each on their own.
+    shorter than ``min_len`` is dropped.  Draws and cuts are array expressions of one
+    row and the running starts one cumulative sum over a batch's draws, so the work grows
+    with the text, nothing shuffles, and rows that repeat an id are cut each on their own.
     """
     if not 0 < min_len <= max_len:
         raise ValueError("need 0 < min_len <= max_len")
@@ -75,11 +89,6 @@ def random_spans(df: DataFrame, min_len: int, max_len: int, text_col: str = "tex
     docs = df.select(id_col, text_col).where(size >= min_len)
     numbers = F.sequence(F.lit(0), F.ceil(size / min_len).cast("int") - 1)
     draws = F.transform(numbers, lambda i: F.lit(min_len) + h60(F.lit(seed), id_col, i) % width)
-    none = F.array().cast("array<bigint>")
-    starts = F.aggregate("_r", F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("seen")),
-                         lambda a, r: F.struct((a["at"] + r).alias("at"),
-                                               F.concat(a["seen"], F.array(a["at"])).alias("seen")),
-                         lambda a: a["seen"])
 
     def cut(start, i):
         n = F.least(F.get("_r", i), size - start)
@@ -87,7 +96,7 @@ def random_spans(df: DataFrame, min_len: int, max_len: int, text_col: str = "tex
                         F.col(text_col).substr((start + 1).cast("int"), n.cast("int")).alias("span"))
 
     spans = F.transform(F.filter("_starts", lambda start: size - start >= min_len), cut)
-    return (docs.withColumn("_r", draws).withColumn("_starts", starts)
+    return (docs.withColumn("_r", draws).withColumn("_starts", running_starts("_r"))
                 .select(id_col, F.inline(spans)))
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
 
+#: File blocks whose offsets are broadcast (about 200 bytes each); more are joined by a shuffle.
+BLOCKS = 200_000
 _LOW33 = (1 << 33) - 1
 
 
@@ -101,3 +103,20 @@ def positions_by_document(df: DataFrame, group_col: str, doc_col: str, line_col:
     return (ranked.join(starts.select(group_col, doc_col, "_start"), [group_col, doc_col])
                   .withColumn(pos_col, F.col("_start") + F.col("_r"))
                   .drop("_r", "_start"))
+
+
+def with_block_index(df: DataFrame, file_col, block_col, place_col, index_col: str = "idx") -> DataFrame:
+    """``df`` plus a dense 0-based ``index_col`` in the order of file, block and place in the block.
+
+    The places of a block must be dense, from any number on.  Only the counts of the
+    blocks are ordered and summed; the rows are neither sorted nor shuffled
+    (as long as the blocks are few enough to broadcast, which is checked).
+    """
+    placed = df.withColumns({"_file": file_col, "_block": block_col, "_place": place_col})
+    counts = placed.groupBy("_file", "_block").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    starts = with_running_total(counts, ["_file", "_block"], "_n", "_start").select(
+        "_file", "_block", (F.col("_start") - F.col("_first")).alias("_shift")).checkpoint(eager=True)
+    if starts.count() <= BLOCKS:
+        starts = F.broadcast(starts)
+    return (placed.join(starts, ["_file", "_block"])
+            .withColumn(index_col, F.col("_shift") + F.col("_place")).drop("_file", "_block", "_place", "_shift"))

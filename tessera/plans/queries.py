@@ -463,6 +463,26 @@ def q_corpus_plain_all(spark, sf_dir):
     return recipes.corpus_plain(table(spark, sf_dir, "documents"), NUM_FILES, seed=SEED)
 
 
+@register("corpus_plain_files", f"""
+WITH {LINES_CTE},
+cut AS (SELECT doc_id, line_no, regexp_replace(line, '{RE2_STRIP}', '', 'g') AS line FROM lines),
+-- a document without a line is no paragraph
+keys AS (SELECT source_id, row_number() OVER (ORDER BY source_id) - 1 AS doc_id
+         FROM (SELECT DISTINCT doc_id AS source_id FROM cut WHERE line <> '')),
+para AS (SELECT k.doc_id, (row_number() OVER (PARTITION BY k.doc_id ORDER BY line_no) - 1)::INTEGER AS line_no, line
+         FROM cut c JOIN keys k ON c.doc_id = k.source_id WHERE line <> '')
+SELECT CASE WHEN {h60_sql("'42'", "doc_id")} % {NUM_FILES} = {NUM_FILES - 1} THEN 'valid' ELSE 'train' END AS split,
+       ({h60_sql("'42'", "doc_id")} % {NUM_FILES})::INTEGER AS shard, doc_id, line_no, line FROM para""")
+def q_corpus_plain_files(spark, sf_dir):
+    """The documents as text files in id order, lines ended by CR LF, a blank line after each, and back as a corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(
+        F.regexp_replace(F.coalesce("text", F.lit("")), r"\s*\n\s*", "\r\n"), F.lit("\r\n \t\r")).alias("t"))
+    ordered = docs.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").select("t")
+    path = scratch_path(spark, "files")
+    ordered.write.text(path)
+    return recipes.corpus_plain_files(spark, path, NUM_FILES, seed=SEED)
+
+
 @register("corpus_counts", f"""
 WITH {CORPUS_CTE}
 SELECT split, count(*) AS n_sentences, count(DISTINCT shard) AS n_files FROM corpus GROUP BY split""")
@@ -860,14 +880,50 @@ def q_evaluation(spark, sf_dir):
 
 
 # ================================================================ R3, R4, W4
-@register("learn_wordpiece")
+def learn_sql(size: int, counts: str = "counts", least: int = 2) -> str:
+    """One merge a step over whole words in a recursive query; symbols stand between two private-use signs."""
+    return f"""
+sym AS (SELECT n, list_transform(regexp_extract_all(word, '(?s).'), lambda c, i: CASE WHEN i = 1 THEN c ELSE '##' || c END) AS s FROM {counts}),
+firsts AS (SELECT DISTINCT unnest(regexp_extract_all(word, '(?s).')) AS piece FROM {counts}),
+nexts AS (SELECT DISTINCT unnest(s[2:]) AS piece FROM sym),
+base AS (
+  SELECT token_id, piece FROM ({SPECIALS_SQL}) UNION ALL
+  SELECT 14 + row_number() OVER (ORDER BY kind, piece), piece FROM (
+    SELECT 1 AS kind, piece FROM firsts UNION ALL SELECT 2, piece FROM nexts WHERE piece NOT IN (SELECT piece FROM firsts))),
+learn(i, n, s, new) AS (
+  SELECT 0, n, chr(57344) || array_to_string(s, chr(57345) || chr(57344)) || chr(57345), NULL::VARCHAR FROM sym WHERE len(s) > 1
+  UNION ALL
+  SELECT l.i + 1, l.n, replace(l.s, chr(57344) || p.a || chr(57345) || chr(57344) || p.b || chr(57345), chr(57344) || p.new || chr(57345)), p.new
+  FROM learn l, (
+    SELECT a, b, a || substr(b, 3) AS new FROM (
+      SELECT n, s[k] AS a, s[k + 1] AS b FROM (
+        SELECT n, s, unnest(range(1, len(s))) AS k FROM (
+          SELECT n, string_split(substr(s, 2, length(s) - 2), chr(57345) || chr(57344)) AS s FROM learn)))
+    GROUP BY a, b HAVING sum(n) >= {least}
+    ORDER BY sum(n) DESC, length(a) + length(b) - 2 - CASE WHEN starts_with(a, '##') THEN 2 ELSE 0 END, a, b LIMIT 1) p
+  WHERE l.i < {size} - (SELECT count(*) FROM base)),
+found AS (SELECT new, min(i) AS i FROM learn WHERE new IS NOT NULL GROUP BY new)
+SELECT token_id::INTEGER AS token_id, piece FROM base
+UNION ALL SELECT ((SELECT count(*) FROM base) + row_number() OVER (ORDER BY i) - 1)::INTEGER, new FROM found"""
+
+@register("learn_wordpiece", f"WITH RECURSIVE {WORDS_CTE}, {learn_sql(400)}")
 def q_learn_wordpiece(spark, sf_dir):
-    """Iterative learner: no SQL form; values are checked by a pytest against
-    a one-merge-at-a-time restatement."""
     counts = vocab_ops.word_counts(doc_words(spark, sf_dir))
     return vocab_ops.learn_wordpiece(counts, vocab_size=400, limit_alphabet=6129)
 
 
+@register("vocabulary", f"""
+WITH RECURSIVE {CORPUS_CTE},
+drawn AS (SELECT line FROM corpus WHERE split = 'train' AND line <> ''
+          ORDER BY {h60_sql("'42'", "doc_id", "line_no")}, doc_id, line_no LIMIT 5000),
+lwords AS (SELECT unnest(list_filter(regexp_split_to_array(line, '{T.WHITE_SPACE_CLASS}+'), lambda x: x <> '')) AS word FROM drawn),
+lcounts AS (SELECT word, count(*) AS n FROM lwords GROUP BY word), {learn_sql(600, "lcounts")}""")
+def q_vocabulary(spark, sf_dir):
+    """R3: a sample of the training lines to the learned vocabulary; the sample and the size are the recipe's parameters."""
+    train = corpus_lines(spark, sf_dir).where("split = 'train'").select("doc_id", "line_no", "line")
+    return recipes.vocabulary(train, sample_size=5000, vocab_size=600, seed=SEED)
+
+
 def _pad_sql(c: str, fill: int) -> str:
     return f"array_to_string({c} || list_transform(range(target - n), lambda x: {fill}), ' ') AS {c}"
 

@@ -3,7 +3,7 @@ checkpoints that caps and samples need)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -21,7 +21,27 @@ def corpus_plain(docs: DataFrame, num_files: int = 32, max_sentences: int = 0,
     Output ``(split, shard, doc_id, line_no, line)``; write it with
     ``sinks.write_shards``.
     """
-    lines = corpus.nonempty_lines(corpus.explode_lines(docs, text_col, (id_col,), normalize=True))
+    lines = corpus.explode_lines(docs, text_col, (id_col,), normalize=True)
+    return _plain(lines, num_files, max_sentences, max_valid_sentences, seed, id_col)
+
+
+def corpus_plain_files(spark: SparkSession, path, num_files: int = 32, max_sentences: int = 0,
+                       max_valid_sentences: int = 0, seed: int = 42) -> DataFrame:
+    """:func:`corpus_plain` from text files: lines that are blank after strip end a document, and so does a file's end.
+
+    ``doc_id`` counts the documents in the order of file names and places; ``line_no`` the
+    lines of a document, blank ones left out.
+    """
+    from tessera.operators.rowindex import with_block_index
+    from tessera.sources.readers import read_paragraphs
+    paras = read_paragraphs(spark, path)
+    docs = with_block_index(paras, F.col("file"), F.col("record_id"), F.col("para_no"), "doc_id")
+    lines = docs.select("doc_id", F.posexplode(T.nfkc_array(F.transform("lines", T.strip_ws))).alias("line_no", "line"))
+    return _plain(lines, num_files, max_sentences, max_valid_sentences, seed, "doc_id")
+
+
+def _plain(lines: DataFrame, num_files: int, max_sentences: int, max_valid_sentences: int, seed: int, id_col: str) -> DataFrame:
+    lines = corpus.nonempty_lines(lines)
     if max_sentences > 0:
         lines = split.limit_sentences(lines, max_sentences, (id_col, "line_no"))
     lines = split.train_valid_split(split.assign_shard(lines, num_files, (id_col,), seed),
@@ -46,7 +66,7 @@ def corpus_wiki(docs: DataFrame, num_files: int = 32, max_documents: int = 0,
     ``dedup_mode``: ``exact`` (global keep-first, the default), ``lru``
     (the per-shard bounded recency cache of the original), or ``none``.
     Output ``(split, shard, doc_id, sent_no, sentence)``.  Documents without
-    an ``id_col`` (a JSON dump) are numbered in scan order first.
+    an ``id_col`` (a JSON dump) are numbered in file order first.
     """
     if id_col not in docs.columns:
         docs = index_rows(docs, id_col)
@@ -115,10 +135,19 @@ def vocabulary(train_lines: DataFrame, sample_size: int = 10_000_000, vocab_size
 
 # ------------------------------------------------------------------ R4
 def index_rows(df: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """Number the rows of a dataset in scan (file) order, as examples are."""
-    from tessera.operators.rowindex import with_row_index
+    """Numbers the rows: those of files by file name and place in the file, others in scan order.
+
+    Rows of files are counted by file block; no row is moved for it.
+    """
+    from pyspark.errors import AnalysisException
+    from tessera.operators.rowindex import with_block_index, with_row_index
     marked = df.withColumn("_scan", F.monotonically_increasing_id())
-    return with_row_index(marked, ["_scan"], id_col).drop("_scan")
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    try:
+        from_files = marked.select("*", file.alias("_path"), block.alias("_at"))
+    except AnalysisException:  # not read from files
+        return with_row_index(marked, ["_scan"], id_col).drop("_scan")
+    return with_block_index(from_files, F.col("_path"), F.col("_at"), F.col("_scan"), id_col).drop("_scan", "_path", "_at")
 
 
 def training_table(dataset: DataFrame, vocab: DataFrame, line_by_line: bool = True,
@@ -129,7 +158,7 @@ def training_table(dataset: DataFrame, vocab: DataFrame, line_by_line: bool = Tr
     """Masked-LM training table: text column -> (line-by-line encoding | encode
     and pack) -> first ``max_samples`` -> length-grouped batches -> masking
     -> padding per batch.  Line by line, a row is an example, so the cap comes
-    before the encoding.  ``id_cols`` default: rows numbered in scan order.
+    before the encoding.  ``id_cols`` default: rows numbered in file order.
     """
     from tessera.operators import encode as E
     from tessera.sources.readers import text_column

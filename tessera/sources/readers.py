@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import PY_WS_CLASS
 from tessera.sources import fs
 
-# Blank characters other than the newline (a "blank line" holds only these).
-_BLANK_NO_NL = r"[\t\x0b-\r\x1c-\x20\x85\p{Z}]"
-_PARA_BREAK = rf"\n(?:{_BLANK_NO_NL}*\n)+"
-_LEAD_BLANK_LINES = rf"^(?:{_BLANK_NO_NL}*\n)+"
-_TRAIL_BLANK_LINES = rf"(?:\n{_BLANK_NO_NL}*)+\z"
-
 DATASET_FORMATS = {"csv": "csv", "json": "json", "jsonl": "json", "txt": "text",
                    "parquet": "parquet"}
 
@@ -46,25 +41,63 @@ def read_lines(spark: SparkSession, path, line_col: str = "line") -> DataFrame:
 def read_paragraphs(spark: SparkSession, path) -> DataFrame:
     """Paragraphs: runs of lines separated by lines that are blank after strip.
 
-    Records are read with ``lineSep="\\n\\n"`` (the file stays splittable), then
-    each record is split again on breaks made of whitespace-only lines.  A
-    file end always ends a paragraph.  Lines end at ``\\n``, ``\\r`` or
-    ``\\r\\n``; a file that has only ``\\r`` or ``\\r\\n`` line ends holds no
-    record separator and is read by one task.  Output ``(file, record_id,
-    para_no, lines)``; ``record_id`` is fixed for a given file listing and
-    split size.
+    Lines end at ``\\n``, ``\\r`` or ``\\r\\n``, and files of any of them stay
+    splittable: every file block cuts its own lines into runs, and only the runs that touch
+    an end of their block are shuffled, to be joined with their other parts.  A
+    file end always ends a paragraph.  Output ``(file, record_id, para_no, lines)``, ordered in
+    a file by ``(record_id, para_no)``: the start of the block in which the paragraph begins, and
+    its number there (dense; from 1 on where the block's first lines belong to an earlier one).
     """
     paths = [path] if isinstance(path, str) else list(path)
     _reject_xz(spark, paths)
-    raw = spark.read.format("text").option("lineSep", "\n\n").load(paths)
-    text = F.regexp_replace("value", r"\r\n?", "\n")
-    body = F.regexp_replace(F.regexp_replace(text, _LEAD_BLANK_LINES, ""), _TRAIL_BLANK_LINES, "")
-    paras = (raw.select(F.col("_metadata.file_path").alias("file"),
-                        F.monotonically_increasing_id().alias("_rec"),
-                        F.posexplode(F.split(body, _PARA_BREAK)).alias("_p", "_para"))
-                .where(F.regexp_replace("_para", rf"{PY_WS_CLASS}+", "") != ""))
-    return paras.select("file", F.col("_rec").alias("record_id"), F.col("_p").alias("para_no"),
-                        F.split("_para", r"\n").alias("lines"))
+    lines = spark.read.format("text").load(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("record_id"), "value",
+        (F.regexp_replace("value", rf"{PY_WS_CLASS}+", "") == "").alias("blank"))
+    runs = lines.mapInArrow(_line_runs, "file string, record_id long, para_no int, lines array<string>, head boolean, tail boolean")
+    inner = runs.where(~F.col("head") & ~F.col("tail")).select("file", "record_id", "para_no", "lines")
+    # a run at its block's start goes on with the one at the end of the block before
+    order = Window.partitionBy("file").orderBy("record_id", "para_no")
+    edge = runs.where(F.col("head") | F.col("tail")).withColumn(
+        "begins", (~F.col("head") | ~F.coalesce(F.lag("tail").over(order), F.lit(False))).cast("long"))
+    edge = edge.withColumn("chain", F.sum("begins").over(order)).where(F.size("lines") > 0)
+    part = F.struct("record_id", "para_no", "lines")
+    joined = edge.groupBy("file", "chain").agg(F.array_sort(F.collect_list(part)).alias("parts")).select(
+        "file", F.col("parts")[0]["record_id"].alias("record_id"), F.col("parts")[0]["para_no"].alias("para_no"),
+        F.flatten("parts.lines").alias("lines"))
+    return inner.unionByName(joined)
+
+
+def _line_runs(batches):
+    """Runs of lines of each file block: number in the block, and whether they touch its first or last line.
+
+    A block that ends or begins with a blank line gets an empty run there, so that its
+    neighbours' runs see that nothing goes on.
+    """
+    names = ["file", "record_id", "para_no", "lines", "head", "tail"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.bool_(), pa.bool_()]
+    rows, held = [], 0
+    at, number, run, head = None, 0, [], True
+    for b in batches:
+        for file, block, line, blank in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if at != (file, block):
+                if at is not None:
+                    rows.append((*at, number, run, head, True))
+                at, number, run, head = (file, block), 0, [], True
+            if blank:
+                if run or head:
+                    rows.append((*at, number, run, head, False))
+                    number += 1
+                run, head = [], False
+            else:
+                run.append(line)
+                held += len(line) + 32
+        if rows and held > 4_000_000:
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            rows, held = [], 0
+    if at is not None:
+        rows.append((*at, number, run, head, True))
+    if rows:
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 # ------------------------------------------------------------------ S3

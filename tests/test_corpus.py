@@ -2,7 +2,9 @@
 
 import gzip
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.keyed import h60
@@ -143,3 +145,82 @@ def test_paragraphs_of_all_line_ends(spark, tmp_dir):
             f.write(end.join(["a", "b", "", "  ", "c", ""]))
     got = sorted(tuple(r.lines) for r in readers.read_paragraphs(spark, tmp_dir).collect())
     assert got == sorted([("a", "b"), ("c",)] * 3)
+
+
+SMALL_SPLITS = {"spark.sql.files.maxPartitionBytes": "1024", "spark.sql.files.openCostInBytes": "1"}
+
+
+@pytest.fixture()
+def small_splits(spark):
+    before = {k: spark.conf.get(k) for k in SMALL_SPLITS}
+    for k, v in SMALL_SPLITS.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def brute_paragraphs(text):
+    out, run = [], []
+    for line in [*text.replace("\r\n", "\n").replace("\r", "\n").split("\n"), ""]:
+        if line.strip():
+            run.append(line)
+        elif run:
+            out.append(run)
+            run = []
+    return out
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_paragraphs_across_splits(spark, tmp_dir, small_splits, end):
+    rng = random.Random(len(end))
+    want, numbered = [], []
+    for name in ("b.txt", "a.txt", "c.txt"):
+        lines = []
+        for _ in range(12):
+            lines += [rng.choice(["x", "é" * 9, "long " * 40, " y "]) + str(rng.random()) for _ in range(rng.choice([1, 2, 9, 30]))]
+            lines += [rng.choice(["", " ", "\t"])] * rng.choice([1, 1, 3])
+        text = end.join([*rng.choice([[], ["", " "]]), *lines, *rng.choice([[], ["tail"]])])
+        with open(os.path.join(tmp_dir, name), "w", newline="") as f:
+            f.write(text)
+        own = brute_paragraphs(text)
+        want += own
+        numbered.append((name, own))
+    paras = readers.read_paragraphs(spark, tmp_dir)
+    assert spark.read.text(tmp_dir).rdd.getNumPartitions() > 12
+    assert sorted(list(r.lines) for r in paras.collect()) == sorted(want)
+    in_order = [list(r.lines) for r in paras.orderBy("file", "record_id", "para_no").collect()]
+    numbered.sort()
+    assert in_order == [p for _, own in numbered for p in own]
+    got = recipes.corpus_plain_files(spark, tmp_dir, 4).collect()
+    docs = [[line.strip() for line in p] for _, own in numbered for p in own]
+    assert sorted((r.doc_id, r.line_no, r.line) for r in got) == [(i, j, line) for i, p in enumerate(docs) for j, line in enumerate(p)]
+    assert all(r.split == ("valid" if r.shard == 3 else "train") for r in got)
+
+
+def test_paragraphs_of_nothing(spark, tmp_dir):
+    for name, text in (("a.txt", ""), ("b.txt", "\n \r\n\t"), ("c.txt", "x")):
+        with open(os.path.join(tmp_dir, name), "w", newline="") as f:
+            f.write(text)
+    assert [list(r.lines) for r in readers.read_paragraphs(spark, tmp_dir).collect()] == [["x"]]
+
+
+def test_rows_are_numbered_by_file_name_and_place(spark, tmp_dir, small_splits):
+    # the larger file is scanned first, but its name comes last
+    files = {"a.txt": ["a0"], "b.txt": [f"b{i}" for i in range(500)], "0.txt": ["z"] * 3}
+    for name, lines in files.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write("\n".join(lines))
+    got = recipes.index_rows(readers.read_lines(spark, tmp_dir)).orderBy("row_id").collect()
+    want = [line for name in sorted(files) for line in files[name]]
+    assert [r.row_id for r in got] == list(range(len(want))) and [r.line for r in got] == want
+    kept = recipes.index_rows(readers.read_lines(spark, tmp_dir).where("line <> 'b7' AND line <> 'z'"), "n").orderBy("n").collect()
+    assert [(r.n, r.line) for r in kept] == list(enumerate(x for x in want if x not in ("b7", "z")))
+    plan = recipes.index_rows(readers.read_lines(spark, tmp_dir))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "BroadcastHashJoin" in plan
+    rows = spark.createDataFrame([("q",), ("r",)], "line string")
+    assert sorted(r.row_id for r in recipes.index_rows(rows).collect()) == [0, 1]
+    with open(os.path.join(tmp_dir, "d.json"), "w") as f:
+        f.write("\n".join(f'{{"title":"t","text":"{x}"}}' for x in range(9)))
+    docs = recipes.index_rows(readers.read_json_docs(spark, os.path.join(tmp_dir, "d.json")), "doc_id").orderBy("doc_id").collect()
+    assert [r.text for r in docs] == [str(x) for x in range(9)]
