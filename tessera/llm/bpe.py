@@ -7,7 +7,7 @@ below it.  A merge takes the root, joins the two ranges, and makes at most three
 point updates: the merged pair, the pair on its left, and the leaf that died.
 A piece of n bytes costs O(n log n), however its pairs fall.
 
-Pieces of ordinary length come again and again, so each task keeps a bounded
+Pieces of ordinary length come again and again, so each worker keeps a bounded
 table of what runs of non-space text encode to; a run between two single spaces
 is always cut in the same way, whatever stands around it.
 
@@ -30,8 +30,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.hashing import Prefix
 
-#: Entries of a task's table of encoded runs, and the longest run that it holds.
-TABLE, LONGEST = 120_000, 48
+#: Entries of each of a worker's two tables of encoded runs, and the longest run in them.
+#: They stay over tasks; at most 120,000 entries of about 200 bytes.
+TABLE, LONGEST = 60_000, 48
 #: Pieces of up to so many bytes are merged many at a time.
 WIDEST = 64
 #: Texts of one Arrow batch in and out of Python, by characters.
@@ -354,22 +355,23 @@ def _share(df: DataFrame, path: str) -> str:
 
 
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``df`` with ``ids_col array<int>``: ids of each whole text; no shuffle."""
+    """``df`` with ``ids_col array<int>``: ids of each whole text; no shuffle. A column of that name is replaced."""
     name = _share(df, path)
+    df = df.drop(ids_col)
 
     def run(batches):
         enc = _encoder(name, pattern)
         for part, texts in _slices(batches, text_col, lambda t: len(t or "") + 64):
             ids, ends = enc.encode_many([t or "" for t in texts])
             yield _add(part, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))), ids_col)
-        enc.runs, enc.older = {}, {}  # a worker process outlives its task
 
     return df.mapInArrow(run, df.select("*", F.lit(None).cast("array<int>").alias(ids_col)).schema)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded", pattern: str = "") -> DataFrame:
-    """``df`` with ``bytes_col binary``: the bytes that the ids stand for."""
+    """``df`` with ``bytes_col binary``: the bytes that the ids stand for. A column of that name is replaced."""
     name = _share(df, path)
+    df = df.drop(bytes_col)
 
     def run(batches):
         enc = _encoder(name, pattern)

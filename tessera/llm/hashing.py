@@ -7,6 +7,8 @@ import numpy as np
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POW: dict[str, np.ndarray] = {}
+#: Powers that a worker keeps (8 MB a table); longer ones are made when they are asked for.
+KEEP = 1 << 20
 
 
 def _powers(n: int, base: np.uint64, name: str) -> np.ndarray:
@@ -20,7 +22,9 @@ def _powers(n: int, base: np.uint64, name: str) -> np.ndarray:
             step = np.uint64(pow(int(base), done, 1 << 64))
             out[done:2 * done] = out[:done] * step
             done *= 2
-        _POW[name] = have = out
+        have = out
+        if size <= KEEP:
+            _POW[name] = out
     return have[:n]
 
 

@@ -84,7 +84,7 @@ def _draw(*key) -> float:
 
 def _pivot(pdf: pd.DataFrame, level: int, seed: int) -> pd.DataFrame:
     """Pairs the fractional rows in id order; at most one stays fractional."""
-    pdf = pdf.sort_values(["doc_id", "size"], kind="stable", ignore_index=True)
+    pdf = pdf.sort_values(["no_id", "doc_id", "size", "text_hash"], kind="stable", ignore_index=True)
     share, ids, size = pdf["share"].tolist(), pdf["doc_id"].tolist(), pdf["size"].tolist()
     held = -1
     for j, p in enumerate(share):
@@ -136,7 +136,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: float = 3.0, seed: int =
     rows = rows.withColumn("whole", whole.cast("long")).withColumn("share", F.greatest(ratio - whole, F.lit(0.0)))
     level, per = 0, F.ceil(F.col("n_docs") / bucket)
     spread = F.pmod(F.xxhash64("doc_id", "size"), per)
-    frac = rows
+    # pandas holds whole numbers exactly only where none is null
+    frac = rows.withColumns({"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))})
     most = goals.agg(F.max("n_docs")).first()[0] or 0
     done = []
     while True:
@@ -157,7 +158,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: float = 3.0, seed: int =
         out = out.unionByName(x)
     copies = F.col("whole") + F.round("share").cast("long")
     return (out.withColumn("copies", copies).withColumn("taken", copies * F.col("size"))
-            .select("doc_id", "source", "text_hash", "size", "source_size", "target", "copies", "taken"))
+            .select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "source", "text_hash", "size", "source_size",
+                    "target", "copies", "taken"))
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kwargs) -> DataFrame:

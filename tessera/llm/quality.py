@@ -176,9 +176,11 @@ def filter_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      min_words: int = MIN_WORDS, min_left: float = MIN_LEFT, per: str = "id") -> DataFrame:
     """Kept rows with all their columns; boiler-plate lines are cut from ``text_col``.
 
-    A text without such a line is returned byte for byte.
+    A text without such a line is returned byte for byte.  Columns may have any names.
     """
     cols = docs.columns
+    id_col, text_col, host_col = (f"in_{cols.index(c)}" for c in (id_col, text_col, host_col))
+    docs = docs.toDF(*[f"in_{i}" for i in range(len(cols))])
     key = _row_key(id_col, text_col, host_col)
     base = base_metrics(docs.withColumn("_key", key), text_col)
     gone = (removed_lines(docs, id_col, text_col, host_col, min_docs, share, per)
@@ -191,7 +193,7 @@ def filter_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.split(F.col(text_col), "\n", -1),
         lambda x: ~(x.rlike(WORD) & F.array_contains(F.col("_cut"), _line_hash(F.col(host_col), x)))), "\n")
     return (out.withColumn(text_col, F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(kept))
-            .select(*cols))
+            .select(*docs.columns).toDF(*cols))
 
 
 #: DuckDB restatement of the query; limits as above.

@@ -377,14 +377,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     ``in_place`` gives ``docs`` with ``text_col`` cut instead; of a character that
     lost some of its bytes the others go too, and a null text stays null.
+    Columns named ``removed`` or ``kept`` are replaced unless ``in_place``; others may have any name.
     """
+    docs = docs if in_place else docs.drop("removed", "kept")
+    schema, plain = docs.schema, docs.columns
+    id_col, text_col = (f"in_{plain.index(c)}" for c in (id_col, text_col))
+    docs = docs.toDF(*[f"in_{i}" for i in range(len(plain))])
+    own = docs.columns
     spans = repeat_spans(docs, length, id_col, text_col).checkpoint()
     small = _small(spans, "spans")
     spans = spans.toDF("_d", "_t", "_spans")
     rows = _with_key(docs, id_col, text_col)
     joined = rows.join(F.broadcast(spans) if small else spans,
                        (F.col("d") == F.col("_d")) & (F.col("t") == F.col("_t")), "left").drop("d", "t", "_d", "_t")
-    plain = docs.columns
 
     def run(batches):
         for b in batches:
@@ -404,15 +409,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     text = [None if t is None else k.decode("utf-8", "ignore")
                             for t, k in zip(part.column(text_col).to_pylist(), kept)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(text, pa.string()) if c == text_col else part.column(c) for c in plain], names=plain)
+                        [pa.array(text, pa.string()) if c == text_col else part.column(c) for c in own], names=plain)
                     continue
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in plain],
+                    [*[part.column(c) for c in own],
                      pa.array(removed, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
                      pa.array(kept, pa.binary())], names=[*plain, "removed", "kept"])
 
     if in_place:
-        return joined.mapInArrow(run, docs.schema)
-    schema = docs.select("*", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>").alias("removed"),
-                         F.lit(None).cast("binary").alias("kept")).schema
-    return joined.mapInArrow(run, schema)
+        return joined.mapInArrow(run, schema)
+    more = docs.select(F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>").alias("removed"), F.lit(None).cast("binary").alias("kept"))
+    return joined.mapInArrow(run, type(schema)(schema.fields + more.schema.fields))

@@ -239,3 +239,29 @@ def test_fattest_number(spark):
     df = spark.createDataFrame(pairs, "a int, b int")
     for r in df.select("a", "b", prefix_trie.fattest(df.a, df.b).alias("f")).collect():
         assert r.f == max(range(r.a + 1, r.b + 1), key=lambda f: f & -f)
+
+
+# ------------------------------------------------------------------ names and ids of the earlier operators
+def test_clashing_column_names(spark):
+    from tessera.llm import bpe, quality, repeats
+    text = " ".join(f"w{i}" for i in range(120))
+    rows = [(i, text if i < 2 else f"{text} {i}", "s", 5, "d", "t", [1], "k") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_words int, d string, t string, ids array<int>, kept string")
+    got = quality.filter_documents(docs)
+    assert got.columns == docs.columns and got.count() == 3 and {r.n_words for r in got.collect()} == {5}
+    cut = repeats.remove_repeats(docs)
+    assert cut.columns == [c for c in docs.columns if c != "kept"] + ["removed", "kept"]
+    assert {(r.d, r.t, bytes(r.kept)) for r in cut.where("doc_id < 2").collect()} == {("d", "t", b"")}
+    same = repeats.remove_repeats(docs, in_place=True)
+    assert same.schema == docs.schema and {r.kept for r in same.collect()} == {"k"}
+    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert coded.columns.count("ids") == 1 and all(len(r.ids) > 100 for r in coded.collect())
+
+
+def test_mix_keeps_large_ids_beside_null_ones(spark):
+    from tessera.llm import mixing
+    big = 1 << 60
+    rows = [(big + i, "a b c " * (i + 1), "s") for i in range(1, 20)] + [(None, "a b", "s"), (None, "a b", "s"), (5, "x", "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r["size"]) for r in mixing.mix(docs).collect())
+    assert got == sorted((i is not None, i or 0, len(t.split())) for i, t, _ in rows)
