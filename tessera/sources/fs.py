@@ -12,6 +12,12 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system."""
+    fs, p = _fs_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.exists(p))
