@@ -36,6 +36,8 @@ from tessera.llm.gbt import Trees
 
 #: Pages that training reads at most, and variants made of each.
 PAGES, VARIANTS = 200, 3
+#: Pages of so many characters or more are not sampled, and so many texts of the sample fill the variants.
+LONGEST, FILLERS = 100_000, 4_000
 #: Class words of containers.  Fixed values.
 AWAY = ("nav menu navbar navigation breadcrumb breadcrumbs header masthead banner topbar footer foot bottom copyright sidebar side aside "
         "widget rail ad ads advert advertisement sponsor sponsored promo promotion notice cookie cookies consent gdpr popup modal overlay newsletter "
@@ -72,6 +74,13 @@ class Page:
         self.label, self.text, self.link = [0], [""], [0]
         stack, links, part, linked = [0], 0, [], 0
 
+        opened = {}  # tags on the stack, counted
+
+        def pop():
+            name = self.tag[stack.pop()]
+            opened[name] -= 1
+            return name
+
         def add(tag, away, here, label, text="", link=0):
             p = stack[-1]
             self.tag.append(tag), self.up.append(p), self.depth.append(self.depth[p] + 1)
@@ -119,18 +128,19 @@ class Page:
                 continue
             flush()
             if close:
-                if name in [self.tag[i] for i in stack]:
-                    while self.tag[stack.pop()] != name:
+                if opened.get(name):
+                    while pop() != name:
                         pass
                     links = 0
                 continue
             if name in _CLOSE_P and self.tag[stack[-1]] == "p":
-                stack.pop()
+                pop()
             ends = _SELF.get(name)
             if ends:
                 for i in range(len(stack) - 1, 0, -1):
                     if self.tag[stack[i]] in ends:
-                        del stack[i:]
+                        while len(stack) > i:
+                            pop()
                         break
                     if self.tag[stack[i]] in _WALL and not (name[0] == "t" and self.tag[stack[i]] in ("td", "th")):
                         break
@@ -149,6 +159,7 @@ class Page:
             add(name, away, here, label)
             if name not in _VOID and not attrs.rstrip().endswith("/"):
                 stack.append(len(self.tag) - 1)
+                opened[name] = opened.get(name, 0) + 1
         flush()
 
     def features(self) -> np.ndarray:
@@ -275,12 +286,19 @@ def _variant(source: str, fillers: list[str], rng: random.Random, plain: bool) -
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", limit: int = PAGES,
-          variants: int = VARIANTS) -> Trees:
-    """Trees fitted on at most ``limit`` pages that mark their main text, and their variants."""
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]") & (F.length(html_col) < 100_000))
-    taken = [r[0] for r in marked.orderBy(F.xxhash64(id_col, html_col)).limit(limit).select(html_col).collect()]
+          variants: int = VARIANTS, longest: int = LONGEST, fillers: int = FILLERS) -> Trees:
+    """Trees fitted on at most ``limit`` pages that mark their main text, and their variants.
+
+    The sample is that of the smallest hashes of id and page among pages of fewer than
+    ``longest`` characters; only hashes are sorted, and ``limit`` pages reach the driver.
+    ``fillers`` bounds the texts that variants take their additions from.
+    """
+    marked = (pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]") & (F.length(html_col) < longest))
+              .select(F.xxhash64(id_col, html_col).alias("at"), F.col(html_col).alias("page")))
+    first = [r[0] for r in marked.select("at").distinct().orderBy("at").limit(limit).collect()]
+    taken = [r[1] for r in sorted(marked.where(F.col("at").isin(first)).groupBy("at").agg(F.min("page")).collect())]
     rng = random.Random(11)
-    fillers = [t for s in taken for t in Page(s).text if 20 < len(t)][:4000]
+    fillers = [t for s in taken for t in Page(s).text if 20 < len(t)][:fillers]
     xs, ys = [], []
     for source in [*taken, _BUILT_IN, _BUILT_IN]:
         for k in range(variants + 1):

@@ -11,7 +11,14 @@ Reading.  Archives come through Spark's binary reader.  Every record is checked:
 gzip CRC, version line, headers, content length, block end, payload digest.
 After a failed check the reader looks for the next gzip member that opens with a
 version line, or in plain archives for the next version line, goes on there, and
-logs the bytes in between as a gap.
+logs the bytes in between as a gap.  A member may hold any number of records: they
+carry the member's byte range, and after a bad one the next version line inside the
+member is searched; the log then names the range within the member's contents.
+:func:`round_trip` fails if fewer records come back than were written.
+
+Folders: a path without a scheme is one of Hadoop's default file system, as everywhere
+in Spark; ``s3a://`` and ``s3n://`` are written through Arrow's S3 file system, which
+takes its credentials from the executors' environment.
 
 Defined cases: a null payload is empty; a null id is written as ``null`` and
 reads back as null; a null url leaves the header out; control characters in a
@@ -32,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.session import scratch_path
+from tessera.sources.fs import qualified
 
 #: Payloads of fewer bytes are always written out.
 MIN_DEDUP = 100
@@ -85,13 +93,20 @@ def _member(record: bytes) -> bytes:
     return z.compress(record) + z.flush()
 
 
+def arrow_uri(path: str) -> str:
+    """A Hadoop URI as Arrow's file systems name it."""
+    return re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]://", "s3://", path))
+
+
 def write(classified: DataFrame, path: str) -> int:
-    """Writes the archives under ``path`` (a URI); the number of records.
+    """Writes the archives under ``path``; the number of records.
 
     The count is an action, so the files are there when it returns.
     """
+    uri = arrow_uri(qualified(classified.sparkSession, path))
+
     def run(batches):
-        system, root = fs.FileSystem.from_uri(path)
+        system, root = fs.FileSystem.from_uri(uri)
         system.create_dir(root, recursive=True)
         part, at = TaskContext.get().partitionId(), 0
         out, tmp, size, n = None, "", 0, 0
@@ -122,7 +137,7 @@ class _Bad(Exception):
     pass
 
 
-def _parse(raw: bytes, at: int, end_known: bool):
+def _parse(raw: bytes, at: int):
     """Record at ``at`` of plain bytes: (fields, payload, end)."""
     stop = raw.find(b"\r\n\r\n", at)
     if not raw.startswith(b"WARC/1.", at) or stop < 0:
@@ -138,7 +153,7 @@ def _parse(raw: bytes, at: int, end_known: bool):
         raise _Bad("content length or type")
     lo = stop + 4
     hi = lo + int(head["content-length"])
-    if raw[hi:hi + 4] != b"\r\n\r\n" or end_known and hi + 4 != len(raw):
+    if raw[hi:hi + 4] != b"\r\n\r\n":
         raise _Bad("block end")
     block = raw[lo:hi]
     digest = head.get("warc-payload-digest", "")
@@ -148,12 +163,32 @@ def _parse(raw: bytes, at: int, end_known: bool):
     return head, block, hi + 4
 
 
+def _inside(raw: bytes):
+    """What a member's contents hold, as :func:`scan` yields it, with places in ``raw``."""
+    at, bad, why = 0, -1, ""
+    while at < len(raw):
+        try:
+            head, block, end = _parse(raw, at)
+        except _Bad as e:
+            if bad < 0:
+                bad, why = at, str(e)
+            at = raw.find(b"WARC/1.", at + 1)
+            at = len(raw) if at < 0 else at
+            continue
+        if bad >= 0:
+            yield "gap", bad, at, why, None
+            bad = -1
+        yield "record", at, end, head, block
+        at = end
+    if bad >= 0 or not raw:
+        yield "gap", max(bad, 0), at, why or "empty member", None
+
+
 def scan(raw: bytes):
     """Yields ``("record", start, end, headers, block)`` and ``("gap", start, end, why, None)``."""
     at, bad, why = 0, -1, ""
     size = len(raw)
     while at < size:
-        nxt = -1
         try:
             if raw.startswith(b"\x1f\x8b", at):
                 z = zlib.decompressobj(31)
@@ -163,10 +198,15 @@ def scan(raw: bytes):
                     pos += window
                 if not z.eof:
                     raise _Bad("member cut short")
-                head, block, _ = _parse(b"".join(parts), 0, True)
+                found = list(_inside(b"".join(parts)))
+                if found[0][0] == "gap" and len(found) == 1:
+                    raise _Bad(found[0][3])
                 nxt = min(pos, size) - len(z.unused_data)
+                found = [(kind, at, nxt, f"{head}, bytes {lo} to {hi} of the member" if kind == "gap" else head, block)
+                         for kind, lo, hi, head, block in found]
             else:
-                head, block, nxt = _parse(raw, at, False)
+                head, block, nxt = _parse(raw, at)
+                found = [("record", at, nxt, head, block)]
         except (_Bad, zlib.error) as e:
             if bad < 0:
                 bad, why = at, str(e)
@@ -175,7 +215,7 @@ def scan(raw: bytes):
         if bad >= 0:
             yield "gap", bad, at, why, None
             bad = -1
-        yield "record", at, nxt, head, block
+        yield from found
         at = nxt
     if bad >= 0:
         yield "gap", bad, size, why, None
@@ -244,18 +284,27 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, _SCHEMA)
 
 
+def tally(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Records and gaps of all archives under ``path``; no payload leaves its task."""
+    row = read(spark, path).select("gap").agg(F.count(F.lit(1)).alias("n"), F.count("gap").alias("gaps")).first()
+    return row["n"] - row["gaps"], row["gaps"]
+
+
 def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url",
                path: str | None = None) -> DataFrame:
-    """Writes ``pages`` as archives and reads them back: one row per record, with the integer ids."""
+    """Writes ``pages`` as archives and reads them back: one row per record, with the integer ids.
+
+    The archives are read once for their count before the rows are handed on; a gap or a
+    missing record is an error.
+    """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
-    if "://" not in path and not path.startswith("file:"):
-        path = f"file://{path}"
-    path = re.sub(r"^file:/+", "file:///", path)
     n = write(classify(pages, id_col, payload_col, url_col), path)
     if not n:
         return spark.createDataFrame([], "page_id long, warc_type string, refers_to long, payload_digest string, "
                                          "payload_length long, payload binary")
+    if tally(spark, path) != (n, 0):
+        raise RuntimeError(f"{n} records written to {path}, but {tally(spark, path)} records and gaps read")
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return (read(spark, path).where(F.col("gap").isNull())
             .select(number("record_id").alias("page_id"), "warc_type", number("refers_to").alias("refers_to"),

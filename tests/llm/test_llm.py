@@ -181,6 +181,33 @@ def test_warc_salvage_and_round_trip(spark, tmp_dir):
     assert warc.round_trip(df.where("false")).count() == 0
 
 
+def test_warc_members_of_many_records(spark, tmp_dir):
+    body = [f"<p>{i}</p>".encode() * 30 for i in range(4)]
+    recs = [warc.record_bytes(i, None, b, hashlib.sha256(b).hexdigest()) for i, b in enumerate(body)]
+    whole = warc._member(b"".join(recs))
+    assert [r[0] for r in warc.scan(whole)] == ["record"] * 4
+    bad = recs[1].replace(b"<p>", b"<q>", 1)
+    mixed = list(warc.scan(warc._member(recs[0] + bad + recs[2]) + b"junk" + warc._member(recs[3])))
+    assert [r[0] for r in mixed] == ["record", "gap", "record", "gap", "record"]
+    assert f"bytes {len(recs[0])} to {len(recs[0] + bad)} of the member" in mixed[1][3] and mixed[3][2] - mixed[3][1] == 4
+    with open(f"{tmp_dir}/a.warc.gz", "wb") as f:
+        f.write(whole + warc._member(bad) + warc._member(b""))
+    assert warc.tally(spark, tmp_dir) == (4, 1)
+    assert warc.arrow_uri("s3a://bucket/a") == "s3://bucket/a" and warc.arrow_uri("file:/a") == "file:///a"
+
+
+def test_round_trip_counts_its_records(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "u", "x" * 200), (2, "u", "y")], "page_id long, url string, html string")
+    monkeypatch.setattr(warc, "write", lambda rows, path, write=warc.write: write(rows, path) + 1)
+    with pytest.raises(RuntimeError, match="3 records written"):
+        warc.round_trip(df)
+
+
+def test_html_deep_pages():
+    page = html.Page("<div>" * 30_000 + "<p>a" + "</section></div>" * 30_000 + "<ul><li>b<li>c</ul></p>d")
+    assert [t for t in page.text if t] == ["a", "b", "c", "d"]
+
+
 def test_html_main_text(spark):
     page = ('<html><head><title>t</title><script>var a="</p>";</script></head><body><div class="menu"><ul><li><a href="/">Home</a></li></ul></div>'
             '<div class="post-content"><h1>Head &amp; line</h1><p>One  two<br>three &eacute;, and more words of the story here.<p>Second paragraph, '

@@ -53,6 +53,49 @@ def test_near_copies_of_five_words_and_four_fifths(spark):
     assert sorted(r.doc_id for r in kept) == [i for i in range(len(texts)) if root[i] == i and i != 1]
 
 
+def test_shared_and_null_ids_keep_one_of_a_group(spark):
+    near = [" ".join(f"w{i}" for i in range(60)) + tail for tail in ("", " x", " y")]
+    lone = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, near[0]), (None, near[1]), (None, near[1]), (None, lone), (7, lone + " a"), (7, lone + " b"), (7, lone + " b"),
+            (9, ""), (9, ""), (9, None), (None, "one two"), (8, "one two"), (7, "quite another text of six")]
+    df = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, again int")
+    got = ngram_join.keep_one(df.withColumnRenamed("again", "key"), k=5, percent=80)
+    assert got.columns == ["doc_id", "text", "key"]
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(got) == len(set(got)) == 6
+    assert sum(d is None and t in near for d, t in got) == 1 and sum(t is not None and t.startswith("v0") for _, t in got) == 1
+    assert {(9, ""), (9, None), (8, "one two"), (7, "quite another text of six")} < set(got)
+    comp = {(r.doc_id, r.component_id) for r in ngram_join.jaccard_join(df, k=5, percent=80).collect()}
+    assert (None, 7) in comp and (None, 8) in comp and (None, None) in comp
+
+
+def test_mix_tokens_and_whole_run(spark, tmp_dir):
+    texts = corpus(17, 80)
+    df = docs(spark, texts).where("doc_id is not null")
+    mixed = STAGE["mix_sources"](spark, df, "")
+    assert mixed.columns == df.columns
+    taken = {}
+    for r in mixed.collect():
+        assert r.text == texts[r.doc_id]
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + 1
+    assert taken and max(taken.values()) <= 3
+    assert sorted(taken.items()) == sorted((r.doc_id, r["count"]) for r in STAGE["mix_sources"](spark, df, "").groupBy("doc_id").count().collect())
+    coded = STAGE["byte_bpe"](spark, df, "").collect()
+    assert len(coded) == df.count() and all(r.exact and r.n_tokens == len(r.ids) for r in coded)
+
+    long = [" ".join(f"a{i}b{(i * j) % 97}" for j in range(80)) for i in range(30)]
+    shared = " ".join(f"shared passage {j}" for j in range(60))
+    rows = [(i, t + "\n" + (shared if i in (3, 4) else f"end {i}"), "en", f"s{i % 3}", None, "x") for i, t in enumerate(long)]
+    rows += [(100, "too short", "en", "s0", None, "x"), (101, rows[5][1], "en", "s1", None, "x")]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_dir}/documents.parquet")
+    at = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    cut = {r.doc_id: r.text for r in STAGE["suffix_dedup"](spark, at.where("doc_id < 100"), "").collect()}
+    assert len(cut) == 30 and all(cut[i] == rows[i][1] for i in range(30) if i not in (3, 4))
+    assert all("passage 30" not in cut[i] for i in (3, 4))
+    out = corpus_pipeline.run(spark, tmp_dir).collect()
+    assert out and {r.doc_id for r in out} <= set(range(30)) and all(r.exact for r in out)
+
+
 def test_copies_do_not_deplete_each_other(spark):
     clean = "\n".join(" ".join(f"c{i}x{j}" for j in range(30)) for i in range(3))
     line = "this very line stands in all pages of the host today"
