@@ -18,7 +18,7 @@ from tessera.operators import encode as enc_ops
 from tessera.operators import vocab as vocab_ops
 from tessera.operators.rowindex import positions_by_document
 from tessera.plans import recipes
-from tessera.session import scratch_path
+from tessera.session import checkpoint_dir, scratch_path
 from tessera.sources import readers, sinks
 from tessera.streaming import streams
 
@@ -52,17 +52,16 @@ def h60_sql(*parts: str) -> str:
     return f"('0x' || substr(md5({key}), 1, 15))::BIGINT"
 
 
-# The oracles' own patterns, written out apart from the engine's.
-SQL_REF_NUMBER = r"\[[\p{Nd}]+\]"
-SQL_NEED_MARKER = r"\[要.[^\]\n]*\]"
-SQL_TEMPLATE = r"\{{2,}[^{}]+\}{2,}"
-SQL_FOOTNOTE = r"[ ]\^[ ].+"
-SQL_ANNOTATION = r"\[(?:要出典|リンク切れ|.+?\?)\]"
-RE2_STRIP = T.RE_STRIP
-RE2_PIECE = T.RE_SENTENCE_PIECE
+# The clean-up patterns, white space and delimiters, the same as in functions/text.py.
+SQL_REF_NUMBER = r"\[\p{Nd}+?\]"
+SQL_NEED_MARKER = r"\[要.+?\]"
+SQL_TEMPLATE = r"\{\{+[^{}]+?\}\}+"
+SQL_FOOTNOTE = r" \^ .+"
+SQL_ANNOTATION = r"\[(要出典|リンク切れ|.+?\?)\]"
+RE2_STRIP = r"^[\t-\r\x1c-\x20\x85\p{Z}]+|[\t-\r\x1c-\x20\x85\p{Z}]+\z"
+RE2_PIECE = r"[^．。?!？！\n]*[．。?!？！\n]|[^．。?!？！\n]+"
 # RE2 has no look-ahead: keep an optional final delimiter through a group.
-RE2_SENT_TRIM = (rf"^{T.PY_WS_CLASS}+|{T.PY_WS_CLASS}+("
-                 + T._NON_NL_DELIMS + r"?)$")
+RE2_SENT_TRIM = r"^[\t-\r\x1c-\x20\x85\p{Z}]+|[\t-\r\x1c-\x20\x85\p{Z}]+([．。?!？！]?)$"
 # Python's unprintable set on this data: categories C*, Zl, Zp and Zs but U+0020.
 RE2_UNPRINTABLE = (r"[\p{C}\p{Zl}\p{Zp}\x{a0}\x{1680}\x{2000}-\x{200a}"
                    r"\x{202f}\x{205f}\x{3000}]")
@@ -540,6 +539,7 @@ def doc_words(spark, sf_dir) -> DataFrame:
 
 
 def data_vocab(spark, sf_dir) -> DataFrame:
+    checkpoint_dir(spark)
     # the counts feed four selections below: compute them once
     counts = vocab_ops.word_counts(doc_words(spark, sf_dir)).checkpoint(eager=True)
     chars = vocab_ops.alphabet(counts, None).select(F.col("char").alias("piece"))
