@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections import OrderedDict
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from tessera.session import checkpoint_dir
 
 # Positions per sub-range in dedup_recent: a (shard, value) group is windowed
 # in slices of this many positions, so one hot value never fills one task.
 RECENT_SLICE = 1 << 20
+# Bits of the integer types whose values dedup_exact packs.
+WIDTHS = {ByteType(): 8, ShortType(): 16, IntegerType(): 32, LongType(): 64}
 
 
 # ------------------------------------------------------------------ D1
@@ -19,17 +22,36 @@ def dedup_exact(df: DataFrame, value_col: str = "sentence",
                 order_cols=("doc_id", "sent_no")) -> DataFrame:
     """Keep the first occurrence (smallest ``order_cols``) of each value.
 
-    One aggregation on the value: ``min(struct(order..., rest...))`` is
-    combined map-side first, so a value held by a third of all rows reaches
-    the shuffle as one row per map task.
+    One aggregation on the value, combined map-side first, so a value held by
+    a third of all rows reaches the shuffle as one row per map task.  Integer
+    order columns are packed into one decimal, whose minimum a hash aggregate
+    keeps in place; further columns, or other types, take
+    ``min(struct(order..., rest...))``, which sorts.  Nulls come first.
     """
     order_cols = list(order_cols)
     rest = [c for c in df.columns if c not in order_cols and c != value_col]
+    widths = [WIDTHS.get(df.schema[c].dataType, 128) for c in order_cols]
+    if not rest and sum(widths) <= 104:
+        packed = F.lit(0).cast("decimal(38,0)")
+        for c, w in zip(order_cols, widths):
+            packed = packed * _dec((1 << w) + 1) + F.coalesce(
+                F.col(c).cast("decimal(20,0)") + _dec((1 << (w - 1)) + 1), _dec(0))
+        first = df.groupBy(value_col).agg(F.min(packed.cast("decimal(38,0)")).alias("_p"))
+        for c, w in reversed(list(zip(order_cols, widths))):
+            digit = F.col("_p") % _dec((1 << w) + 1)
+            first = first.withColumns({
+                c: F.when(digit > 0, digit - _dec((1 << (w - 1)) + 1)).cast(df.schema[c].dataType),
+                "_p": ((F.col("_p") - digit) / _dec((1 << w) + 1)).cast("decimal(38,0)")})
+        return first.select(*df.columns)
     first = df.groupBy(value_col).agg(F.min(F.struct(*order_cols, *rest)).alias("_first"))
     return first.select(*[F.col(f"_first.{c}").alias(c) for c in order_cols + rest], value_col) \
                 .select(*df.columns)
 
 
+def _dec(value: int) -> Column:
+    return F.lit(str(value)).cast("decimal(20,0)")
+
+
 # ------------------------------------------------------------------ D2
 def dedup_recent(df: DataFrame, window: int, value_col: str = "sentence",
                  shard_col: str = "shard", pos_col: str = "pos",

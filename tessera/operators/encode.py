@@ -10,7 +10,7 @@ from tessera.functions.keyed import hash_key
 from tessera.operators import corpus
 from tessera.operators.rowindex import with_row_index
 from tessera.operators.split import hash_rank
-from tessera.operators.vocab import CONTINUATION_PREFIX, pretokenize
+from tessera.operators.vocab import CONTINUATION_PREFIX, word_array
 from tessera.session import checkpoint_dir
 
 # Fixed values of the WordPiece model and the collator.
@@ -111,16 +111,17 @@ def encode(df: DataFrame, vocab: DataFrame, max_len: int | None = 512, text_col:
     ``HOT_WORDS`` of all tokens, so fewer than ``HOT_WORDS`` words, of at most
     100 characters) reach their tokens by broadcast, and longer words are
     unknown without a lookup; such tokens spread over the shuffle of the others
-    by row, so no word fills one task.  The distinct words are checkpointed with
-    their counts.  A row with no words encodes as ``[CLS] [SEP]``.
+    by row, so no word fills one task.  The text is scanned and normalised once:
+    the rows' words are checkpointed, and so are the distinct words with their
+    counts.  A row with no words encodes as ``[CLS] [SEP]``.
     """
     id_cols = list(id_cols)
     facts = _vocab_facts(vocab, "[CLS]", "[SEP]", "[PAD]", "[UNK]")
     cls_id, sep_id, pad_id, unk_id = facts[2]
-    rows = df.select(*id_cols, text_col)
-    # rows without words keep one null-word row, so no second pass over rows
-    words = pretokenize(rows, text_col, id_cols, outer=True)
     checkpoint_dir(df.sparkSession)
+    rows = df.select(*id_cols, word_array(text_col).alias("_words")).checkpoint(eager=True)
+    # rows without words keep one null-word row, so no second pass over rows
+    words = rows.select(*id_cols, F.posexplode_outer("_words").alias("word_no", "word"))
     counts = (words.where(F.length("word") <= MAX_INPUT_CHARS_PER_WORD)
               .groupBy("word").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
     total = counts.agg(F.sum("n")).first()[0] or 0
@@ -189,15 +190,19 @@ def pack_blocks(encoded: DataFrame, max_len: int, order_cols=("row_id",),
     except that a group shorter than ``max_len`` keeps one short block.
 
     Rows are numbered by the range-partitioned index; running offsets are a
-    window partitioned by group (``group_rows`` rows).  Each row contributes
-    one slice per block it overlaps, and blocks are re-assembled in row order.
+    window partitioned by group (``group_rows`` rows).  Both see the order
+    columns and lengths alone; the arrays, checkpointed once, are joined
+    afterwards.  Each row contributes one slice per block it overlaps, and
+    blocks are re-assembled in row order.
     Output ``(group_id, block_no, input_ids, token_type_ids, attention_mask,
     special_tokens_mask)``.
     """
     fields = [c for c in ARRAY_FIELDS if c in encoded.columns]
-    idx = with_row_index(encoded.select(*order_cols, *fields), list(order_cols), "_idx")
-    idx = idx.withColumn("group_id", F.floor(F.col("_idx") / group_rows)) \
-             .withColumn("_len", F.size("input_ids"))
+    checkpoint_dir(encoded.sparkSession)
+    source = encoded.select(*order_cols, *fields, F.monotonically_increasing_id().alias("_row")).checkpoint(eager=True)
+    idx = with_row_index(source.select(*order_cols, "_row", F.size("input_ids").alias("_len")),
+                         list(order_cols), "_idx")
+    idx = idx.withColumn("group_id", F.floor(F.col("_idx") / group_rows))
     g = Window.partitionBy("group_id")
     gw = g.orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)
     idx = idx.withColumn("_off", F.coalesce(F.sum("_len").over(gw), F.lit(0))) \
@@ -208,8 +213,9 @@ def pack_blocks(encoded: DataFrame, max_len: int, order_cols=("row_id",),
     live = idx.where((F.col("_len") > 0) & (F.col("_off") < keep_end))
     first_b = F.floor(F.col("_off") / max_len)
     last_b = F.floor((F.least(F.col("_off") + F.col("_len"), keep_end) - 1) / max_len)
-    parts = live.select("group_id", "_idx", "_off", *fields,
-                        F.explode(F.sequence(first_b, last_b)).alias("block_no"))
+    spans = live.select("_row", "group_id", "_idx", "_off", F.sequence(first_b, last_b).alias("_blocks"))
+    parts = spans.join(source.select("_row", *fields), "_row").select(
+        "group_id", "_idx", "_off", *fields, F.explode("_blocks").alias("block_no"))
     lo = F.greatest(F.col("block_no") * max_len - F.col("_off"), F.lit(0))
     hi = F.least((F.col("block_no") + 1) * max_len - F.col("_off"), F.size("input_ids"))
     parts = parts.select("group_id", "block_no", "_idx",
@@ -268,11 +274,13 @@ def length_batches(df: DataFrame, batch_size: int, mega_mult: int | None = None,
     ``mega_mult`` defaults to ``min(n // (batch_size * 4), 50)`` (at least 1).
     Adds ``rank`` (shuffle order, from ``split.hash_rank``: no global sort),
     ``batch_id`` and ``batch_pos``.  The input is checkpointed, as the ranks, the
-    row count and the longest example each read it.
+    row count and the longest example each read it.  Ranks and places are found
+    on keys and lengths alone; the other columns are joined afterwards.
     """
     checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    ranked = hash_rank(df, list(key_cols), seed, "rank")
+    df = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    narrow = list(dict.fromkeys([*key_cols, length_col]))
+    ranked = hash_rank(df.select("_row", *narrow), list(key_cols), seed, "rank")
     if mega_mult is None:
         n = df.agg(F.count(F.lit(1))).first()[0]   # one scalar
         mega_mult = max(min(n // (batch_size * 4), 50), 1)
@@ -288,10 +296,14 @@ def length_batches(df: DataFrame, batch_size: int, mega_mult: int | None = None,
     new_mega = F.when(first_of & (F.col("_mega") == 0), F.lit(m_star)).when(
         first_of & (F.col("_mega") == m_star), F.lit(0)).otherwise(F.col("_mega"))
     ranked = ranked.withColumn("_mega", new_mega)
-    return ranked.withColumn("batch_id", (F.col("_mega") * mega_mult + F.floor(F.col("_pos") / batch_size))
-                             .cast("long")) \
-                 .withColumn("batch_pos", (F.col("_pos") % batch_size).cast("int")) \
-                 .drop("_mega", "_pos")
+    placed = ranked.select(
+        "_row", *narrow, "rank",
+        (F.col("_mega") * mega_mult + F.floor(F.col("_pos") / batch_size)).cast("long").alias("batch_id"),
+        (F.col("_pos") % batch_size).cast("int").alias("batch_pos"))
+    others = [c for c in df.columns if c not in narrow]
+    if len(others) > 1:  # more than _row
+        placed = df.select(*others).join(placed, "_row")
+    return placed.select(*[c for c in df.columns if c != "_row"], "rank", "batch_id", "batch_pos")
 
 
 # ------------------------------------------------------------------ M5

@@ -120,3 +120,27 @@ def with_block_index(df: DataFrame, file_col, block_col, place_col, index_col: s
         starts = F.broadcast(starts)
     return (placed.join(starts, ["_file", "_block"])
             .withColumn(index_col, F.col("_shift") + F.col("_place")).drop("_file", "_block", "_place", "_shift"))
+
+
+def interval_of(points: DataFrame, at_col: str, starts: DataFrame, start_col: str) -> DataFrame:
+    """``points`` joined with the row of ``starts`` whose interval holds ``at_col``.
+
+    An interval runs from its ``start_col`` to the next one's; starts are unique, and the
+    smallest is at most every point.  Points and starts are range-partitioned together: the
+    latest start is a running maximum in each partition, after that of the partitions before
+    (one broadcast row a partition).
+    """
+    mark = F.struct(start_col, *[c for c in starts.columns if c != start_col])
+    marks = starts.select(F.col(start_col).alias(at_col), F.lit(0).alias("_kind"), mark.alias("_mark"))
+    both = points.withColumn("_kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    ranged = ordered_partitions(both, [at_col, "_kind"])
+    located = (ranged.withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (located.groupBy("_pid").agg(F.max("_mark").alias("_last"))
+               .select("_pid", F.max("_last").over(before).alias("_carry")))
+    inner = Window.partitionBy("_pid").orderBy("_local").rowsBetween(Window.unboundedPreceding, 0)
+    seen = located.withColumn("_seen", F.max("_mark").over(inner)).where(F.col("_kind") == 1)
+    return (seen.join(F.broadcast(carried), "_pid")
+            .select(*points.columns, F.coalesce("_seen", "_carry").alias("_in"))
+            .select(*points.columns, "_in.*"))

@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.keyed import h60
-from tessera.operators.rowindex import with_row_index, with_running_total
+from tessera.operators.rowindex import interval_of, with_row_index, with_running_total
+from tessera.session import checkpoint_dir
 
+# Rows of a group up to which bootstrap_sample numbers them in one window.
+GROUP_ROWS = 1 << 20
+# Draws up to which their groups are broadcast; more are joined by a shuffle.
+GROUPS_BROADCAST = 200_000
 
 
 # ------------------------------------------------------------------ P1, P2
@@ -90,9 +95,19 @@ def head_lines(df: DataFrame, k: int, order_cols=("doc_id", "line_no"),
     return first_rows(df, k, order_cols, method)
 
 
-def max_samples(df: DataFrame, n: int | None, order_cols=("row_id",), method: str = "auto") -> DataFrame:
-    """L6: first ``min(n, len)`` examples; ``None`` keeps all."""
-    return df if n is None else first_rows(df, n, order_cols, method)
+def max_samples(df: DataFrame, n: int | None, order_cols=("row_id",), method: str = "auto",
+                staged: bool = False) -> DataFrame:
+    """L6: first ``min(n, len)`` examples; ``None`` keeps all.
+
+    ``staged`` checkpoints the input first, for examples that cost more to make
+    than to copy (encoded ones), as they are read for counts, head and boundary.
+    """
+    if n is None:
+        return df
+    if staged:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    return first_rows(df, n, order_cols, method)
 
 
 # ------------------------------------------------------------------ L3
@@ -101,19 +116,37 @@ def bootstrap_sample(df: DataFrame, k: int, order_cols=("doc_id", "line_no"),
     """Exactly ``k`` rows drawn with replacement when the table has more than ``k``.
 
     Draw ``i`` picks row ``h60(seed, i) % n`` of the table in ``order_cols``
-    order.  Rows are numbered by the range-partitioned index, the ``k`` draws
-    come from ``spark.range`` and meet the rows in an equi-join on the index
-    (a draw repeats a row only a few times, so no key is hot).  With ``n <= k``
-    every row is returned once and ``draw`` is its index.
+    order, nulls first.  The first order column is a group key (a document): its
+    counts get a running total, and each draw finds the group whose interval
+    holds it.  Only rows of drawn groups go on: they are numbered inside their
+    group (by a window, groups of more than ``GROUP_ROWS`` rows by range
+    partitions) and meet the draws in an equi-join on the number (a draw
+    repeats a row only a few times, so no key is hot).  With ``n <= k`` every
+    row is returned once and ``draw`` is its index.
     """
-    indexed = with_row_index(df, order_cols, "_idx")
-    n = indexed.agg(F.count(F.lit(1))).first()[0]   # one scalar
+    g, rest = order_cols[0], list(order_cols[1:])
+    counts = df.groupBy(F.col(g).alias("_g")).agg(F.count(F.lit(1)).alias("_c"))
+    starts = with_running_total(counts, ["_g"], "_c", "_start")
+    n, longest = starts.agg(F.coalesce(F.sum("_c"), F.lit(0)), F.max("_c")).first()   # two scalars
     if n <= k:
-        return indexed.withColumnRenamed("_idx", draw_col)
-    spark = df.sparkSession
-    draws = (spark.range(k).withColumnRenamed("id", draw_col)
-             .withColumn("_idx", h60(F.lit(seed), draw_col) % n))
-    return draws.join(indexed, "_idx").drop("_idx")
+        return with_row_index(df, order_cols, draw_col)
+    draws = df.sparkSession.range(k).select(F.col("id").alias(draw_col),
+                                            (h60(F.lit(seed), "id") % n).alias("_idx"))
+    found = interval_of(draws, "_idx", starts, "_start").checkpoint(eager=True)
+    groups = found.select("_g", "_start", "_c").distinct()
+    if k <= GROUPS_BROADCAST:   # at most one group a draw
+        groups = F.broadcast(groups)
+    small, large = F.col("_c") <= GROUP_ROWS, F.col("_c") > GROUP_ROWS
+
+    def members(of):
+        return df.join(groups.where(of), F.col(g).eqNullSafe(F.col("_g")))
+
+    w = Window.partitionBy("_start").orderBy(*rest) if rest else Window.partitionBy("_start").orderBy("_start")
+    numbered = members(small).withColumn("_at", F.row_number().over(w) - 1)
+    if longest > GROUP_ROWS:
+        numbered = numbered.unionByName(with_row_index(members(large), rest, "_at", ["_start"]))
+    rows = numbered.withColumn("_idx", F.col("_start") + F.col("_at")).select("_idx", *df.columns)
+    return found.select(draw_col, "_idx").join(rows, "_idx").drop("_idx")
 
 
 # ------------------------------------------------------------------ L5

@@ -5,7 +5,7 @@ from __future__ import annotations
 from typing import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -46,10 +46,17 @@ def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
     UDF.  Any other mode is an error.  ``outer`` keeps rows without words
     (one row with a null word).
     """
+    explode = F.posexplode_outer if outer else F.posexplode
+    return df.select(*id_cols, explode(word_array(text_col, mode, splitter)).alias("word_no", "word"))
+
+
+def word_array(text_col: str, mode: str = "whitespace",
+               splitter: Callable[[str], list[str]] | None = None) -> Column:
+    """The words of :func:`pretokenize` as an array column."""
     normalized = T.nfkc(F.col(text_col))
     if mode == "whitespace":
-        words = T.whitespace_words(normalized)
-    elif mode in ANALYSER_MODES:
+        return T.whitespace_words(normalized)
+    if mode in ANALYSER_MODES:
         if splitter is None:
             raise ValueError(f"mode {mode!r} needs a splitter function")
 
@@ -58,11 +65,8 @@ def pretokenize(df: DataFrame, text_col: str = "text", id_cols=("doc_id",),
             return s.map(lambda t: [w for w in splitter(t.strip(WHITE_SPACE_CHARS)) if w],
                          na_action="ignore")
 
-        words = _split(normalized)
-    else:
-        raise ValueError(f"unknown word mode {mode!r}")
-    explode = F.posexplode_outer if outer else F.posexplode
-    return df.select(*id_cols, explode(words).alias("word_no", "word"))
+        return _split(normalized)
+    raise ValueError(f"unknown word mode {mode!r}")
 
 
 # ------------------------------------------------------------------ W2

@@ -711,7 +711,7 @@ def q_line_by_line(spark, sf_dir):
 SELECT conv_id, turn, {_s('input_ids')}, length FROM encm ORDER BY conv_id, turn LIMIT 100""")
 def q_max_samples(spark, sf_dir):
     enc = conv_encoded(spark, sf_dir, 64).select("conv_id", "turn", "input_ids", "length")
-    return _render(split.max_samples(enc, 100, ["conv_id", "turn"]), ["input_ids"])
+    return _render(split.max_samples(enc, 100, ["conv_id", "turn"], staged=True), ["input_ids"])
 
 
 def _u01_sql(*parts: str) -> str:

@@ -79,14 +79,14 @@ def corpus_wiki(docs: DataFrame, num_files: int = 32, max_documents: int = 0,
     cleaned = docs.select(id_col, T.clean_wiki_text("text", title).alias("text"))
     sents = corpus.split_sentences(cleaned, "text", (id_col,))
     sents = corpus.length_between(sents, "sentence", min_len, max_len)
-    sents = split.assign_shard(sents, num_files, (id_col,), seed)
     if dedup_mode == "exact":
         sents = dedup.dedup_exact(sents, "sentence", (id_col, "sent_no"))
-    elif dedup_mode == "lru":
+    sents = split.assign_shard(sents, num_files, (id_col,), seed)
+    if dedup_mode == "lru":
         from tessera.operators.rowindex import positions_by_document
         sents = positions_by_document(sents, "shard", id_col, "sent_no", "pos")
         sents = dedup.dedup_lru(sents, cache_len, "sentence").drop("pos")
-    elif dedup_mode != "none":
+    elif dedup_mode not in ("exact", "none"):
         raise ValueError("dedup_mode must be exact, lru or none")
     sents = split.train_valid_split(sents, num_files)
     return sents.select("split", "shard", id_col, "sent_no", "sentence")
@@ -175,7 +175,7 @@ def training_table(dataset: DataFrame, vocab: DataFrame, line_by_line: bool = Tr
         enc = E.encode(rows, vocab, None, "text", ids, truncation=False)
         enc = E.pack_blocks(enc, max_len, ids, group_rows)
         ids = ["group_id", "block_no"]
-        enc = split.max_samples(enc.withColumn("length", F.size("input_ids")), max_samples, ids)
+        enc = split.max_samples(enc.withColumn("length", F.size("input_ids")), max_samples, ids, staged=True)
     batched = E.length_batches(enc, batch_size, mega_mult, seed, ids)
     n_vocab = vocab.count()   # one scalar
     mask_id = int(vocab.where(F.col("piece") == "[MASK]").select("token_id").first()[0])

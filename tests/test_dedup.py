@@ -80,3 +80,19 @@ def test_hot_value_exact(spark):
     out = dedup.dedup_exact(df)
     assert out.count() == 2001
     assert out.where(F.col("sentence") == "hot").first().doc_id == 0
+
+
+def test_exact_packs_order_and_nulls(spark):
+    rows = [(None, 3, "a"), (-5, 1, "a"), (2**63 - 1, -2**31, "b"), (-2**63, 2**31 - 1, "b"), (7, None, "c"), (7, 0, "c"),
+            (-2**63, None, None), (4, 4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, sent_no int, sentence string")
+    out = dedup.dedup_exact(df)
+    assert {tuple(r) for r in out.collect()} == {
+        (None, 3, "a"), (-2**63, 2**31 - 1, "b"), (7, None, "c"), (-2**63, None, None)}
+    assert out.schema.simpleString() == df.schema.simpleString()
+    plan = out._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert not dedup.dedup_exact(df.limit(0)).collect()
+    # a further column takes the other form and keeps the same rows
+    more = dedup.dedup_exact(df.withColumn("x", F.lit(1)))
+    assert {tuple(r)[:3] for r in more.collect()} == {tuple(r) for r in out.collect()}

@@ -94,3 +94,26 @@ def test_positions_by_document_equal_index(spark):
     a = positions_by_document(df, "shard", "doc_id", "line_no", "pos")
     b = with_row_index(df, ["doc_id", "line_no"], "pos", group_cols=["shard"])
     assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+
+
+def test_bootstrap_draws_the_numbered_rows(spark, monkeypatch):
+    rows = [(None, 0, "n0"), (None, 1, "n1")] + [(5, i, f"hot{i}") for i in range(400)] + \
+        [(d, i, f"{d}.{i}") for d in range(6, 200) for i in range(d % 4)]
+    df = spark.createDataFrame(rows, "doc_id long, line_no int, line string").repartition(5)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    draws = spark.range(300).select("id", (split.h60(F.lit(9), "id") % len(rows)).alias("at")).collect()
+    want = {(r.id, *order[r.at]) for r in draws}
+    for bound in (1 << 20, 10):  # with and without groups that are numbered by range partitions
+        monkeypatch.setattr(split, "GROUP_ROWS", bound)
+        out = split.bootstrap_sample(df, 300, seed=9)
+        assert out.columns == ["draw", "doc_id", "line_no", "line"]
+        assert {tuple(r) for r in out.collect()} == want
+    one = df.select("line").distinct()
+    assert split.bootstrap_sample(one, 50, ["line"], seed=9).count() == 50
+    assert split.bootstrap_sample(df.limit(0), 5).count() == 0
+
+
+def test_staged_samples_equal(spark):
+    df = lines(spark)
+    order = ["doc_id", "line_no"]
+    assert sorted(split.max_samples(df, 500, order, staged=True).collect()) == sorted(split.max_samples(df, 500, order).collect())

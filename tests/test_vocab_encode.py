@@ -240,3 +240,36 @@ def test_learner_never_cuts_the_alphabet(spark):
         V.learn_wordpiece(counts, least - 1)
     got = {r.piece for r in V.learn_wordpiece(counts, least).collect()}
     assert len(got) == least and {x for c in "abcdefgh" for x in (c, "##" + c)} <= got
+
+
+def test_ranks_and_offsets_see_no_arrays(spark):
+    rows = [(i, [100 * i + j for j in range(i % 7 + 1)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, input_ids array<int>").repartition(4)
+    df = df.withColumn("length", F.size("input_ids"))
+    batched = E.length_batches(df, 4, 2)
+    assert batched.columns == ["row_id", "input_ids", "length", "rank", "batch_id", "batch_pos"]
+    got = batched.collect()
+    assert {(r.row_id, tuple(r.input_ids)) for r in got} == {(i, tuple(a)) for i, a in rows}
+    assert sorted(r["rank"] for r in got) == list(range(60))
+    assert len({(r.batch_id, r.batch_pos) for r in got}) == 60
+    blocks = {(r.group_id, r.block_no): r.input_ids for r in E.pack_blocks(df.drop("length"), 8, ["row_id"], 20).collect()}
+    want = {}
+    for g in range(3):
+        flat = [x for _, a in rows[20 * g:20 * g + 20] for x in a]
+        want.update({(g, b): flat[8 * b:8 * b + 8] for b in range(len(flat) // 8)})
+    assert blocks == want
+    for plan in (batched._jdf.queryExecution().toString(), E.pack_blocks(df, 8)._jdf.queryExecution().toString()):
+        physical = plan[plan.index("== Physical Plan =="):]
+        assert "input_ids" not in "".join(s for s in physical.splitlines() if "Window" in s or "rangepartitioning" in s)
+    # rows that share a key stay apart
+    twins = df.union(df.limit(5)).withColumn("row_id", F.lit(1).cast("long"))
+    assert E.length_batches(twins, 4, 2).count() == 65
+
+
+def test_encode_normalises_once(spark):
+    vocab = spark.createDataFrame([(i, p) for i, p in enumerate(["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]", "a", "##b"])],
+                                  "token_id int, piece string")
+    df = spark.createDataFrame([(1, "ab \uff41"), (2, None), (3, "  "), (4, "q")], "row_id long, text string")
+    out = E.encode(df, vocab)
+    assert {r.row_id: r.input_ids for r in out.collect()} == {1: [2, 5, 6, 5, 3], 2: [2, 3], 3: [2, 3], 4: [2, 1, 3]}
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().toString()  # the words are read from the checkpoint
