@@ -154,6 +154,15 @@ def q_nfkc(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.nfkc("text").alias("text"))
 
 
+@register("nfkc_fullwidth", "SELECT doc_id, text FROM documents")
+def q_nfkc_fullwidth(spark, sf_dir):
+    """Signs ! to ~ in their full-width forms and spaces as ideographic ones, which NFKC turns back."""
+    plain = "".join(map(chr, range(0x21, 0x7F)))
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
+    text = F.translate("text", " " + plain, "\u3000" + wide)
+    return table(spark, sf_dir, "documents").select("doc_id", T.nfkc(text).alias("text"))
+
+
 @register("drop_unprintable", f"""
 SELECT doc_id, regexp_replace(text, '{RE2_UNPRINTABLE}', '', 'g') AS text FROM documents""")
 def q_drop_unprintable(spark, sf_dir):
@@ -771,6 +780,15 @@ def q_mask_tokens(spark, sf_dir):
     return _render(out.select("conv_id", "turn", "input_ids", "labels"), ["input_ids", "labels"])
 
 
+@register("mask_tokens_whole", full_enc_sql(None) + MASK_CTE + f"""
+SELECT conv_id, turn, {_s('input_ids')}, {_s('labels')} FROM masked""")
+def q_mask_tokens_whole(spark, sf_dir):
+    """Of whole texts."""
+    n_vocab = data_vocab(spark, sf_dir).count()
+    out = enc_ops.mask_tokens(conv_encoded(spark, sf_dir, None), n_vocab, 4, 0.15, SEED, 0, ["conv_id", "turn"])
+    return _render(out.select("conv_id", "turn", "input_ids", "labels"), ["input_ids", "labels"])
+
+
 LB_CTE = f""",
 hx AS (SELECT conv_id, turn, length, {h60_sql("'42'", "conv_id", "turn")} AS h FROM encm),
 rx AS (SELECT *, row_number() OVER (ORDER BY h, conv_id, turn) - 1 AS rank FROM hx),
@@ -792,6 +810,15 @@ def q_length_batches(spark, sf_dir):
         "conv_id", "turn", "length", "rank", "batch_id", "batch_pos")
 
 
+@register("length_batches_whole", full_enc_sql(None) + LB_CTE + """
+SELECT conv_id, turn, length, rank, batch_id, batch_pos FROM lb""")
+def q_length_batches_whole(spark, sf_dir):
+    """Of whole texts."""
+    enc = conv_encoded(spark, sf_dir, None).select("conv_id", "turn", "length")
+    return enc_ops.length_batches(enc, 32, None, SEED, ["conv_id", "turn"]).select(
+        "conv_id", "turn", "length", "rank", "batch_id", "batch_pos")
+
+
 @register("pad_batch", full_enc_sql(64) + LB_CTE + """,
 tg AS (SELECT lb.conv_id, lb.turn, lb.batch_id, e.input_ids, e.attention_mask,
               (ceil(max(lb.length) OVER (PARTITION BY lb.batch_id) / 8.0) * 8)::INTEGER AS target
@@ -849,6 +876,55 @@ def q_accuracy_by_batch(spark, sf_dir):
     return metrics.accuracy_by_batch(predictions(spark, sf_dir))
 
 
+# Every label of an even class is -100, so that about half of the positions are not scored.
+IGNORED_CTE = PRED_CTE.replace(", label\n", ", CASE WHEN label % 2 = 0 THEN -100 ELSE label END AS label\n")
+
+
+def ignored(spark, sf_dir) -> DataFrame:
+    return predictions(spark, sf_dir).withColumn("label", F.when(F.col("label") % 2 == 0, -100).otherwise(F.col("label")))
+
+
+@register("accuracy_by_batch_ignored", f"""
+WITH {IGNORED_CTE},
+b AS (SELECT batch_id, sum(CASE WHEN pred = label THEN 1 ELSE 0 END) AS c, count(*) AS t
+      FROM pred WHERE label <> -100 GROUP BY batch_id)
+SELECT sum(c) / sum(t) AS accuracy, sum(c)::BIGINT AS n_correct, sum(t)::BIGINT AS n_scored,
+       count(*) AS n_batches FROM b""")
+def q_accuracy_by_batch_ignored(spark, sf_dir):
+    return metrics.accuracy_by_batch(ignored(spark, sf_dir))
+
+
+@register("masked_accuracy_ignored", f"""
+WITH {IGNORED_CTE}
+SELECT avg(CASE WHEN pred = label THEN 1 ELSE 0 END) AS accuracy, count(*) AS n_scored
+FROM pred WHERE label <> -100""")
+def q_masked_accuracy_ignored(spark, sf_dir):
+    return metrics.masked_accuracy(ignored(spark, sf_dir))
+
+
+@register("perplexity_ignored", f"""
+WITH {IGNORED_CTE},
+l AS (SELECT {LOSS_SQL} AS loss FROM pred WHERE label <> -100)
+SELECT round(avg(loss), 6) AS eval_loss, round(exp(avg(loss)), 6) AS perplexity FROM l""")
+def q_perplexity_ignored(spark, sf_dir):
+    p = metrics.scored(ignored(spark, sf_dir))
+    out = metrics.perplexity(p.select(metrics.token_loss("embedding", "label").alias("loss")))
+    return out.select(F.round("eval_loss", 6).alias("eval_loss"), F.round("perplexity", 6).alias("perplexity"))
+
+
+@register("evaluation_ignored", f"""
+WITH {IGNORED_CTE},
+s AS (SELECT *, {LOSS_SQL} AS loss FROM pred WHERE label <> -100)
+SELECT (sum(CASE WHEN pred = label THEN 1 ELSE 0 END) / count(*)) AS accuracy,
+       count(*) AS n_scored, round(avg(loss), 6) AS eval_loss, round(exp(avg(loss)), 6) AS perplexity,
+       (SELECT count(*) FROM embeddings) AS samples
+FROM s""")
+def q_evaluation_ignored(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("label") % 2 == 0, -100).otherwise(F.col("label")))
+    return recipes.evaluation(rows, "embedding", "label", "vec_id")
+
+
 @register("perplexity", f"""
 WITH {PRED_CTE},
 l AS (SELECT {LOSS_SQL} AS loss FROM pred WHERE label <> -100)
