@@ -96,3 +96,24 @@ def test_exact_packs_order_and_nulls(spark):
     # a further column takes the other form and keeps the same rows
     more = dedup.dedup_exact(df.withColumn("x", F.lit(1)))
     assert {tuple(r)[:3] for r in more.collect()} == {tuple(r) for r in out.collect()}
+
+
+def test_lru_seeds_of_many_chunks_move_little(spark, monkeypatch):
+    """Sums over chunks are a small multiple of the chunks' own, and hold no texts."""
+    chunks, cache, seen = 70, 3, []
+    top = dedup._top_recent
+    monkeypatch.setattr(dedup, "_top_recent", lambda df, n, keys: seen.append((df.count(), dict(df.dtypes)["_v"])) or top(df, n, keys))
+    rng = random.Random(5)
+    lines = [None if x == 9 else f"line {x}" for x in (rng.choice([rng.randrange(10), 2]) for _ in range(4 * chunks))]
+    rows = spark.createDataFrame([(0, i, s) for i, s in enumerate(lines)], "shard int, pos long, line string")
+    kept = {r.pos for r in dedup.dedup_lru(rows, cache, "line", chunk_len=4).collect()}
+    recent, want = OrderedDict(), set()
+    for i, s in enumerate(lines):
+        if s not in recent:
+            want.add(i)
+        recent[s] = None
+        recent.move_to_end(s)
+        if len(recent) > cache:
+            recent.popitem(last=False)
+    assert kept == want
+    assert sum(n for n, _ in seen[1:]) < 7 * chunks * cache and {kind for _, kind in seen} == {"binary"}
