@@ -273,3 +273,17 @@ def test_encode_normalises_once(spark):
     out = E.encode(df, vocab)
     assert {r.row_id: r.input_ids for r in out.collect()} == {1: [2, 5, 6, 5, 3], 2: [2, 3], 3: [2, 3], 4: [2, 1, 3]}
     assert "ArrowEvalPython" not in out._jdf.queryExecution().toString()  # the words are read from the checkpoint
+
+
+def test_learner_reads_its_counts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [("aab", 5), ("aac", 3), ("bba", 2)]
+    counts = spark.createDataFrame(rows, "word string, n long").mapInArrow(once, "word string, n long")
+    pieces = {r.piece for r in V.learn_wordpiece(counts, 24, 10).collect()}
+    assert {"a", "##b", "aa"} <= pieces and read.value == len(rows)
