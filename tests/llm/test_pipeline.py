@@ -117,8 +117,8 @@ def test_short_passages_of_over_fifty_words(spark):
     words = lambda name, n: [f"{name}{j}" for j in range(n)]
     passage, fifty = words("p", 51), words("q", 50)           # fewer than 400 bytes each
     texts = [" ".join(words("a", 30) + passage + words("b", 30)), "\n".join(words("c", 30) + passage) + " " + " ".join(words("d", 30)),
-             " ".join(words("e", 30) + fifty), " ".join(fifty + words("f", 30)), "", "g" * 500, "h" + "g" * 450]
+             " ".join(words("e", 30) + fifty), " ".join(fifty + words("f", 30)), "", "g" * 500, "h" + "g" * 450, "z " * 90]
     rows = [(i, t, "en", "src", None, "x") for i, t in enumerate(texts)]
     cut = {r.doc_id: r.text for r in STAGE["suffix_dedup"](spark, spark.createDataFrame(rows, DOCS), "").collect()}
     assert cut[0].split() == words("a", 30) + words("b", 30) and cut[1].split() == words("c", 30) + words("d", 30)
-    assert [cut[i] for i in (2, 3, 4, 5, 6)] == [*texts[2:5], "", "h"]
+    assert [cut[i] for i in (2, 3, 4, 5, 6, 7)] == [*texts[2:5], "", "h", texts[7]]   # one's own words stay
