@@ -1,6 +1,7 @@
 """Stages of the pipeline against brute force on small inputs."""
 
 import os
+import random
 import sys
 
 import pytest
@@ -9,7 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
-from tessera.llm import ngram_join, quality  # noqa: E402
+from tessera.llm import ngram_join, quality, repeats  # noqa: E402
+from tessera.session import checkpoint_dir  # noqa: E402
+from tessera.sources.fs import list_names  # noqa: E402
 from test_llm import DOCS, corpus, docs  # noqa: E402
 
 STAGE = dict(corpus_pipeline.STAGES)
@@ -122,3 +125,40 @@ def test_short_passages_of_over_fifty_words(spark):
     cut = {r.doc_id: r.text for r in STAGE["suffix_dedup"](spark, spark.createDataFrame(rows, DOCS), "").collect()}
     assert cut[0].split() == words("a", 30) + words("b", 30) and cut[1].split() == words("c", 30) + words("d", 30)
     assert [cut[i] for i in (2, 3, 4, 5, 6, 7)] == [*texts[2:5], "", "h", texts[7]]   # one's own words stay
+
+
+@pytest.mark.parametrize("step", [1 << 20, 200])
+def test_word_windows_in_several_documents_and_no_tables_left(spark, monkeypatch, step):
+    rng = random.Random(step)
+    monkeypatch.setattr(repeats, "STEP", step)
+    texts = [" ".join(rng.choices(["a", "b", "cé", "\n", "\t"], k=rng.choice([0, 2, 12, 40, 120]))) for _ in range(40)]
+    texts += [texts[7], None, " ".join(["lone"] * 30)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[7])]
+    words = [(t or "").split() for _, t in rows]
+    held = {}
+    for i, w in enumerate(words):
+        for s in range(len(w) - 6):
+            held.setdefault(tuple(w[s:s + 7]), set()).add(i)
+    want = {}
+    for i, (d, _) in enumerate(rows):
+        want.setdefault(d, set()).update(p for s in range(len(words[i]) - 6) if len(held[tuple(words[i][s:s + 7])]) > 1 for p in range(s, s + 7))
+    at = checkpoint_dir(spark)
+    before = set(list_names(spark, at))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {}
+    for r in repeats.word_spans(df, 7).collect():
+        got.setdefault(r.d, set()).update(p for x in r.spans for p in range(x.lo, x.hi))
+    assert got == {d: x for d, x in want.items() if x}
+    repeats.remove_repeats(df, words=7).collect()
+    ngram_join.keep_one(df).collect()
+    assert not [x for x in set(list_names(spark, at)) - before if x.startswith("stage-") and list_names(spark, f"{at}/{x}")]
+
+
+def test_word_runs_cover_every_window_once(monkeypatch):
+    rng = random.Random(5)
+    for step in (1 << 20, 200):
+        monkeypatch.setattr(repeats, "STEP", step)
+        texts = [" ".join(rng.choices("abcdef\n", k=n)).encode() for n in (0, 2, 10, 60, 300, 300)]
+        runs = list(zip(*repeats.find_word_runs(texts, 13)))
+        assert sorted((t, x) for t, s, m, *_ in runs for x in range(s, s + m)) == \
+            [(t, x) for t, raw in enumerate(texts) for x in range(len(raw.split()) - 12)]
