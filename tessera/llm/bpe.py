@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 from tessera.llm.hashing import Prefix
 
 #: Entries of each of a worker's two tables of encoded runs, and the longest run in them.
-#: They stay over tasks; at most 120,000 entries of about 200 bytes.
-TABLE, LONGEST = 60_000, 48
+#: They stay over tasks; about 300,000 entries of about 200 bytes.
+TABLE, LONGEST = 150_000, 48
 #: Pieces of up to so many bytes are merged many at a time.
 WIDEST = 64
 #: Texts of one Arrow batch in and out of Python, by characters.
@@ -207,7 +207,9 @@ def _run_starts(raw: np.ndarray, first: np.ndarray) -> np.ndarray:
     after, before = raw[space + 1], raw[space - 1]
     open_ = (before >= 0x80) & (lead[raw[np.maximum(space - 2, 0)]] | lead[raw[np.maximum(space - 3, 0)]])
     cut = space[~low[after] & ~low[before] & ~lead[after] & ~open_]
-    return np.union1d(cut, first)
+    start = np.zeros(len(raw), bool)
+    start[cut] = start[first] = True
+    return np.flatnonzero(start)
 
 
 def ragged(offsets: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -234,54 +236,54 @@ class Encoder:
         self.token_size = np.asarray([len(t) for t in tokens], np.int64)
         self.token_start = np.cumsum(self.token_size) - self.token_size
 
-    def _cut(self, runs: list[bytes]) -> list[list[bytes]]:
-        """Pieces of each run; runs without inner white space are cut together, a line end between them."""
+    def _cut(self, runs: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        """Pieces of all runs, and each run's number of pieces; runs are cut together, a line end between them, where that is safe."""
         joined = b"\n".join(runs).decode()
-        pieces = [p.encode() for p in self.cut(joined)]
-        if joined.count("\n") == len(runs) - 1 == pieces.count(b"\n"):
-            out, part = [], []
-            for p in pieces:
-                if p == b"\n":
-                    out.append(part)
-                    part = []
-                else:
-                    part.append(p)
-            return [*out, part]
-        if len(runs) == 1:
-            return [pieces]
-        plain = [r for r in runs if len(r.split()) == 1 and r[-1] > 32 and r[:2].strip() and b"\n" not in r]
-        if len(plain) == len(runs):
-            return [[p.encode() for p in self.cut(r.decode())] for r in runs]
-        own = dict(zip(plain, self._cut(plain))) if plain else {}
-        return [own[r] if r in own else [p.encode() for p in self.cut(r.decode())] for r in runs]
+        pieces = self.cut(joined)
+        end = np.fromiter(map("\n".__eq__, pieces), bool, len(pieces))
+        if joined.count("\n") == len(runs) - 1 == np.count_nonzero(end):
+            counts = np.diff(np.concatenate([[-1], np.flatnonzero(end), [len(pieces)]])) - 1
+            return [p for p in map(str.encode, pieces) if p != b"\n"], counts
+        cuts = [self.cut(r.decode()) for r in runs]
+        return list(map(str.encode, chain.from_iterable(cuts))), np.fromiter(map(len, cuts), np.int64, len(cuts))
 
     def _fill(self, new: list[bytes]) -> list[bytes]:
         """Ids of new runs; each piece that is not known yet is merged once."""
-        known, older, ask = self.runs, self.older, {}
-        cuts = self._cut(new)
-        for cut in cuts:
-            for piece in cut:
-                if piece not in ask and piece not in known:
-                    ask[piece] = older.get(piece)
-        short = []
-        for piece, ids in ask.items():
-            if ids is None:
+        if len(self.runs) + len(new) > TABLE:  # the older half goes
+            self.older, self.runs = self.runs, {}
+        known, older, out = self.runs, self.older, [b""] * len(new)
+        plain, rest = [], []
+        for i, r in enumerate(new):
+            (plain if len(r.split()) == 1 and r[-1] > 32 and r[:2].strip() and b"\n" not in r else rest).append(i)
+        long = [r for r in new if len(r) > LONGEST]
+        for group in (plain, rest):
+            if not group:
+                continue
+            runs = [new[i] for i in group]
+            pieces, counts = self._cut(runs)
+            ask = list(set(pieces).difference(known))
+            long += [p for p in ask if len(p) > LONGEST]
+            kept = [p for p in ask if p in older]
+            known.update(zip(kept, map(older.__getitem__, kept)))
+            short = []
+            for piece in set(ask).difference(kept):
                 whole = self.ranks.get(piece)
                 if whole is not None:
-                    ask[piece] = whole.to_bytes(4, "little")
+                    known[piece] = whole.to_bytes(4, "little")
                 elif len(piece) > WIDEST:
-                    ask[piece] = np.asarray(merge_piece(piece, self.ranks), np.int32).tobytes()
+                    known[piece] = np.asarray(merge_piece(piece, self.ranks), np.int32).tobytes()
                 else:
                     short.append(piece)
-        ask.update(zip(short, merge_many(short, self.ranks, self.pairs)))
-        out = []
-        for cut in cuts:
-            got = [ask[p] if p in ask else known[p] for p in cut]
-            out.append(got[0] if len(got) == 1 else b"".join(got))
-        if len(known) + len(out) > TABLE:  # the older half goes
-            self.older, self.runs = known, {}
-        self.runs.update((r, ids) for r, ids in zip(new, out) if len(r) <= LONGEST)
-        self.runs.update((p, ids) for p, ids in ask.items() if len(p) <= LONGEST)
+            known.update(zip(short, merge_many(short, self.ranks, self.pairs)))
+            ids = list(map(known.__getitem__, pieces))
+            upto = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+            ends = upto[np.cumsum(counts)].tolist()
+            flat, lo = b"".join(ids), 0
+            for i, hi in zip(group, ends):
+                out[i], lo = flat[lo:hi], hi
+            known.update(zip(runs, map(out.__getitem__, group)))
+        for r in long:
+            known.pop(r, None)
         return out
 
     def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -303,7 +305,7 @@ class Encoder:
         _, one, which = np.unique(Prefix(raw).hash(lo, hi), return_index=True, return_inverse=True)
         runs = [whole[a:b] for a, b in zip(lo[one].tolist(), hi[one].tolist())]
         known, older = self.runs.get, self.older.get
-        ids = [known(r) or older(r) for r in runs]
+        ids = [x or older(r) for r, x in zip(runs, map(known, runs))]
         missing = [i for i, x in enumerate(ids) if x is None]
         if missing:
             for i, got in zip(missing, self._fill([runs[i] for i in missing])):

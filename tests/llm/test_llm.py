@@ -120,6 +120,27 @@ def test_bpe_equals_library(spark):
     assert base64 and bpe.encode(docs(spark, EDGE).where("false"), path, P.PATTERN).count() == 0
 
 
+def test_bpe_table_is_renewed_and_keeps_what_came_before(monkeypatch):
+    import public_tokenizers as P
+    import tiktoken
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    enc = bpe.Encoder(ranks, P.PATTERN)
+    slices = [" ".join(f"{hashlib.md5(b'%d' % i).hexdigest()[:7].translate(str.maketrans('0123456789', 'ghijklmnop'))}" for i in range(lo, lo + 13_000))
+              for lo in range(0, 130_000, 13_000)]
+    first = [enc.encode(t) for t in slices]
+    assert first[3] == lib.encode_ordinary(slices[3])
+    monkeypatch.setattr(enc, "_fill", None)  # nothing is cut again
+    assert [enc.encode(t) for t in slices] == first
+    monkeypatch.setattr(bpe, "TABLE", 12)
+    enc = bpe.Encoder(ranks, P.PATTERN)
+    for texts in (EDGE, EDGE[::-1], ["a b c d  e", "x" * 90 + " y\r\n z", "\n", "é\xa0 a", " a \n b\n\n", "\t\tq  "], EDGE[2:5]):
+        texts = [t or "" for t in texts]
+        ids, ends = enc.encode_many(texts)
+        assert [ids[a:z].tolist() for a, z in zip(ends, ends[1:])] == [lib.encode_ordinary(t) for t in texts]
+        assert all(len(r) <= bpe.LONGEST for r in enc.runs)
+
+
 @pytest.mark.parametrize("hot", [1 << 30, 100])
 def test_repeats_match_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
