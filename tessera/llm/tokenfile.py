@@ -107,16 +107,18 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         selector[most[n] <= 60 // n] = s
         for m in [m for m in most if m < n and 2 * m < n]:
             del most[m]
-    step = np.asarray([1, *COUNTS[1:]], np.uint8)[selector].tobytes()
-    at, words = [], []
-    put = at.append
-    for lo, n in zip(starts.tolist(), lengths.tolist()):
-        have, i, hi = len(at), lo, lo + n
-        while i < hi:
-            put(i)
-            i += step[i]
-        words.append(len(at) - have)
-    at = np.asarray(at, np.int64)
+    # one word of every block at a time
+    step = np.asarray([1, *COUNTS[1:]], np.uint8)[selector]
+    first = np.zeros(total, bool)
+    i, hi = starts[lengths > 0], (starts + lengths)[lengths > 0]
+    while len(i):
+        first[i] = True
+        i = i + step[i]
+        live = i < hi
+        if not live.all():
+            i, hi = i[live], hi[live]
+    at = np.flatnonzero(first)
+    words = np.diff(np.searchsorted(at, np.append(starts, total)))
     chosen = selector[at]
     # an escape takes two words
     extra = chosen == 0
@@ -132,7 +134,6 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 word |= flat[at[rows] + k] << np.uint64(k * (60 // n))
             out[place[rows]] = word
     out[place[extra] + 1] = flat[at[extra]]
-    words = np.asarray(words, np.int64)
     if extra.any():
         words = words + np.add.reduceat(np.append(extra, False).astype(np.int64), np.minimum(np.cumsum(words) - words, len(extra))) \
             * (words > 0)
@@ -287,7 +288,7 @@ class Words:
         """Ids of all texts one after the other, and each text's number of ids; a null text has none."""
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         coded = lists.flatten().dictionary_encode()
-        words, which = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy()
+        words, which = _values(coded.dictionary), coded.indices.to_numpy()
         if len(self.table) + len(words) > TABLE:
             self.table, self.older = {}, self.table
         table, older = self.table, self.older
@@ -306,6 +307,14 @@ class Words:
         return ragged((np.cumsum(size) - size)[which], per_word, flat), np.diff(ends, prepend=0)
 
 
+def _values(texts: pa.LargeStringArray) -> list[bytes]:
+    """The bytes of each text, none of them null."""
+    _, offsets, raw = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1].tolist()
+    raw = raw.to_pybytes() if raw else b""
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 @lru_cache(maxsize=1)
 def _words(name: str) -> Words:
     return Words(SparkFiles.get(name))

@@ -49,6 +49,19 @@ def test_words_take_the_most_ids_they_can():
     assert words.tolist() == [0, 1 << 61]
 
 
+def test_blocks_are_packed_as_each_alone():
+    rng = np.random.default_rng(4)
+    sizes = np.asarray([0, 3, 0, 0, 4096, 1, 700, 0])
+    ids = rng.integers(0, 1 << 16, int(sizes.sum()), np.uint64)
+    ids[rng.random(len(ids)) < 0.1] = (1 << 64) - 1
+    words, used = tokenfile.pack(ids, sizes)
+    alone = [tokenfile.pack(part, np.asarray([len(part)])) for part in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert used.tolist() == [int(u[0]) for _, u in alone] and words.tolist() == [x for w, _ in alone for x in w.tolist()]
+    texts = pa.array(["", "a", "", "é\x00b", "日本"], pa.large_string())
+    assert tokenfile._values(texts) == [t.encode() for t in texts.to_pylist()]
+    assert tokenfile._values(texts.slice(1, 3)) == [b"a", b"", "é\x00b".encode()] and tokenfile._values(texts[:0]) == []
+
+
 def test_tokenizer_with_its_table(library, monkeypatch):
     words = tokenfile.Words(TOKENIZER)
     for size in (600_000, 12):  # a small table is renewed with every call
