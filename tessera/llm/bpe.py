@@ -24,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
@@ -37,8 +38,6 @@ TABLE, LONGEST = 150_000, 48
 WIDEST = 64
 #: Texts of one Arrow batch in and out of Python, by characters.
 BATCH_CHARS = 1_000_000
-#: Rows that are decoded together.
-DECODE_ROWS = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,6 +46,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
 
 
+def _tokens(ranks: dict[bytes, int]) -> list[bytes]:
+    """Tokens by rank."""
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: the lowest rank first, leftmost on ties."""
     whole = ranks.get(piece)
@@ -229,9 +236,7 @@ class Encoder:
                                  .replace(r"\S", r"\P{White_Space}")).findall
         self.runs: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
+        tokens = _tokens(ranks)
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.token_size = np.asarray([len(t) for t in tokens], np.int64)
         self.token_start = np.cumsum(self.token_size) - self.token_size
@@ -333,17 +338,16 @@ def _encoder(name: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(SparkFiles.get(name)), pattern)
 
 
-def _slices(batches, column: str, cost):
+def _slices(batches, column: str):
+    """Batches of about ``BATCH_CHARS`` characters, each with its texts."""
     for b in batches:
-        values = b.column(column).to_pylist()
-        lo, held = 0, 0
-        for i, v in enumerate(values):
-            held += cost(v)
-            if held >= BATCH_CHARS:
-                yield b.slice(lo, i + 1 - lo), values[lo:i + 1]
-                lo, held = i + 1, 0
-        if lo < len(values):
-            yield b.slice(lo), values[lo:]
+        upto = np.cumsum(pc.fill_null(pc.utf8_length(b.column(column)), 0).to_numpy().astype(np.int64) + 64)
+        lo = 0
+        while lo < b.num_rows:
+            hi = min(int(np.searchsorted(upto, BATCH_CHARS + (upto[lo - 1] if lo else 0))) + 1, b.num_rows)
+            part = b.slice(lo, hi - lo)
+            yield part, part.column(column).to_pylist()
+            lo = hi
 
 
 def _add(batch: pa.RecordBatch, column: pa.Array, name: str) -> pa.RecordBatch:
@@ -363,7 +367,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
 
     def run(batches):
         enc = _encoder(name, pattern)
-        for part, texts in _slices(batches, text_col, lambda t: len(t or "") + 64):
+        for part, texts in _slices(batches, text_col):
             ids, ends = enc.encode_many([t or "" for t in texts])
             yield _add(part, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))), ids_col)
 
@@ -371,21 +375,15 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded", pattern: str = "") -> DataFrame:
-    """``df`` with ``bytes_col binary``: the bytes that the ids stand for. A column of that name is replaced."""
-    name = _share(df, path)
-    df = df.drop(bytes_col)
+    """``df`` with ``bytes_col binary``: the bytes that the ids stand for. A column of that name is replaced.
 
-    def run(batches):
-        enc = _encoder(name, pattern)
-        for b in batches:
-            for lo in range(0, b.num_rows, DECODE_ROWS):
-                part = b.slice(lo, DECODE_ROWS)
-                lists = part.column(ids_col)
-                ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                size = np.asarray(lists.value_lengths().fill_null(0), np.int64)
-                upto = np.concatenate([[0], np.cumsum(enc.token_size[ids])])
-                ends = upto[np.concatenate([[0], np.cumsum(size)])].astype(np.int32)
-                yield _add(part, pa.BinaryArray.from_buffers(
-                    pa.binary(), len(part), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(enc.decode(ids))]), bytes_col)
-
-    return df.mapInArrow(run, df.select("*", F.lit(None).cast("binary").alias(bytes_col)).schema)
+    Done by Spark's own functions, so a task that encodes and decodes has one Python worker; needs no ``pattern``.
+    """
+    tokens = _tokens(read_ranks(SparkFiles.get(_share(df, path))))
+    df = df.drop(bytes_col)
+    known = F.split(F.lit(",".join(t.hex() for t in tokens)), ",")
+    ids = F.coalesce(df[f"`{ids_col}`"], F.array().cast("array<int>"))
+    # what is not in the vocabulary is no hex text
+    text = F.array_join(F.transform(ids, lambda i: F.get(known, i.try_cast("int"))), "", "?")
+    outside = F.raise_error(F.lit("ids outside the vocabulary")).cast("binary")
+    return df.withColumn(bytes_col, F.coalesce(F.unhex(text), outside))

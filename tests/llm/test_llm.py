@@ -120,6 +120,32 @@ def test_bpe_equals_library(spark):
     assert base64 and bpe.encode(docs(spark, EDGE).where("false"), path, P.PATTERN).count() == 0
 
 
+def test_decoding_needs_no_second_python_worker(spark):
+    import public_tokenizers as P
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    texts = ["plain words", "", None, "\u00e9\u4e16\U0001f600 x" * 9, "a, b?"]
+    coded = bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, P.PATTERN)
+    out = bpe.decode(coded, path)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [bytes(r.decoded) for r in out.orderBy("doc_id").collect()] == [(t or "").encode() for t in texts]
+    size = max(bpe.read_ranks(path).values()) + 1
+    rows = lambda *ids: bpe.decode(spark.createDataFrame([(x,) for x in ids], "ids array<long>"), path).collect()
+    assert [bytes(r.decoded) for r in rows(None, [])] == [b"", b""]
+    for bad in (size, -1, None, (1 << 32) + 5):
+        with pytest.raises(Exception, match="outside the vocabulary"):
+            rows([5, bad])
+
+
+def test_batches_of_texts_end_at_a_number_of_characters(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(bpe, "BATCH_CHARS", 200)
+    texts = [None, "x" * 500, "", "y" * 10, "\u00e9" * 80, "z"] * 3
+    batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    parts = list(bpe._slices([batch.slice(1), batch.slice(0, 0)], "text"))
+    assert [t for _, part in parts for t in part] == texts[1:] and all(b.column("text").to_pylist() == p for b, p in parts)
+    assert all(sum(len(t or "") + 64 for t in p[:-1]) < 200 for _, p in parts)
+
+
 def test_bpe_table_is_renewed_and_keeps_what_came_before(monkeypatch):
     import public_tokenizers as P
     import tiktoken
