@@ -9,6 +9,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -295,6 +297,36 @@ def test_jaccard_components(spark, monkeypatch, block):
     assert ngram_join.jaccard_join(docs(spark, EDGE).where("false")).count() == 0
 
 
+def test_jaccard_near_copies_cost(monkeypatch):
+    """A group of near copies is joined by far fewer comparisons than it has pairs."""
+    r = random.Random(5)
+    base = list(range(0, 40_000, 100))
+    sets = sorted({tuple(sorted({*r.sample(base, 396), *r.sample(range(1, 40_000, 2), 4)})) for _ in range(300)})
+    compared = [0]
+    walk = ngram_join.Trie.walk
+
+    def counted(*args):
+        for found in walk(*args):
+            compared[0] += 1
+            yield found
+    monkeypatch.setattr(ngram_join.Trie, "walk", counted)
+    rows = [(7, 0, 0, 0, bytes([i // 256, i % 256]), np.asarray(x, np.int64).tobytes()) for i, x in enumerate(sets)]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["label", "lo", "hi", "block", "fp", "tokens"])
+    out, = ngram_join._links([batch], 90)
+    assert len(set(out["b"].to_pylist())) == 1 and out.num_rows == len(sets) - 1 and compared[0] < 20 * len(sets)
+
+
+def test_jaccard_rare_words_first(spark):
+    """Documents of the same common words share no leading token if each has rare words as well."""
+    r = random.Random(6)
+    common = [f"w{i}" for i in range(8)]
+    texts = [" ".join(r.choice(common) for _ in range(300)) + " " + " ".join(f"x{d}y{i}" for i in range(40)) for d in range(320)]
+    order = ngram_join.token_order(docs(spark, texts), 3)
+    heads = [set(s[:len(s) // 10].tolist()) for s in ngram_join._sets(texts, 3, order)]
+    assert sum(map(len, heads)) == len(set().union(*heads)) > 320
+    assert [len(s) for s in ngram_join._sets(texts, 3, order)] == [len({*zip(w, w[1:], w[2:])}) for w in map(str.split, texts)]
+
+
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "[\\INST] <\\\\s>", "", None, " x ", "[ROLE]a[/ROLE]", "<", "\\", "[INST"]
     rows = [(c, t, ["system", "user", "assistant", "tool", None][(c + t) % 5], nasty[(3 * c + t) % len(nasty)], 1) for c in range(9) for t in range(c)]
