@@ -4,9 +4,11 @@ import gzip
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import text as T
 from tessera.functions.keyed import h60
 from tessera.operators import corpus
 from tessera.plans import recipes
@@ -198,6 +200,33 @@ def test_paragraphs_across_splits(spark, tmp_dir, small_splits, end):
     assert all(r.split == ("valid" if r.shard == 3 else "train") for r in got)
 
 
+def test_line_runs_across_batches():
+    rng = random.Random(8)
+    for _ in range(60):
+        rows, want = [], []
+        for file, block in [("a", 0), ("a", 90), ("b", 0)][:rng.randint(1, 3)]:
+            lines = [rng.choice(["", " \u3000", "\x1f", "x", " é ", "yy"]) for _ in range(rng.randint(1, 12))]
+            rows += [(file, block, x) for x in lines]
+            runs = [[]]
+            for x in lines:
+                runs[-1].append(x) if x.strip() else runs.append([])
+            kept = [(i, r) for i, r in enumerate(runs) if r or i in (0, len(runs) - 1)]
+            want += [(file, block, n, [x.strip() for x in r], i == 0, i == len(runs) - 1) for n, (i, r) in enumerate(kept)]
+        cuts = sorted({0, len(rows), *(rng.randint(0, len(rows)) for _ in range(4))})
+        batches = [pa.record_batch([pa.array(c) for c in zip(*rows[i:j])], names=["file", "record_id", "value"]) for i, j in zip(cuts, cuts[1:])]
+        got = [tuple(r.values()) for ends in (False, True) for b in readers._line_runs(batches, ends, T.normalize_line_arrow) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want)
+
+
+def test_plain_files_are_read_once_for_their_lines(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.txt"), "w") as f:
+        f.write("a\n b\n\nc\n")
+    out = recipes.corpus_plain_files(spark, tmp_dir, 4)
+    assert sorted((r.doc_id, r.line_no, r.line) for r in out.collect()) == [(0, 0, "a"), (0, 1, "b"), (1, 0, "c")]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan text") == 1 and "regexp" not in plan
+
+
 def test_paragraphs_of_nothing(spark, tmp_dir):
     for name, text in (("a.txt", ""), ("b.txt", "\n \r\n\t"), ("c.txt", "x")):
         with open(os.path.join(tmp_dir, name), "w", newline="") as f:
